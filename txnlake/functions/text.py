@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -9,19 +11,12 @@ from pyspark.sql import types as T
 # Spark reads some text as JSON that a strict reader refuses; switch that off.
 STRICT = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
 
-_OBJECT = r"^[ \t\r\n]*\{[\s\S]*\}[ \t\r\n]*\z"
 _ONE_BRACE = r"^[ \t\r\n]*\{[^}]*\}[ \t\r\n]*\z"
 _DATE_FIRST = r"^\s*\d{4}-\d{1,2}-\d{1,2}([ T]|\s*\z)"
 
 
-def utf8_text(value: Column) -> Column:
-    """Bytes or text as text; NULL when the bytes are not valid UTF-8."""
-    text = value.cast("string")
-    return F.when(F.is_valid_utf8(text), text)
-
-
-def with_parsed(df: DataFrame, text: str, schema: T.StructType) -> DataFrame:
-    """Add the fields of the JSON object in column `text`.
+def with_parsed(df: DataFrame, text: Column, schema: T.StructType) -> DataFrame:
+    """Add the fields of the JSON object in `text`.
 
     The parse sits in a generator over a one-element array. As a plain column it
     would be copied into every later filter that uses a parsed field, and each
@@ -30,9 +25,9 @@ def with_parsed(df: DataFrame, text: str, schema: T.StructType) -> DataFrame:
     return df.select("*", F.inline(F.array(F.from_json(text, schema, STRICT))))
 
 
-def with_once(df: DataFrame, name: str, column: Column) -> DataFrame:
-    """Add a costly column that later filters must not evaluate again."""
-    return df.select("*", F.explode(F.array(column)).alias(name))
+def once(column: Column, body: Callable[[Column], Column]) -> Column:
+    """`body(column)` with a costly column evaluated once, however often it is used."""
+    return F.transform(F.array(column), body)[0]
 
 
 def ends_at_first_brace(text: Column) -> Column:
@@ -56,9 +51,12 @@ def object_keys(text: Column) -> Column:
         F.concat(F.lit("["), text, F.lit(",null]")), "array<map<string,string>>", STRICT
     )
     longer = F.json_array_length(F.concat(F.lit("["), text, F.lit(",null,null]")))
-    return F.when(
-        text.rlike(_OBJECT) & (F.size(head) == 2) & (longer == 3), F.map_keys(head[0])
-    )
+
+    def keys(parsed: Column) -> Column:
+        alone = (F.size(parsed) == 2) & (~text.contains("]") | (longer == 3))
+        return F.when(alone, F.map_keys(parsed[0]))
+
+    return once(head, keys)
 
 
 def instant(text: Column) -> Column:

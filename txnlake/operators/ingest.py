@@ -36,37 +36,41 @@ def _all(conditions: list[Column]) -> Column:
     return whole
 
 
+def _absent(keys: Column) -> Column:
+    return F.array_except(F.array(*[F.lit(name) for name in _REQUIRED]), keys)
+
+
 def classify(lines: DataFrame) -> DataFrame:
-    """Parse `value` (text or bytes) and say what becomes of each line.
+    """Parse `value` (text or bytes) and say in `reason` what becomes of each line.
 
-    Adds the message fields, `reason` and `detail`. A sound flat record costs one
-    JSON parse; its keys are looked at only if something about the line is odd.
+    A sound flat record costs one JSON parse; its keys are looked at only if
+    something about the line is odd.
     """
-    df = lines.select("value", X.utf8_text(F.col("value")).alias("_text"))
-    df = X.with_parsed(df, "_text", _WIRE)
+    text, amount = F.col("value").cast("string"), F.col("amount")
+    df = X.with_parsed(lines.select("value"), text, _WIRE)
     df = df.withColumn("transaction_timestamp", X.instant(F.col("transaction_timestamp")))
 
-    amount = F.col("amount")
     complete = _all([F.col(name).isNotNull() for name in _REQUIRED]) & (
         F.abs(amount) < F.lit(float("inf"))
     )
-    plain = complete & X.ends_at_first_brace(F.col("_text"))
-    df = df.withColumn("_plain", F.coalesce(plain, F.lit(False)))
-    df = X.with_once(df, "_keys", F.when(~F.col("_plain"), X.object_keys(F.col("_text"))))
+    readable = F.is_valid_utf8(text)
+    plain = complete & readable & X.ends_at_first_brace(text)
+
+    def odd(keys: Column) -> Column:
+        return (
+            F.when(keys.isNull(), PARSE_FAILED)
+            .when(F.size(_absent(keys)) > 0, MISSING_FIELDS)
+            .when(amount <= 0, NON_POSITIVE)
+            .when(complete, OK)
+            .otherwise(BAD_VALUE)
+        )
 
-    absent = F.array_except(F.array(*[F.lit(name) for name in _REQUIRED]), F.col("_keys"))
-    positive = amount > 0
     reason = (
-        F.when(F.col("_plain") & positive, OK)
-        .when(F.col("_plain"), NON_POSITIVE)
-        .when(F.col("_keys").isNull(), PARSE_FAILED)
-        .when(F.size(absent) > 0, MISSING_FIELDS)
-        .when(amount <= 0, NON_POSITIVE)
-        .when(complete, OK)
-        .otherwise(BAD_VALUE)
+        F.when(plain & (amount > 0), OK)
+        .when(plain, NON_POSITIVE)
+        .otherwise(X.once(F.when(readable, X.object_keys(text)), odd))
     )
-    detail = F.when(F.size(absent) > 0, F.array_join(F.array_sort(absent), ", "))
-    return df.select("value", reason.alias("reason"), detail.alias("detail"), *PAYLOAD.names)
+    return df.select("value", reason.alias("reason"), *PAYLOAD.names)
 
 
 def enrich(classified: DataFrame, threshold: float, run_ts: datetime) -> DataFrame:
@@ -82,7 +86,11 @@ def valid(enriched: DataFrame) -> DataFrame:
 
 def rejects(classified: DataFrame) -> DataFrame:
     """Refused lines, whole, with the reason and the names of absent keys."""
-    return classified.filter(F.col("reason") != OK).select("value", "reason", "detail")
+    absent = _absent(X.object_keys(F.col("value").cast("string")))
+    detail = F.when(F.col("reason") == MISSING_FIELDS, F.array_join(F.array_sort(absent), ", "))
+    return classified.filter(F.col("reason") != OK).select(
+        "value", "reason", detail.alias("detail")
+    )
 
 
 def extract_anomalies(transactions: DataFrame, threshold: float, run_ts: datetime) -> DataFrame:
