@@ -1,0 +1,175 @@
+from __future__ import annotations
+
+import json
+
+import pytest
+from pyspark.sql import functions as F
+
+from tests.conftest import RUN_TS, line, lines_df, micros
+from txnlake.operators import counters, ingest
+
+GOOD = line()
+
+CASES = [
+    (GOOD, "ok"),
+    ("  " + GOOD + " \t\r", "ok"),
+    (line(merchant_id=..., merchant_category=None, country=..., is_anomaly=...), "ok"),
+    (line(note={"a": [{}, {"b": "}"}]}), "ok"),
+    (line(status="a}b"), "ok"),
+    (line(status="a],[b}"), "ok"),
+    (line(is_anomaly="maybe"), "ok"),
+    (line(processed_at=17), "ok"),
+    (GOOD[:-1] + ', "amount": 7}', "ok"),
+    (line(transaction_timestamp="2024-01-30"), "ok"),
+    (line(transaction_timestamp="2024-01-30T10:20:30Z"), "ok"),
+    (line(amount=3), "ok"),
+    (None, "parse_failed"),
+    ("", "parse_failed"),
+    ("\r", "parse_failed"),
+    ("{bad", "parse_failed"),
+    (GOOD[:-1], "parse_failed"),
+    (GOOD[:-1] + ",}", "parse_failed"),
+    (GOOD.replace('"', "'"), "parse_failed"),
+    (GOOD + " xyz", "parse_failed"),
+    (GOOD + " " + GOOD, "parse_failed"),
+    (GOOD + "," + GOOD, "parse_failed"),
+    (GOOD + "],[" + GOOD, "parse_failed"),
+    (GOOD + ",null],[{}", "parse_failed"),
+    (GOOD + ",null,null],[{}", "parse_failed"),
+    ("\ufeff" + GOOD, "parse_failed"),
+    (GOOD + "\u2028", "parse_failed"),
+    ("[1]", "parse_failed"),
+    ("[" + GOOD + "]", "parse_failed"),
+    ("5", "parse_failed"),
+    ("null", "parse_failed"),
+    ('"text"', "parse_failed"),
+    (GOOD.replace("25.5", "NaN"), "parse_failed"),
+    (GOOD.replace("25.5", "007"), "parse_failed"),
+    (GOOD.replace("fuel", "fu\tel"), "parse_failed"),
+    ("{}", "missing_fields"),
+    (line(currency=...), "missing_fields"),
+    (line(currency=..., amount=-1), "missing_fields"),
+    (line(amount=..., status=...), "missing_fields"),
+    (line(Amount=5, amount=...), "missing_fields"),
+    (line(amount=-0.01), "non_positive_amount"),
+    (line(amount=0), "non_positive_amount"),
+    (line(amount=-1, currency=None), "non_positive_amount"),
+    (line(amount=None), "bad_value"),
+    (line(amount="5"), "bad_value"),
+    (line(amount=True), "bad_value"),
+    (line(amount=[1]), "bad_value"),
+    (GOOD.replace("25.5", "1e400"), "bad_value"),
+    (line(user_id=None), "bad_value"),
+    (line(transaction_timestamp="soon"), "bad_value"),
+    (line(transaction_timestamp="12:30"), "bad_value"),
+    (line(transaction_timestamp="2024"), "bad_value"),
+    (line(transaction_timestamp="2024-13-01T00:00:00"), "bad_value"),
+]
+
+
+def test_each_line_gets_its_class(spark):
+    numbered = [(i, value) for i, (value, _) in enumerate(CASES)]
+    df = spark.createDataFrame(numbered, "n int, value string").coalesce(1)
+    got = [r.reason for r in ingest.classify(df.orderBy("n")).collect()]
+    wrong = [
+        (value, expected, actual)
+        for (value, expected), actual in zip(CASES, got, strict=True)
+        if expected != actual
+    ]
+    assert wrong == []
+
+
+def test_classes_agree_with_a_strict_json_reader(spark):
+    """parse_failed exactly where Python's own reader finds no JSON object."""
+
+    def refuse(token):
+        raise ValueError(token)
+
+    for value, expected in CASES:
+        try:
+            readable = isinstance(json.loads(value or "", parse_constant=refuse), dict)
+        except ValueError:
+            readable = False
+        assert readable == (expected != "parse_failed"), value
+
+
+def test_fields_are_typed_and_the_last_duplicate_wins(spark):
+    rows = ingest.classify(lines_df(spark, GOOD[:-1] + ', "amount": 7}', line(user_id=12)))
+    first, second = micros(rows, "transaction_timestamp").collect()
+    assert (first.amount, first.transaction_timestamp) == (7.0, 1706602830123456)
+    assert second.user_id == "12"
+
+
+def test_messages_may_be_bytes_and_must_be_utf8(spark):
+    good = line(country="Å").encode()
+    bad = line(country="??").encode().replace(b"??", b"\xff\xfe")
+    df = spark.createDataFrame([(bytearray(good),), (bytearray(bad),)], "value binary")
+    classified = ingest.classify(df)
+    assert {(r.reason, r.country) for r in classified.filter("reason = 'ok'").collect()} == {
+        ("ok", "Å")
+    }
+    assert [bytes(r.value) for r in ingest.rejects(classified).collect()] == [bad]
+
+
+def test_rejects_keep_the_whole_line_and_name_absent_keys(spark):
+    long = line(status=..., amount=..., note="x" * 5000)
+    rows = ingest.rejects(ingest.classify(lines_df(spark, long, "{bad", GOOD))).collect()
+    assert {(r.value, r.reason, r.detail) for r in rows} == {
+        (long, "missing_fields", "amount, status"),
+        ("{bad", "parse_failed", None),
+    }
+
+
+def test_flag_is_strictly_above_the_threshold_and_replaces_what_the_message_says(spark):
+    df = lines_df(spark, *[line(amount=a, is_anomaly=True) for a in (999.99, 1000.0, 1000.01)])
+    rows = ingest.valid(ingest.enrich(ingest.classify(df), 1000.0, RUN_TS))
+    assert {r.amount: r.is_anomaly for r in rows.collect()} == {
+        999.99: False,
+        1000.0: False,
+        1000.01: True,
+    }
+
+
+def test_nan_is_not_high(spark):
+    df = spark.createDataFrame([(float("nan"),), (5000.0,)], "amount double")
+    flags = [r.is_anomaly for r in ingest.enrich(df, 1000.0, RUN_TS).collect()]
+    assert sorted(flags) == [False, True]
+
+
+@pytest.mark.parametrize("threshold, text", [(1000, "1000.0"), (200.5, "200.5")])
+def test_anomaly_row(spark, threshold, text):
+    df = lines_df(spark, line(amount=5000), line(amount=1))
+    rows = ingest.valid(ingest.enrich(ingest.classify(df), threshold, RUN_TS))
+    found = micros(ingest.extract_anomalies(rows, threshold, RUN_TS), "detected_at").collect()
+    assert [(r.amount, r.anomaly_reason, r.detected_at) for r in found] == [
+        (5000.0, f"Amount exceeds threshold of {text}", int(RUN_TS.timestamp()) * 1_000_000)
+    ]
+
+
+def test_counters_add_up(spark):
+    df = lines_df(spark, *[value for value, _ in CASES], line(amount=5000))
+    enriched = ingest.enrich(ingest.classify(df), 1000.0, RUN_TS)
+    c = counters.count(enriched).first().asDict()
+    observed, observation = counters.observe(enriched)
+    observed.write.format("noop").mode("overwrite").save()
+    assert observation.get == c
+    assert c["parsed"] + c["parse_failed"] == len(CASES) + 1
+    assert c["parsed"] == (
+        c["valid"]
+        + c["invalid_missing_fields"]
+        + c["invalid_non_positive_amount"]
+        + c["invalid_bad_value"]
+    )
+    assert c["valid"] == c["anomalies_flagged"] + c["normal"]
+    assert c["anomalies_extracted"] == c["anomalies_flagged"] == 1
+
+
+def test_counters_of_nothing_are_zero(spark):
+    enriched = ingest.enrich(ingest.classify(lines_df(spark, GOOD).limit(0)), 1.0, RUN_TS)
+    assert set(counters.count(enriched).first()) == {0}
+
+
+def test_filters_do_not_repeat_the_parse(spark):
+    kept = ingest.valid(ingest.enrich(ingest.classify(lines_df(spark, GOOD)), 1.0, RUN_TS))
+    plan = kept.filter(F.col("amount") > 3)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json(StructField") == 1

@@ -1,0 +1,84 @@
+"""Every registered query against its SQL, and the shape of the plans."""
+
+from __future__ import annotations
+
+import glob
+import os
+
+import duckdb
+import pytest
+
+import __spark_entry__ as entry_point
+from tests.conftest import RUN_TS, tx_df
+from txnlake.operators import append
+from txnlake.plans import reports
+from txnlake.sources.tables import scan_transactions
+
+SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
+QUERIES = entry_point.queries()
+ORACLE = entry_point.oracle_sql()
+
+
+@pytest.fixture(scope="module")
+def duck():
+    con = duckdb.connect()
+    for path in glob.glob(f"{SF_DIR}/*.parquet"):
+        name = os.path.basename(path).removesuffix(".parquet")
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{path}'")
+    return con
+
+
+def in_order(rows):
+    return sorted(rows, key=lambda r: tuple((v is None, str(v)) for v in r))
+
+
+def test_every_query_has_sql():
+    assert set(QUERIES) == set(ORACLE)
+
+
+@pytest.mark.parametrize("name", QUERIES)
+def test_query_matches_sql(spark, duck, name):
+    df = QUERIES[name](spark, SF_DIR)
+    cursor = duck.execute(ORACLE[name])
+    names = [c[0] for c in cursor.description]
+    assert sorted(df.columns) == sorted(names)
+    expected = in_order([tuple(r[names.index(c)] for c in df.columns) for r in cursor.fetchall()])
+    assert in_order([tuple(r) for r in df.collect()]) == expected
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    for node in ("Python", "Pandas", "CartesianProduct", "BroadcastNestedLoopJoin"):
+        assert node not in plan
+
+
+def test_entry(spark):
+    assert entry_point.entry(spark).count() > 0
+
+
+@pytest.mark.parametrize(
+    "report",
+    [
+        reports.hourly_volume,
+        reports.top_users,
+        reports.type_status_breakdown,
+        reports.zscore_outliers,
+        reports.geo_distribution,
+        reports.processing_lag,
+    ],
+)
+@pytest.mark.parametrize("as_of", [RUN_TS, None])
+def test_reports_prune_by_day(spark, tables, report, as_of):
+    append.append_transactions(tx_df(spark, [{}]), tables, "b")
+    plan = report(scan_transactions(spark, tables), as_of)
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    scans = [s for s in text.split("\n") if "FileScan" in s]
+    assert scans
+    for scan in scans:
+        filters = scan.split("PartitionFilters: [")[1].split("]")[0]
+        assert "transaction_date" in filters
+        assert "transaction_timestamp" in scan.split("PushedFilters: [")[1]
+
+
+def test_event_filters_reach_the_scan(spark):
+    df = QUERIES["hourly_volume"](spark, SF_DIR)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(ts" in plan
+    assert "props" not in plan

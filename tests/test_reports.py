@@ -1,0 +1,197 @@
+from __future__ import annotations
+
+import random
+import statistics
+from datetime import datetime, timedelta
+
+import pytest
+from pyspark.sql import functions as F
+
+from tests.conftest import UTC, micros, tx_df
+from txnlake.plans import reports
+
+AS_OF = datetime(2024, 1, 30, 15, 30, tzinfo=UTC)
+
+
+def ago(**span):
+    return AS_OF - timedelta(**span)
+
+
+def test_hourly_volume_includes_the_edge_and_later_rows(spark):
+    rows = [
+        {"transaction_timestamp": ago(hours=24), "amount": 10.0, "status": "failed"},
+        {"transaction_timestamp": ago(hours=24, microseconds=1), "amount": 99.0},
+        {"transaction_timestamp": ago(minutes=5), "amount": 2.0},
+        {"transaction_timestamp": ago(minutes=25), "amount": 3.015},
+        {"transaction_timestamp": ago(hours=-2), "amount": 4.0},
+    ]
+    got = micros(reports.hourly_volume(tx_df(spark, rows), AS_OF), "hour").collect()
+    hour = lambda d, h: int(datetime(2024, 1, d, h, tzinfo=UTC).timestamp()) * 1_000_000
+    assert [tuple(r) for r in got] == [
+        (hour(30, 17), 1, 4.0, 4.0, 0),
+        (hour(30, 15), 2, 5.02, 2.51, 0),
+        (hour(29, 15), 1, 10.0, 10.0, 1),
+    ]
+
+
+def test_top_users_orders_by_amount_and_skips_null_flags(spark):
+    rows = [{"user_id": f"u{i:02}", "amount": float(i), "is_anomaly": None} for i in range(12)]
+    rows += [
+        {"user_id": "u00", "amount": 50.0, "is_anomaly": True},
+        {"user_id": "u11", "amount": 900.0, "transaction_timestamp": ago(days=7, seconds=1)},
+        {"user_id": "u01", "amount": 1.0, "transaction_timestamp": ago(days=7)},
+    ]
+    got = [tuple(r) for r in reports.top_users(tx_df(spark, rows), AS_OF).collect()]
+    assert got[0] == ("u00", 2, 50.0, 25.0, 50.0, 1)
+    assert [r[0] for r in got] == ["u00"] + [f"u{i:02}" for i in range(11, 2, -1)]
+
+
+def test_breakdown_is_of_the_utc_day(spark):
+    day = datetime(2024, 1, 30, tzinfo=UTC)
+    rows = [
+        {"transaction_timestamp": day, "transaction_type": "refund"},
+        {"transaction_timestamp": day - timedelta(microseconds=1)},
+        {"transaction_timestamp": day + timedelta(days=1)},
+        {"transaction_timestamp": day + timedelta(hours=23)},
+        {"transaction_timestamp": day + timedelta(hours=5)},
+        {"transaction_timestamp": day + timedelta(hours=5), "status": "failed"},
+    ]
+    got = [tuple(r) for r in reports.type_status_breakdown(tx_df(spark, rows), AS_OF).collect()]
+    assert got == [
+        ("purchase", "completed", 2, 2.0, 1.0),
+        ("purchase", "failed", 1, 1.0, 1.0),
+        ("refund", "completed", 1, 1.0, 1.0),
+    ]
+
+
+def test_unknown_country_is_a_group(spark):
+    rows = [{"country": None, "amount": 9.0}, {"country": "PL"}, {"country": None, "amount": 1.0}]
+    got = [tuple(r) for r in reports.geo_distribution(tx_df(spark, rows), AS_OF).collect()]
+    assert got == [(None, 2, 10.0, 0), ("PL", 1, 1.0, 0)]
+
+
+def test_lag_counts_whole_seconds_toward_zero(spark):
+    seen = ago(minutes=10)
+    rows = [
+        {"transaction_timestamp": seen, "processed_at": seen + timedelta(seconds=1.9)},
+        {"transaction_timestamp": seen, "processed_at": seen - timedelta(seconds=1.9)},
+        {"transaction_timestamp": seen, "processed_at": seen + timedelta(seconds=6)},
+        {"transaction_timestamp": seen, "processed_at": None},
+        {"transaction_timestamp": ago(hours=1, seconds=1), "processed_at": AS_OF},
+    ]
+    got = reports.processing_lag(tx_df(spark, rows), AS_OF).collect()
+    assert [tuple(r) for r in got] == [(-1, 2.0, 6, 3)]
+
+
+def test_lag_of_an_empty_hour_is_one_row(spark):
+    got = reports.processing_lag(tx_df(spark, [{}]), AS_OF).collect()
+    assert [tuple(r) for r in got] == [(None, None, None, 0)]
+
+
+def brute_force_outliers(rows, hours):
+    """(id, z) from the definition, user by user."""
+    found = {}
+    for user in {r["user_id"] for r in rows}:
+        history = [
+            r
+            for r in rows
+            if r["user_id"] == user and r["transaction_timestamp"] >= ago(days=30)
+        ]
+        amounts = [r["amount"] for r in history]
+        if len(amounts) < 5 or statistics.stdev(amounts) == 0:
+            continue
+        mean, spread = statistics.fmean(amounts), statistics.stdev(amounts)
+        for r in history:
+            z = round((r["amount"] - mean) / spread, 2)
+            if r["transaction_timestamp"] >= ago(hours=hours) and abs(z) > 3:
+                found[r["transaction_id"]] = z
+    return found
+
+
+@pytest.mark.parametrize("broadcast", ["10MB", "-1"])
+def test_outliers_match_brute_force_with_one_user_holding_a_third(spark, broadcast):
+    rng = random.Random(7)
+    rows = []
+    for i in range(3000):
+        user = "whale" if i % 3 == 0 else f"u{rng.randrange(60)}"
+        amount = round(rng.lognormvariate(3, 0.6), 2)
+        rows.append(
+            {
+                "transaction_id": f"x{i}",
+                "user_id": user,
+                "amount": amount,
+                "transaction_timestamp": ago(hours=rng.uniform(-1, 24 * 33)),
+            }
+        )
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
+    try:
+        got = reports.zscore_outliers(tx_df(spark, rows), AS_OF, scored_hours=240, limit=None)
+        assert {r.transaction_id: r.z_score for r in got.collect()} == pytest.approx(
+            brute_force_outliers(rows, 240)
+        )
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_outlier_edges(spark):
+    few = [{"user_id": "four", "amount": a} for a in (1.0, 1.0, 1.0, 9e9)]
+    flat = [{"user_id": "flat", "amount": 5.0}] * 8
+    # 19 equal amounts and one other: z is (n-1)/sqrt(n) = 4.25 on either side.
+    high = [{"user_id": "high", "amount": a} for a in [1.0] * 19 + [2.0]]
+    low = [{"user_id": "low", "amount": a} for a in [9.0] * 19 + [1.0]]
+    # Eleven rows give 3.02, ten give 2.85, which is not above 3.
+    eleven = [{"user_id": "eleven", "amount": a} for a in [1.0] * 10 + [2.0]]
+    ten = [{"user_id": "ten", "amount": a} for a in [1.0] * 9 + [2.0]]
+    old = [
+        {"user_id": "old", "amount": a, "transaction_timestamp": ago(hours=24, seconds=1)}
+        for a in [1.0] * 19 + [2.0]
+    ]
+    rows = [r for group in (few, flat, high, low, eleven, ten, old) for r in group]
+    got = reports.zscore_outliers(tx_df(spark, rows), AS_OF).collect()
+    assert sorted((r.user_id, r.z_score) for r in got) == [
+        ("eleven", 3.02),
+        ("high", 4.25),
+        ("low", -4.25),
+    ]
+    assert abs(got[0].z_score) >= abs(got[-1].z_score)
+
+
+def test_a_rounded_score_of_three_is_not_an_outlier(spark):
+    # Ten values alternate around 0.5; the eleventh is placed at z = 3.004 or 3.006.
+    def at_z(target):
+        base = [0.0, 1.0] * 10
+        lo, hi = 1.0, 10.0
+        for _ in range(200):
+            mid = (lo + hi) / 2
+            values = base + [mid]
+            z = (mid - statistics.fmean(values)) / statistics.stdev(values)
+            lo, hi = (mid, hi) if z < target else (lo, mid)
+        return base + [lo]
+
+    rows = [{"user_id": "in", "amount": a + 1} for a in at_z(3.006)]
+    rows += [{"user_id": "out", "amount": a + 1} for a in at_z(3.004)]
+    got = reports.zscore_outliers(tx_df(spark, rows), AS_OF).collect()
+    assert [(r.user_id, r.z_score) for r in got] == [("in", 3.01)]
+
+
+def test_limit_takes_the_most_extreme(spark):
+    rows = [
+        {"user_id": f"u{n}", "amount": a} for n in range(12, 22) for a in [1.0] * n + [2.0]
+    ]
+    got = reports.zscore_outliers(tx_df(spark, rows), AS_OF, limit=3).collect()
+    assert [r.user_id for r in got] == ["u21", "u20", "u19"]
+
+
+def test_a_time_without_offset_is_refused(spark):
+    with pytest.raises(ValueError):
+        reports.hourly_volume(tx_df(spark, [{}]), datetime(2024, 1, 1))
+    with pytest.raises(ValueError):
+        reports.zscore_outliers(tx_df(spark, [{}]), AS_OF, scored_hours=24 * 31)
+
+
+def test_default_time_is_now(spark):
+    now = tx_df(spark, [{}]).withColumn("transaction_timestamp", F.current_timestamp())
+    assert reports.hourly_volume(now).count() == 1
+    assert reports.type_status_breakdown(now).count() == 1
+    assert reports.hourly_volume(tx_df(spark, [{}])).count() == 0

@@ -1,0 +1,126 @@
+from __future__ import annotations
+
+import json
+from datetime import datetime, timedelta
+
+import pytest
+
+from tests.conftest import RUN_TS, UTC, tx_df
+from txnlake.operators import append, ingest
+from txnlake.operators import requests as R
+from txnlake.plans import serving
+from txnlake.schemas import REQUEST, TRANSACTIONS
+from txnlake.sources.lines import read_lines
+from txnlake.sources.tables import scan_anomalies, scan_transactions
+
+START = datetime(2024, 1, 1, tzinfo=UTC)
+
+
+@pytest.fixture
+def stored(spark, tables):
+    """Forty days with 3 rows each, one user in one type on few of them."""
+    rows = [
+        {
+            "transaction_id": f"d{day:02}-{n}",
+            "transaction_timestamp": START + timedelta(days=day, hours=n % 2),
+            "user_id": "rare" if day % 9 == 0 else "common",
+            "transaction_type": "deposit" if n == 0 else "purchase",
+            "amount": 10.0 * n + 1,
+            "is_anomaly": n == 2,
+        }
+        for day in range(40)
+        for n in range(3)
+    ]
+    source = tx_df(spark, rows)
+    append.append_transactions(source, tables, "b1")
+    for batch, when in (("b1", RUN_TS), ("b2", RUN_TS + timedelta(hours=1))):
+        found = ingest.extract_anomalies(source, 20.0, when)
+        append.append_anomalies(found, tables, batch)
+    return tables
+
+
+def ids(df):
+    return [r.transaction_id for r in df.collect()]
+
+
+def test_newest_first_over_day_partitions(spark, stored):
+    df = serving.recent_transactions(scan_transactions(spark, stored), limit=4)
+    assert df.columns == TRANSACTIONS.names
+    assert ids(df) == ["d39-1", "d39-0", "d39-2", "d38-1"]
+
+
+def test_filters_reach_back_as_far_as_needed(spark, stored):
+    table = scan_transactions(spark, stored)
+    df = serving.recent_transactions(table, 3, user_id="rare", transaction_type="deposit")
+    assert ids(df) == ["d36-0", "d27-0", "d18-0"]
+    everything = serving.recent_transactions(table, 500, user_id="rare")
+    assert everything.count() == 15
+    assert serving.recent_transactions(table, 500, user_id="nobody").count() == 0
+
+
+def test_empty_text_is_no_filter(spark, stored):
+    table = scan_transactions(spark, stored)
+    assert serving.recent_transactions(table, 500, user_id="", transaction_type="").count() == 120
+
+
+def test_old_days_are_not_opened(spark, stored):
+    df = serving.recent_transactions(scan_transactions(spark, stored), limit=4)
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "transaction_date" in plan.split("PartitionFilters: [")[1].split("]")[0]
+
+
+def test_recent_anomalies(spark, stored):
+    df = serving.recent_anomalies(scan_anomalies(spark, stored), limit=41)
+    rows = df.collect()
+    assert len(rows) == 41
+    assert [r.detected_at for r in rows].count(rows[0].detected_at) == 40
+    assert rows[0].transaction_id == "d00-2"
+
+
+@pytest.mark.parametrize("limit", [0, -1, 501])
+def test_limit_range(spark, limit):
+    with pytest.raises(ValueError):
+        serving.recent_transactions(tx_df(spark, [{}]), limit)
+    with pytest.raises(ValueError):
+        serving.recent_anomalies(tx_df(spark, [{}]), limit)
+
+
+def test_stats(spark, tables):
+    rows = [{"amount": 1.005, "is_anomaly": f} for f in (True, False, None)]
+    assert tuple(serving.stats(tx_df(spark, rows)).first()) == (3, 3.01, 1, 33.33)
+    assert tuple(serving.stats(scan_transactions(spark, tables)).first()) == (0, None, 0, None)
+
+
+def test_json_rows(spark):
+    whole = datetime(2024, 1, 30, 12, tzinfo=UTC)
+    rows = [{"transaction_timestamp": whole, "processed_at": whole + timedelta(microseconds=50)}]
+    got = json.loads(serving.as_json(tx_df(spark, rows)).first().json)
+    assert got["transaction_timestamp"] == whole.isoformat()
+    assert got["processed_at"] == (whole + timedelta(microseconds=50)).isoformat()
+    assert got["merchant_id"] is None and got["is_anomaly"] is False
+
+
+def test_requests(spark, tmp_path):
+    base = ("u1", 5.0, "USD", "purchase", "completed", None, None, None)
+    nan, inf = float("nan"), float("inf")
+    bad = [base[:1] + (a,) + base[2:] for a in (0.0, -1.0, nan, inf, None)]
+    bad += [(None,) + base[1:], base[:2] + (None,) + base[3:]]
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in REQUEST)
+    df = spark.createDataFrame([base, base, *bad], schema)
+    assert sorted(r.reason for r in R.check_requests(df).collect()) == sorted(
+        ["ok"] * 2 + ["non_positive_amount"] * 3 + ["bad_value"] + ["missing_fields"] * 3
+    )
+
+    out = str(tmp_path / "messages")
+    append.publish(R.normalise_requests(df, RUN_TS), "text", out)
+    sent = [json.loads(r.value) for r in read_lines(spark, out).collect()]
+    assert len({m["transaction_id"] for m in sent}) == 2
+    assert all(m["country"] is None and m["amount"] == 5.0 for m in sent)
+    assert {m["transaction_timestamp"] for m in sent} == {RUN_TS.isoformat()}
+    assert {r.reason for r in ingest.classify(read_lines(spark, out)).collect()} == {"ok"}
+
+
+def test_unknown_message_sink(spark):
+    with pytest.raises(ValueError):
+        append.publish(tx_df(spark, [{}]), "pigeon", "x")

@@ -23,24 +23,24 @@ def _write(rows: DataFrame, path: str, *partitions: str) -> None:
     )
 
 
-def lay_out(transactions: DataFrame) -> DataFrame:
+def lay_out(transactions: DataFrame, batch: str) -> DataFrame:
     """Bring rows of one day, type and status together, sorted for block skipping.
 
     `rebalance` leaves the number and size of the output tasks to adaptive
     execution: it splits a group that is too large for one task and merges small
     ones, so one heavy day or type neither stalls a task nor scatters files.
     """
-    keys = [DAY, *CLUSTER_BY]
     return (
-        transactions.withColumn(DAY, F.to_date("transaction_timestamp"))
-        .hint("rebalance", *keys)
-        .sortWithinPartitions(*keys)
+        transactions.select(*TRANSACTIONS.names)
+        .withColumn(DAY, F.to_date("transaction_timestamp"))
+        .withColumn(BATCH, F.lit(batch))
+        .hint("rebalance", DAY, *CLUSTER_BY)
+        .sortWithinPartitions(DAY, BATCH, *CLUSTER_BY)
     )
 
 
 def append_transactions(transactions: DataFrame, tables: Tables, batch: str) -> None:
-    rows = lay_out(transactions.select(*TRANSACTIONS.names)).withColumn(BATCH, F.lit(batch))
-    _write(rows, tables.transactions_path, DAY, BATCH)
+    _write(lay_out(transactions, batch), tables.transactions_path, DAY, BATCH)
 
 
 def append_anomalies(anomalies: DataFrame, tables: Tables, batch: str) -> None:

@@ -18,8 +18,8 @@ from txnlake.sources.tables import on_day, since
 HISTORY_DAYS = 30
 MIN_HISTORY = 5
 Z_LIMIT = 3
-# At most this many users can each hold more than one part in HEAVY_SHARE of the rows.
-HEAVY_SHARE = 10_000
+# Parts that each user's rows are spread over in the join.
+SALTS = 32
 
 
 def _total(column: str = "amount") -> Column:
@@ -117,12 +117,13 @@ def zscore_outliers(
 ) -> DataFrame:
     """Recent transactions far from their user's 30-day mean, by rounded z-score.
 
-    The users' figures come from one aggregation, which also yields each user's
-    number, maximum and minimum of recent amounts. The extremes tell which users
-    have an outlier at all; only those take part in the join. The count finds the
-    users who hold a large share of the recent rows. There are at most HEAVY_SHARE
-    of them whatever the table's size, so their figures are broadcast and their
-    rows are scored where they are; only the many light users' rows are shuffled.
+    One aggregation gives each user's figures and the extremes of the recent
+    amounts. The extremes tell which users have an outlier at all, and only those
+    take part in the join. Recent rows are joined on user and salt, so that one
+    user's rows spread over many tasks; the few users left are repeated per salt.
+    Both sides then arrive by a shuffle of their own, which also lets adaptive
+    execution split what is still too large, or broadcast the users if their
+    measured size allows.
     """
     if not 0 < scored_hours <= 24 * HISTORY_DAYS:
         raise ValueError("the scored span must lie within the history")
@@ -137,13 +138,10 @@ def zscore_outliers(
             F.avg(amount).alias("avg_amount"),
             F.stddev_samp(amount).alias("stddev_amount"),
             F.count("*").alias("tx_count"),
-            F.count(recent_amount).alias("recent_count"),
             F.max(recent_amount).alias("highest"),
             F.min(recent_amount).alias("lowest"),
         )
     )
-    recent_rows = users.agg(F.sum("recent_count")).scalar()
-    heavy = F.col("recent_count") * HEAVY_SHARE > recent_rows
     # A spread of zero has no z-score. Rounding keeps order, so the extremes decide.
     has_outlier = (
         (F.col("tx_count") >= MIN_HISTORY)
@@ -151,17 +149,16 @@ def zscore_outliers(
         & ~F.isnan("stddev_amount")
         & ((_z_score(F.col("highest")) > Z_LIMIT) | (_z_score(F.col("lowest")) < -Z_LIMIT))
     )
-    figures = ["user_id", "avg_amount", "stddev_amount"]
-    heavy_users = users.filter(heavy)
-    rows = since(transactions, span_start).select(
-        "transaction_id", "user_id", "amount", "transaction_timestamp", "country"
-    )
-    in_place = rows.join(F.broadcast(heavy_users.filter(has_outlier).select(*figures)), "user_id")
-    shuffled = rows.join(F.broadcast(heavy_users.select("user_id")), "user_id", "left_anti").join(
-        users.filter(~heavy & has_outlier).select(*figures), "user_id"
+    suspects = users.filter(has_outlier).select(
+        "user_id",
+        "avg_amount",
+        "stddev_amount",
+        F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"),
     )
     scored = (
-        in_place.unionByName(shuffled)
+        since(transactions, span_start)
+        .withColumn("salt", F.pmod(F.xxhash64("transaction_id"), F.lit(SALTS)).cast("int"))
+        .join(suspects, ["user_id", "salt"])
         .withColumn("z_score", _z_score(amount))
         .filter(F.abs("z_score") > Z_LIMIT)
         .select(
