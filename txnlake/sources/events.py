@@ -36,6 +36,16 @@ def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(EVENTS).parquet(f"{sf_dir}/events.parquet")
 
 
+def _spread(df: DataFrame) -> DataFrame:
+    """Use all cores on a scan that has fewer tasks than there are cores.
+
+    A small table is one row group and so one task, which is too few for writing
+    and parsing JSON. A table with many splits is left alone.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def _pick(values: tuple[str, ...], number: Column) -> Column:
     return F.get(F.array(*[F.lit(v) for v in values]), number % len(values))
 
@@ -93,7 +103,7 @@ def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(kind == 4, extra)
         .otherwise(whole)
     )
-    return read_events(spark, sf_dir).select(value.alias("value"))
+    return _spread(read_events(spark, sf_dir)).select(value.alias("value"))
 
 
 def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
