@@ -118,6 +118,20 @@ def test_running_again_under_the_same_name_replaces(spark, tables, tmp_path, mon
     assert ids(scan_anomalies(spark, tables)) == list("bd")
 
 
+def test_running_again_with_a_higher_threshold_leaves_no_old_anomalies(spark, tables, tmp_path):
+    put(tmp_path / "raw", "1.json", MESSAGES)
+    for threshold, expected in ((1000.0, ["b", "d"]), (1e6, [])):
+        run_batch(spark, str(tmp_path / "raw"), tables, batch="monday", threshold=threshold)
+        assert ids(scan_anomalies(spark, tables)) == expected
+    assert ids(scan_transactions(spark, tables)) == list("abcd")
+
+
+def test_a_batch_name_must_not_be_a_path(spark, tables, tmp_path):
+    put(tmp_path / "raw", "1.json", MESSAGES)
+    with pytest.raises(ValueError):
+        run_batch(spark, str(tmp_path / "raw"), tables, batch="../other")
+
+
 def test_no_files_is_a_successful_empty_run(spark, tables, tmp_path):
     counts = run_batch(spark, str(tmp_path / "none/*.json"), tables)
     assert set(counts.values()) == {0}

@@ -75,6 +75,10 @@ def parser() -> argparse.ArgumentParser:
     return top
 
 
+def _given(options: dict) -> dict:
+    return {name: value for name, value in options.items() if value is not None}
+
+
 def main(argv: list[str] | None = None) -> None:
     known = parser()
     args = known.parse_args(argv)
@@ -99,16 +103,14 @@ def main(argv: list[str] | None = None) -> None:
         print(json.dumps(counts))
     elif args.command == "stream":
         if args.source == "kafka":
-            lines = stream_kafka(
-                spark, args.servers, args.input, max_offsets_per_trigger=args.max_per_trigger
-            )
+            options = {"max_offsets_per_trigger": args.max_per_trigger}
+            lines = stream_kafka(spark, args.servers, args.input, **_given(options))
         else:
-            lines = stream_files(
-                spark,
-                args.input,
-                archive_dir=args.archive_dir,
-                max_files_per_trigger=args.max_per_trigger,
-            )
+            options = {
+                "max_files_per_trigger": args.max_per_trigger,
+                "archive_dir": args.archive_dir,
+            }
+            lines = stream_files(spark, args.input, **_given(options))
         run_stream(
             lines,
             tables,

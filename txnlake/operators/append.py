@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from txnlake.functions.text import json_row
 from txnlake.schemas import ANOMALIES, BATCH, DAY, TRANSACTIONS
+from txnlake.session import remove_dir
 from txnlake.settings import Tables
 
 CLUSTER_BY = ("transaction_type", "status")
@@ -23,6 +26,20 @@ def _write(rows: DataFrame, path: str, *partitions: str) -> None:
     )
 
 
+def _write_by_batch(rows: DataFrame, path: str, batch: str) -> None:
+    # An overwrite leaves a partition alone for which there are no rows now, as
+    # for a batch that runs again with a higher threshold.
+    remove_dir(rows.sparkSession, f"{path}/{BATCH}={checked_batch(batch)}")
+    _write(rows.hint("rebalance").withColumn(BATCH, F.lit(batch)), path, BATCH)
+
+
+def checked_batch(batch: str) -> str:
+    """A batch's name is part of a path."""
+    if not re.fullmatch(r"[A-Za-z0-9_.-]+", batch):
+        raise ValueError(f"a batch name is letters, digits, '_', '.' and '-', not {batch!r}")
+    return batch
+
+
 def lay_out(transactions: DataFrame, batch: str) -> DataFrame:
     """Bring rows of one day, type and status together, sorted for block skipping.
 
@@ -44,12 +61,11 @@ def append_transactions(transactions: DataFrame, tables: Tables, batch: str) ->
 
 
 def append_anomalies(anomalies: DataFrame, tables: Tables, batch: str) -> None:
-    rows = anomalies.select(*ANOMALIES.names).hint("rebalance").withColumn(BATCH, F.lit(batch))
-    _write(rows, tables.anomalies_path, BATCH)
+    _write_by_batch(anomalies.select(*ANOMALIES.names), tables.anomalies_path, batch)
 
 
 def append_rejects(rejects: DataFrame, path: str, batch: str) -> None:
-    _write(rejects.hint("rebalance").withColumn(BATCH, F.lit(batch)), path, BATCH)
+    _write_by_batch(rejects, path, batch)
 
 
 def encode(transactions: DataFrame) -> DataFrame:

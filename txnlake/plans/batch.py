@@ -64,7 +64,7 @@ def run_batch(
         return dict.fromkeys(counters.NAMES, 0)
 
     run_ts = run_ts or utc_now()
-    batch = batch or str(uuid.uuid4())
+    batch = append.checked_batch(batch or str(uuid.uuid4()))
     enriched = ingest.enrich(ingest.classify(lines), threshold, run_ts)
     observed, observation = counters.observe(enriched)
     # Only refused lines are needed as text again.

@@ -50,6 +50,6 @@ def work_dir(spark: SparkSession, purpose: str) -> str:
 
 
 def remove_dir(spark: SparkSession, path: str) -> None:
-    """Delete a path that `work_dir` gave out."""
+    """Delete a folder of this package's own making, if it is there."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)

@@ -24,7 +24,7 @@ def stream_files(
     path: str,
     *,
     archive_dir: str | None = None,
-    max_files_per_trigger: int | None = None,
+    max_files_per_trigger: int | None = 1000,
 ) -> DataFrame:
     """New files matching `path`, each read once per checkpoint.
 
@@ -44,14 +44,19 @@ def stream_kafka(
     servers: str,
     topic: str,
     *,
-    max_offsets_per_trigger: int | None = None,
+    max_offsets_per_trigger: int | None = 10_000_000,
     **options: str,
 ) -> DataFrame:
-    """Message bodies of a Kafka topic as bytes. Needs the spark-sql-kafka package."""
+    """Message bodies of a Kafka topic as bytes. Needs the spark-sql-kafka package.
+
+    A new query starts with the oldest message that the topic still holds. The
+    limit only sets how much one micro-batch takes on; nothing is left out.
+    """
     reader = (
         spark.readStream.format("kafka")
         .option("kafka.bootstrap.servers", servers)
         .option("subscribe", topic)
+        .option("startingOffsets", "earliest")
         .options(**options)
     )
     if max_offsets_per_trigger:
