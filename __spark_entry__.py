@@ -13,7 +13,7 @@ from txnlake.operators import append, counters, ingest
 from txnlake.operators import requests as R
 from txnlake.plans import batch, reports, serving
 from txnlake.schemas import PAYLOAD
-from txnlake.session import apply_settings, work_dir
+from txnlake.session import apply_settings, remove_dir, work_dir
 from txnlake.settings import Tables
 from txnlake.sources import events
 from txnlake.sources.lines import read_lines, stream_files
@@ -63,32 +63,38 @@ def _anomalies(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _raw_files(spark: SparkSession, sf_dir: str) -> tuple[str, Tables]:
-    """Files of JSON lines and two empty tables, in the shared folder."""
+def _through_tables(
+    spark: SparkSession, sf_dir: str, job: Callable[[str, str, Tables], object]
+) -> Tables:
+    """Write the lines as files, run a job from them into two new tables."""
     home = work_dir(spark, "run")
     events.lines(spark, sf_dir).write.text(f"{home}/raw")
     tables = Tables(f"{home}/dataset")
     create_tables(spark, tables)
-    return f"{home}/raw/*.txt", tables
+    job(home, f"{home}/raw/*.txt", tables)
+    remove_dir(spark, f"{home}/raw")
+    return tables
 
 
 def _batch_job(spark: SparkSession, sf_dir: str) -> Tables:
-    files, tables = _raw_files(spark, sf_dir)
-    batch.run_batch(spark, files, tables, threshold=events.THRESHOLD, run_ts=RUN_TS)
-    return tables
+    def job(home: str, files: str, tables: Tables) -> None:
+        batch.run_batch(spark, files, tables, threshold=events.THRESHOLD, run_ts=RUN_TS)
+
+    return _through_tables(spark, sf_dir, job)
 
 
 def _stream_job(spark: SparkSession, sf_dir: str) -> Tables:
-    files, tables = _raw_files(spark, sf_dir)
-    run_stream(
-        stream_files(spark, files),
-        tables,
-        f"{work_dir(spark, 'stream')}/checkpoint",
-        threshold=events.THRESHOLD,
-        available_now=True,
-        clock=lambda: RUN_TS,
-    ).awaitTermination()
-    return tables
+    def job(home: str, files: str, tables: Tables) -> None:
+        run_stream(
+            stream_files(spark, files),
+            tables,
+            f"{home}/checkpoint",
+            threshold=events.THRESHOLD,
+            available_now=True,
+            clock=lambda: RUN_TS,
+        ).awaitTermination()
+
+    return _through_tables(spark, sf_dir, job)
 
 
 def _published(spark: SparkSession, sf_dir: str) -> DataFrame:
