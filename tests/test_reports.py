@@ -195,3 +195,20 @@ def test_default_time_is_now(spark):
     assert reports.hourly_volume(now).count() == 1
     assert reports.type_status_breakdown(now).count() == 1
     assert reports.hourly_volume(tx_df(spark, [{}])).count() == 0
+
+
+def test_another_time_zone_is_refused(spark):
+    rows = tx_df(spark, [{}])
+    spark.conf.set("spark.sql.session.timeZone", "Europe/Warsaw")
+    try:
+        for report in (reports.hourly_volume, reports.type_status_breakdown):
+            with pytest.raises(ValueError, match="UTC"):
+                report(rows, AS_OF)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_amounts_that_are_not_numbers_make_no_outliers(spark):
+    rows = [{"user_id": "nan", "amount": a} for a in [1.0] * 19 + [float("nan")]]
+    rows += [{"user_id": "inf", "amount": a} for a in [1.0] * 19 + [float("inf")]]
+    assert reports.zscore_outliers(tx_df(spark, rows), AS_OF).count() == 0

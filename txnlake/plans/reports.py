@@ -106,7 +106,9 @@ def processing_lag(transactions: DataFrame, as_of: datetime | None = None) -> Da
 
 
 def _z_score(amount: Column) -> Column:
-    return F.round((amount - F.col("avg_amount")) / F.col("stddev_amount"), 2)
+    """NULL for a user whose amounts are all equal."""
+    spread = F.nullif(F.col("stddev_amount"), F.lit(0.0))
+    return F.round((amount - F.col("avg_amount")) / spread, 2)
 
 
 def zscore_outliers(
@@ -142,10 +144,9 @@ def zscore_outliers(
             F.min(recent_amount).alias("lowest"),
         )
     )
-    # A spread of zero has no z-score. Rounding keeps order, so the extremes decide.
+    # Rounding keeps order, so the extremes decide. Spark orders NaN above all numbers.
     has_outlier = (
         (F.col("tx_count") >= MIN_HISTORY)
-        & (F.col("stddev_amount") > 0)
         & ~F.isnan("stddev_amount")
         & ((_z_score(F.col("highest")) > Z_LIMIT) | (_z_score(F.col("lowest")) < -Z_LIMIT))
     )

@@ -34,6 +34,13 @@ def apply_settings(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def require_utc(spark: SparkSession) -> None:
+    """Days and hours are those of UTC; another session time zone would shift them."""
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    if zone.upper() not in ("UTC", "ETC/UTC", "Z", "+00:00"):
+        raise ValueError(f"set spark.sql.session.timeZone to UTC, not {zone}")
+
+
 def work_dir(spark: SparkSession, purpose: str) -> str:
     """A new, empty path for intermediate tables, in the cluster's shared folder.
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from txnlake.schemas import ANOMALIES, BATCH, DAY, TRANSACTIONS
+from txnlake.session import require_utc
 from txnlake.settings import Tables
 
 _BATCH = T.StructField(BATCH, T.StringType())
@@ -29,6 +30,7 @@ def create_tables(spark: SparkSession, tables: Tables) -> None:
 
 
 def _scan(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    require_utc(spark)
     try:
         return spark.read.schema(schema).parquet(path)
     except AnalysisException as e:
@@ -53,6 +55,7 @@ def require_tables(spark: SparkSession, tables: Tables) -> None:
 
 def since(transactions: DataFrame, start: Column) -> DataFrame:
     """Rows from `start` on. The day predicate is what prunes partitions."""
+    require_utc(transactions.sparkSession)
     rows = transactions.filter(F.col("transaction_timestamp") >= start)
     if DAY in transactions.columns:
         rows = rows.filter(F.col(DAY) >= F.to_date(start))
@@ -61,6 +64,7 @@ def since(transactions: DataFrame, start: Column) -> DataFrame:
 
 def on_day(transactions: DataFrame, moment: Column) -> DataFrame:
     """Rows of the UTC day that holds `moment`."""
+    require_utc(transactions.sparkSession)
     rows = transactions.filter(F.to_date("transaction_timestamp") == F.to_date(moment))
     if DAY in transactions.columns:
         rows = rows.filter(F.col(DAY) == F.to_date(moment))
