@@ -24,6 +24,15 @@ from txnlake.sources.tables import (
 )
 from txnlake.streaming.job import run_stream
 
+try:
+    import corpus_pipeline
+    import txnlake.llm.registry as llm
+except ModuleNotFoundError as missing:
+    # Only the absence of the subpackage is accepted, not of anything it imports.
+    if missing.name not in ("corpus_pipeline", "txnlake.llm", "txnlake.llm.registry"):
+        raise
+    llm = None
+
 # The time the reports are run for, and the time stamped on ingested rows.
 AS_OF = datetime(2024, 1, 30, 23, 59, 59, tzinfo=timezone.utc)
 RUN_TS = datetime(2024, 1, 31, 12, 0, 0, tzinfo=timezone.utc)
@@ -156,6 +165,8 @@ def queries() -> dict[str, Query]:
             lambda t: reports.zscore_outliers(t, AS_OF, scored_hours=WEEK_HOURS, limit=None)
         ),
     }
+    if llm:
+        built |= llm.queries() | {"pipeline": corpus_pipeline.run}
     return {name: _query(build) for name, build in built.items()}
 
 
@@ -293,7 +304,14 @@ _ROW_JSON = [*_PAYLOAD_JSON[:9], "is_anomaly:raw", "transaction_timestamp:time",
 
 
 def oracle_sql() -> dict[str, str]:
-    """DuckDB SQL with the same columns and rows as each query."""
+    """DuckDB SQL with the same columns and rows as each query that SQL can express."""
+    of_llm = llm.oracle_sql() if llm else {}
+    if llm and corpus_pipeline.ORACLE_SQL:
+        of_llm["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return _table_sql() | of_llm
+
+
+def _table_sql() -> dict[str, str]:
     raw_json = {
         kind: _json([f for f in [*_PAYLOAD_JSON, "is_anomaly:raw"] if f not in left_out])
         for kind, left_out in (("whole", ()), ("no_currency", ("currency",)))
