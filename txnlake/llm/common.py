@@ -3,7 +3,11 @@
 from __future__ import annotations
 
 import atexit
-from collections.abc import Iterator
+import shutil
+import tempfile
+import zipfile
+from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 import pyarrow.compute
@@ -11,11 +15,13 @@ from py4j.protocol import Py4JError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import txnlake
 from txnlake.session import remove_dir, work_dir
 
 #: Texts of a batch are taken in portions of about so many characters, so that
 #: the memory of a Python worker does not depend on the number of rows.
 PORTION_CHARS = 4_000_000
+BATCH_ROWS = 1_000
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -70,3 +76,29 @@ def portions(batches: Iterator[pa.RecordBatch], text: str = "text") -> Iterator[
             size += int(n)
         if start < batch.num_rows:
             yield batch.slice(start)
+
+
+def texts(docs: DataFrame) -> DataFrame:
+    """doc_id and text only: other columns are not looked at."""
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+
+
+def ship(spark: SparkSession) -> None:
+    """Give this package to the Python workers, once per Spark context."""
+    context = spark.sparkContext
+    name = f"txnlake-{context.applicationId}.zip"
+    if any(name in x for x in context._python_includes):
+        return
+    folder, root = tempfile.mkdtemp(), Path(txnlake.__file__).parent.parent
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    with zipfile.ZipFile(Path(folder, name), "w") as out:
+        for path in sorted(root.glob("txnlake/**/*.py")):
+            out.write(path, path.relative_to(root))
+    context.addPyFile(str(Path(folder, name)))  # Spark serves it to the executors
+
+
+def map_arrow(df: DataFrame, function: Callable, schema: str) -> DataFrame:
+    """mapInArrow with batches that stay small when texts are long."""
+    ship(df.sparkSession)
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    return df.mapInArrow(function, schema)

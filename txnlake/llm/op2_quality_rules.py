@@ -25,7 +25,7 @@ RULES: dict[str, str] = {
     "few_words": "n_words < 10",
     "repeated_words": "100 * n_repeat_words > 20 * n_words",
     "repeated_lines": "100 * n_dup_lines > 30 * n_lines",
-    "many_symbols": "n_symbols > n_words",
+    "many_symbols": "10 * n_symbols > n_words",
     "long_words": "word_chars > 20 * n_words",
     "short_words": "word_chars < 2 * n_words",
 }
@@ -179,7 +179,7 @@ WITH split AS (
   SELECT *, (CASE WHEN n_words < 10 THEN 1 ELSE 0 END
     + CASE WHEN 100 * n_repeat_words > 20 * n_words THEN 2 ELSE 0 END
     + CASE WHEN 100 * n_dup_lines > 30 * n_lines THEN 4 ELSE 0 END
-    + CASE WHEN n_symbols > n_words THEN 8 ELSE 0 END
+    + CASE WHEN 10 * n_symbols > n_words THEN 8 ELSE 0 END
     + CASE WHEN word_chars > 20 * n_words THEN 16 ELSE 0 END
     + CASE WHEN word_chars < 2 * n_words THEN 32 ELSE 0 END)::BIGINT AS fail_bits
   FROM measured

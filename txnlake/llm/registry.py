@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from txnlake.llm import op2_quality_rules as op2
+from txnlake.llm import op4_byte_bpe as op4
+from txnlake.llm import op9_token_counts as op9
 from txnlake.llm import op10_exact_dedup as op10
 from txnlake.llm.common import documents
 
@@ -16,6 +18,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 def queries() -> dict[str, Query]:
     return {
         "op2_quality_rules": lambda s, d: op2.quality_rules(documents(s, d)),
+        "op4_byte_bpe": lambda s, d: op4.digests(op4.encode(documents(s, d))),
+        "op9_token_counts": lambda s, d: op9.token_counts(documents(s, d)),
         "op10_exact_dedup": lambda s, d: op10.exact_dedup(documents(s, d)),
     }
 
