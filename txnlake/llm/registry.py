@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from txnlake.llm import op1_language_id as op1
 from txnlake.llm import op2_quality_rules as op2
 from txnlake.llm import op4_byte_bpe as op4
 from txnlake.llm import op5_license_scan as op5
@@ -20,6 +21,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_language_id": lambda s, d: op1.language_id(documents(s, d)),
         "op2_quality_rules": lambda s, d: op2.quality_rules(documents(s, d)),
         "op4_byte_bpe": lambda s, d: op4.digests(op4.encode(documents(s, d))),
         "op5_license_scan": lambda s, d: op5.license_scan(documents(s, d)),
