@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from txnlake.llm import op1_language_id as op1
 from txnlake.llm import op2_quality_rules as op2
+from txnlake.llm import op3_jaccard_join as op3
 from txnlake.llm import op4_byte_bpe as op4
 from txnlake.llm import op5_license_scan as op5
 from txnlake.llm import op6_best_fit_packing as op6
@@ -23,6 +24,7 @@ def queries() -> dict[str, Query]:
     return {
         "op1_language_id": lambda s, d: op1.language_id(documents(s, d)),
         "op2_quality_rules": lambda s, d: op2.quality_rules(documents(s, d)),
+        "op3_jaccard_join": lambda s, d: op3.jaccard_components(documents(s, d)).drop("text_hash"),
         "op4_byte_bpe": lambda s, d: op4.digests(op4.encode(documents(s, d))),
         "op5_license_scan": lambda s, d: op5.license_scan(documents(s, d)),
         "op6_best_fit_packing": lambda s, d: op6.pack(documents(s, d)),
