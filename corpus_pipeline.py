@@ -3,15 +3,30 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from txnlake.llm.common import documents, stored
 from txnlake.llm.op2_quality_rules import keep_good
+from txnlake.llm.op3_jaccard_join import keep_one_of_each_component
+from txnlake.llm.op6_best_fit_packing import pack
+from txnlake.llm.op8_pii import sanitise
 from txnlake.llm.op10_exact_dedup import keep_one_copy
 
+
+def _without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    clean = sanitise(docs)
+    if "n_chars" in clean.columns:
+        clean = clean.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
+    return clean
+
+
 #: Each stage takes (spark, docs, sf_dir). All but the last return the columns of documents.
 STAGES = [
     ("quality_rules", lambda spark, docs, sf_dir: keep_good(docs)),
     ("exact_dedup", lambda spark, docs, sf_dir: keep_one_copy(docs)),
+    ("jaccard_join", lambda spark, docs, sf_dir: keep_one_of_each_component(docs)),
+    ("pii", _without_personal_data),
+    ("best_fit_packing", lambda spark, docs, sf_dir: pack(docs)),
 ]
 
 #: Tokens and similarity components are beyond SQL; tests compare with brute force.

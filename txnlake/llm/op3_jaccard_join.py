@@ -415,7 +415,11 @@ def class_components(rows: DataFrame, docs: DataFrame) -> DataFrame:
 
 
 def jaccard_components(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, component_id, and text_hash: a row per document."""
+    """A row per document: doc_id, n_shingles and component_id.
+
+    Also text_hash, and component, which tells components apart even where ids
+    repeat (null for documents without shingles).
+    """
     rows = stored(sets(docs, frequent_shingles(docs)), "shingle-sets")
     comps = class_components(rows, docs)
     classes = (
@@ -423,30 +427,36 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
         .groupBy("digest")
         .agg(F.min("uid").alias("u"), F.min("doc_id").alias("least_id"))
         .join(comps, "u", "left")
-        .select("digest", "least_id", F.coalesce("v", "u").alias("comp"))
+        .select("digest", "least_id", F.coalesce("v", "u").alias("component"))
     )
     classes = stored(classes, "classes")
-    least = classes.groupBy("comp").agg(F.min("least_id").alias("component"))
-    of_class = classes.join(least, "comp").select("digest", "component")
+    least = classes.groupBy("component").agg(F.min("least_id").alias("component_id"))
+    of_class = classes.join(least, "component").select("digest", "component", "component_id")
     return rows.join(of_class, "digest", "left").select(
         "doc_id",
         F.col("n").alias("n_shingles"),
-        F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("doc_id")).alias("component_id"),
+        F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
         "text_hash",
+        "component",
     )
 
 
 def keep_one_of_each_component(docs: DataFrame) -> DataFrame:
-    """The document with the smallest id of each component, with all its columns.
+    """One document of each component, with all its columns: the one with the smallest id.
 
-    Documents without shingles all stay, as do those without an id unless their
-    component has one. Of equal rows one stays.
+    Documents without shingles all stay. Of rows with equal id and text one stays.
     """
-    stay = (
-        jaccard_components(docs)
-        .filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
-        .select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"))
-        .distinct()
-    )
-    whole = with_row(docs).withColumn("hash", F.xxhash64("text"))
-    return whole.join(stay, (F.col("hash") == F.col("_hash")) & F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi").select("doc.*")
+    found = jaccard_components(docs)
+    key = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("text_hash").alias("hash"))
+    first = found.filter("n_shingles > 0").groupBy("component").agg(F.min(key).alias("k")).select("k.doc_id", "k.hash")
+    empty = found.filter("n_shingles = 0").select("doc_id", F.col("text_hash").alias("hash"))
+    keys = ["hash", "id", "no_id"]
+
+    def keyed(rows: DataFrame, *rest: str) -> DataFrame:
+        return rows.select(
+            "hash", F.coalesce("doc_id", F.lit(0)).cast("long").alias("id"), F.col("doc_id").isNull().alias("no_id"), *rest
+        )
+
+    whole = keyed(with_row(docs).withColumn("hash", F.xxhash64("text")), "doc")
+    stay = whole.join(keyed(first.unionByName(empty)), keys, "left_semi")
+    return stay.groupBy(*keys).agg(F.first("doc").alias("doc")).select("doc.*")

@@ -24,7 +24,7 @@ def queries() -> dict[str, Query]:
     return {
         "op1_language_id": lambda s, d: op1.language_id(documents(s, d)),
         "op2_quality_rules": lambda s, d: op2.quality_rules(documents(s, d)),
-        "op3_jaccard_join": lambda s, d: op3.jaccard_components(documents(s, d)).drop("text_hash"),
+        "op3_jaccard_join": lambda s, d: op3.jaccard_components(documents(s, d)).drop("text_hash", "component"),
         "op4_byte_bpe": lambda s, d: op4.digests(op4.encode(documents(s, d))),
         "op5_license_scan": lambda s, d: op5.license_scan(documents(s, d)),
         "op6_best_fit_packing": lambda s, d: op6.pack(documents(s, d)),
