@@ -1,6 +1,7 @@
 """Token counts of a word-level BPE, with very long texts counted in overlapping chunks.
 
-A text of up to CHUNK characters is encoded where it is read. A longer one is
+A text of up to CHUNK characters is counted where it is read, each different
+word of a task once. A longer one is
 cut into overlapping chunks, each encoded with offsets. Neighbours are spliced
 at the first stable boundary that both have in their overlap: a token that
 starts with an ASCII character after an ASCII space. Normalisation, special
@@ -18,8 +19,10 @@ import os
 from collections.abc import Iterator
 from functools import cache
 
+import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -28,6 +31,8 @@ from txnlake.llm.common import map_arrow, portions, stored, texts
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 LIMIT = 2048
+#: Different words whose counts a task remembers.
+KNOWN_WORDS = 400_000
 #: By how much chunks and overlaps grow where neighbours don't meet.
 WIDEN = 8
 
@@ -41,14 +46,34 @@ def tokenizer(path: str):
     return Tokenizer.from_file(path)
 
 
+def count_texts(column: pa.Array, path: str, known: dict[str, int]) -> np.ndarray:
+    """Tokens of each text, as the sum over its words; `known` keeps those of words seen before.
+
+    An ASCII space is never part of a token or of a special string, and neither
+    normalisation nor the split into words looks across one.
+    """
+    split = pc.ascii_split_whitespace(pc.fill_null(column.cast(pa.string()), ""))
+    coded = split.flatten().dictionary_encode()
+    words = coded.dictionary.to_pylist()
+    new = [w for w in words if w not in known]
+    if len(known) + len(new) > KNOWN_WORDS:
+        known.clear()
+        new = words
+    known.update(zip(new, map(len, tokenizer(path).encode_batch_fast(new, add_special_tokens=False)), strict=True))
+    of_word = np.array([known[w] for w in words], dtype=np.int64)
+    upto = np.r_[0, np.cumsum(of_word[coded.indices.to_numpy()])] if words else np.zeros(1, dtype=np.int64)
+    ends = np.cumsum(pc.list_value_length(split).to_numpy())
+    return np.diff(np.r_[0, upto[ends]])
+
+
 def _counts(path: str):
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict[str, int] = {}
         for batch in portions(batches):
-            column = [t or "" for t in batch.column(1).to_pylist()]
-            found = tokenizer(path).encode_batch_fast(column, add_special_tokens=False)
-            lengths = pa.array([len(x) for x in found], pa.int64())
-            n_bytes = pa.array([len(t.encode()) for t in column], pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column(0), n_bytes, lengths], names=["doc_id", "n_bytes", "n_tokens"])
+            column = batch.column(1)
+            n_bytes = pc.fill_null(pc.binary_length(column), 0).cast(pa.int64())
+            n_tokens = pa.array(count_texts(column, path, known), pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column(0), n_bytes, n_tokens], names=["doc_id", "n_bytes", "n_tokens"])
 
     return count
 
