@@ -1,10 +1,11 @@
 """Jaccard join on word shingles by signature trees.
 
 Documents with the same shingle set form a class and are joined as one. A
-class can only link to one with which it shares a token of its prefix: with n
-shingles, all but the last ceil(0.8 n) - 1 in an order common to all, in which
-the most frequent shingles come last. Classes that share a prefix token meet in
-that token's group. First each member is compared with its neighbour and with
+class can only link to one with which it shares SPARE % of its shingles inside
+the prefixes of both: of n shingles, the first n - ceil(0.8 n) and as many more
+as must be shared, in an order common to all, in which the most frequent ones
+come last. Classes with too few shared ones go; the others meet in the groups of
+the tokens that they share. First each member is compared with its neighbour and with
 the first of the group, which settles groups of near copies with few
 comparisons. Then members of different components are searched by signature
 trees: a node holds the OR of its members' token bitmaps and the range of their
@@ -38,6 +39,10 @@ from txnlake.llm.components import components
 SHINGLE = 5
 #: Two documents link when 100 * intersection >= PERCENT * union.
 PERCENT = 80
+#: Shingles, in percent, by which a prefix is longer than a single common one needs.
+SPARE = 6
+#: Rounds in which classes with too few shared shingles go.
+ROUNDS = 2
 #: The most frequent shingles, at most so many, which come last in the common order.
 FREQUENT = 1 << 16
 #: Counters of a task's Misra-Gries summary.
@@ -89,7 +94,11 @@ def least_overlap(n: np.ndarray | int) -> np.ndarray | int:
 
 
 def prefix(tokens: np.ndarray, frequent: np.ndarray) -> np.ndarray:
-    """The first tokens in the common order, so many that linked sets share one of them."""
+    """The first tokens in the common order.
+
+    Of the tokens that two linked sets share, the first max(1, SPARE % of n) stand
+    so far in front that a set of n has them in its prefix.
+    """
     n = len(tokens)
     if not n:
         return tokens
@@ -97,7 +106,7 @@ def prefix(tokens: np.ndarray, frequent: np.ndarray) -> np.ndarray:
         at = np.minimum(np.searchsorted(frequent, tokens), len(frequent) - 1)
         is_frequent = frequent[at] == tokens
         tokens = np.concatenate([tokens[~is_frequent], tokens[is_frequent]])
-    return tokens[: n - least_overlap(n) + 1]
+    return tokens[: n - least_overlap(n) + max(1, SPARE * n // 100)]
 
 
 def frequent_shingles(docs: DataFrame) -> np.ndarray:
@@ -375,6 +384,12 @@ def _as_edges(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.col("a").alias("u"), F.col("b").alias("v"))
 
 
+def _shared(postings: DataFrame) -> DataFrame:
+    """uid, n and token, of tokens that several classes have."""
+    rows = postings.withColumn("rows", F.count(F.lit(1)).over(Window.partitionBy("token")))
+    return rows.filter("rows > 1").select("uid", "n", "token")
+
+
 def class_components(rows: DataFrame, docs: DataFrame) -> DataFrame:
     """u and v: a class's uid and the smallest uid of its component, for classes that link.
 
@@ -383,24 +398,26 @@ def class_components(rows: DataFrame, docs: DataFrame) -> DataFrame:
     copies = rows.groupBy("digest").agg(F.min("uid").alias("uid"), F.count(F.lit(1)).alias("rows")).filter("rows > 1")
     losers = rows.filter("digest is not null").join(copies.select("digest", F.col("uid").alias("first")), "digest").filter("uid <> first")
     classes = rows.filter("n > 0").join(losers.select("uid"), "uid", "left_anti")
-    postings = classes.select("uid", "n", F.explode("prefix").alias("token"))
+    met = stored(_shared(classes.select("uid", "n", F.explode("prefix").alias("token"))), "shared-tokens")
+    for _ in range(ROUNDS):
+        # A linked set has at least 80 % of n shingles, and shares at least SPARE % of those.
+        least = F.greatest(F.lit(1), F.expr(f"{SPARE} * (({PERCENT} * n + 99) div 100) div 100"))
+        able = met.groupBy("uid", "n").agg(F.count(F.lit(1)).alias("shared")).filter(F.col("shared") >= least)
+        met = stored(_shared(met.join(able.select("uid"), "uid", "left_semi")), "shared-tokens")
     by_size = Window.partitionBy("token").orderBy("n", "uid")
-    met = postings.select(
-        "token",
+    placed = met.select(
         "uid",
         "n",
         F.lag(F.struct("uid", "n")).over(by_size).alias("before"),
-        F.lead("uid").over(by_size).alias("after"),
         F.first(F.struct("uid", "n")).over(by_size).alias("first"),
-    ).filter("before is not null or after is not null")
-    met = stored(met, "shared-tokens")
+    )
 
     known = rows.join(met.select("uid").distinct(), "uid", "left_semi").select("uid", "doc_id", "text_hash")
     plain = texts(docs).withColumn("hash", F.xxhash64("text")).withColumnRenamed("doc_id", "id")
     found = plain.join(known, (plain["hash"] == known["text_hash"]) & plain["id"].eqNullSafe(known["doc_id"]))
     of = stored(with_bitmaps(found.select("uid", "text").dropDuplicates(["uid"])), "candidates")
 
-    near = met.filter("before is not null").select("uid", "n", F.explode(F.array("before", "first")).alias("other"))
+    near = placed.filter("before is not null").select("uid", "n", F.explode(F.array("before", "first")).alias("other"))
     near = near.filter(100 * F.col("other.n") >= PERCENT * F.col("n"))
     pairs = near.select(F.least("uid", "other.uid").alias("a"), F.greatest("uid", "other.uid").alias("b")).distinct()
     first = stored(links(pairs, of), "first-links")
@@ -408,7 +425,21 @@ def class_components(rows: DataFrame, docs: DataFrame) -> DataFrame:
 
     named = met.select("token", "uid", "n").join(comps.select(F.col("u").alias("uid"), "v"), "uid", "left")
     named = named.select("token", "uid", "n", F.coalesce("v", "uid").alias("comp"))
-    apart = named.groupBy("token").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1")).filter("c0 <> c1")
+    # Groups of one component are settled. Of groups with the same members one is enough;
+    # members are compared by count and two sums of independent hashes.
+    apart = (
+        named.groupBy("token")
+        .agg(
+            F.min("comp").alias("c0"),
+            F.max("comp").alias("c1"),
+            F.count(F.lit(1)).alias("rows"),
+            F.bit_xor(F.xxhash64("uid")).alias("h0"),
+            F.bit_xor(F.xxhash64(F.lit("second"), "uid")).alias("h1"),
+        )
+        .filter("c0 <> c1")
+        .groupBy("rows", "h0", "h1")
+        .agg(F.min("token").alias("token"))
+    )
     members = named.join(apart.select("token"), "token", "left_semi").join(of.select("uid", "bits"), "uid")
     more = stored(links(tree_candidates(members), of), "tree-links")
     return components(_as_edges(more).unionByName(comps))
