@@ -25,6 +25,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -266,6 +267,12 @@ def _tree_pairs(group: pa.Table) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     uid, n, comp, home, side = (x[order] for x in (uid, n, comp, home, side))
     maps = group.column("bits").take(pa.array(order)).to_pylist()
     bits = folded(maps)
+    tokens, token = group.column("tokens").take(pa.array(order)).to_pylist(), group.column("token")[0].as_py()
+
+    @cache
+    def held(member: int) -> frozenset[int]:
+        return frozenset(tokens[member])
+
     if (side == side[0]).all():
         one = tree(bits, n, comp)
         found = dual_traversal(one, one, True)
@@ -276,7 +283,11 @@ def _tree_pairs(group: pa.Table) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     for p, q in found:
         p, q = left[p], right[q]
         meet = (home[p] | home[q]) & (comp[p] != comp[q])
-        yield uid[p[meet]], uid[q[meet]]
+        p, q = p[meet], q[meet]
+        # Members that share several tokens are told in the group of the first one only.
+        told = [next(x for x in tokens[a] if x in held(b)) == token for a, b in zip(p.tolist(), q.tolist(), strict=True)]
+        told = np.array(told, dtype=bool)
+        yield uid[p[told]], uid[q[told]]
 
 
 def _runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
@@ -303,7 +314,8 @@ GROUP = ["token", "size_class", "i", "j"]
 def tree_candidates(members: DataFrame) -> DataFrame:
     """Pairs a, b of uids of different components that share a prefix token and may link.
 
-    `members` has token, uid, n, comp and bits. Sizes are classed so that linked
+    `members` has token, uid, n, comp, bits, and tokens: all tokens of the uid
+    here, sorted, by which a pair is told once however many it shares. Sizes are classed so that linked
     sets are in one class or in adjacent ones; a member is at home in its own
     class and a visitor in the next. A group of more than BLOCK members is dealt
     into blocks, and each pair of blocks meets in a task of its own.
@@ -312,7 +324,7 @@ def tree_candidates(members: DataFrame) -> DataFrame:
     own = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(1.26))).cast("long")
     placed = members.select(
         "*", F.explode(F.array(F.struct(own.alias("c"), F.lit(True).alias("h")), F.struct((own + 1).alias("c"), F.lit(False).alias("h")))).alias("at")
-    ).select("token", "uid", "n", "comp", "bits", F.col("at.c").alias("size_class"), F.col("at.h").alias("home"))
+    ).select("token", "uid", "n", "comp", "bits", "tokens", F.col("at.c").alias("size_class"), F.col("at.h").alias("home"))
     sizes = (
         placed.groupBy("token", "size_class")
         .agg(F.count(F.lit(1)).alias("rows"), F.max("home").alias("met"), F.min("comp").alias("c0"), F.max("comp").alias("c1"))
@@ -332,6 +344,7 @@ def tree_candidates(members: DataFrame) -> DataFrame:
         "home",
         (F.col("block") > F.col("other")).cast("long").alias("side"),
         "bits",
+        "tokens",
     )
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -348,7 +361,7 @@ def tree_candidates(members: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], names=["a", "b"])
 
     sorted_rows = dealt.repartition(*GROUP).sortWithinPartitions(*GROUP)
-    return map_arrow(sorted_rows, search, "a bigint, b bigint").distinct()
+    return map_arrow(sorted_rows, search, "a bigint, b bigint")
 
 
 # The join -----------------------------------------------------------------
@@ -440,7 +453,9 @@ def class_components(rows: DataFrame, docs: DataFrame) -> DataFrame:
         .groupBy("rows", "h0", "h1")
         .agg(F.min("token").alias("token"))
     )
-    members = named.join(apart.select("token"), "token", "left_semi").join(of.select("uid", "bits"), "uid")
+    members = named.join(apart.select("token"), "token", "left_semi")
+    tokens = members.groupBy("uid").agg(F.sort_array(F.collect_list("token")).alias("tokens"))
+    members = members.join(tokens, "uid").join(of.select("uid", "bits"), "uid")
     more = stored(links(tree_candidates(members), of), "tree-links")
     return components(_as_edges(more).unionByName(comps))
 
