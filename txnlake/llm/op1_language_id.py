@@ -32,6 +32,8 @@ SAMPLE = 2_000
 BUCKETS, SMOOTHING = 1 << 16, 0.5
 #: What a change of language costs, and how much one word can say at most (log odds).
 SWITCH, MOST = 8.0, 6.0
+#: The score of a language that does not use the word's script.
+EXCLUDED = -1e6
 #: A language uses a script if so large a part of its letters is of it.
 USES_SCRIPT = 0.01
 
@@ -168,7 +170,7 @@ def word_scores(found: Words, model: Model) -> np.ndarray:
     fits = model.candidate[found.script]
     fits |= ~fits.any(axis=1, keepdims=True)
     total = np.where(fits, total, -np.inf)
-    return np.maximum(total - total.max(axis=1, keepdims=True), -MOST)
+    return np.where(fits, np.maximum(total - total.max(axis=1, keepdims=True), -MOST), EXCLUDED)
 
 
 def viterbi(scores: np.ndarray, text: np.ndarray, switch: float = SWITCH) -> np.ndarray:
