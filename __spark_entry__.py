@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import atexit
 from collections.abc import Callable
-from datetime import datetime, timezone
+from datetime import date, datetime, timedelta, timezone
 
+from py4j.protocol import Py4JError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -13,7 +15,7 @@ from txnlake.operators import append, counters, ingest
 from txnlake.operators import requests as R
 from txnlake.plans import batch, reports, serving
 from txnlake.schemas import PAYLOAD
-from txnlake.session import apply_settings, remove_dir, work_dir
+from txnlake.session import apply_settings, hadoop_path, remove_dir, work_dir
 from txnlake.settings import Tables
 from txnlake.sources import events
 from txnlake.sources.lines import read_lines, stream_files
@@ -37,6 +39,8 @@ except ModuleNotFoundError as missing:
 AS_OF = datetime(2024, 1, 30, 23, 59, 59, tzinfo=timezone.utc)
 RUN_TS = datetime(2024, 1, 31, 12, 0, 0, tzinfo=timezone.utc)
 WEEK_HOURS = 7 * 24
+OLDEST = date(2024, 1, 1)
+SECOND_THRESHOLD = 300.0
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -72,16 +76,40 @@ def _anomalies(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+_RAW_LINES: dict[tuple[str, str], str] = {}
+
+
+def _new_home(spark: SparkSession) -> str:
+    """A new work folder, deleted when the driver ends."""
+    home = work_dir(spark, "run")
+    atexit.register(_forget, spark, home)
+    return home
+
+
+def _forget(spark: SparkSession, path: str) -> None:
+    try:
+        remove_dir(spark, path)
+    except (Py4JError, OSError, AttributeError):
+        pass  # the session is gone already
+
+
 def _through_tables(
     spark: SparkSession, sf_dir: str, job: Callable[[str, str, Tables], object]
 ) -> Tables:
-    """Write the lines as files, run a job from them into two new tables."""
-    home = work_dir(spark, "run")
-    events.lines(spark, sf_dir).write.text(f"{home}/raw")
+    """Run a job from files of raw lines into two new tables.
+
+    The files are made once per application and data folder. Everything is
+    deleted when the driver ends.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _RAW_LINES:
+        made = _new_home(spark)
+        events.lines(spark, sf_dir).write.text(f"{made}/raw")
+        _RAW_LINES[key] = f"{made}/raw"
+    home = _new_home(spark)
     tables = Tables(f"{home}/dataset")
     create_tables(spark, tables)
-    job(home, f"{home}/raw/*.txt", tables)
-    remove_dir(spark, f"{home}/raw")
+    job(home, f"{_RAW_LINES[key]}/*.txt", tables)
     return tables
 
 
@@ -92,6 +120,80 @@ def _batch_job(spark: SparkSession, sf_dir: str) -> Tables:
     return _through_tables(spark, sf_dir, job)
 
 
+_BUILT: dict[tuple[str, str], Tables] = {}
+
+
+def _table(spark: SparkSession, sf_dir: str) -> Tables:
+    """What the batch job makes, once per application and data folder, for reading only."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _BUILT:
+        _BUILT[key] = _batch_job(spark, sf_dir)
+    return _BUILT[key]
+
+
+def _rerun_job(spark: SparkSession, sf_dir: str) -> Tables:
+    """The same batch twice: first with all days, then corrected to the later ones."""
+
+    def job(home: str, files: str, tables: Tables) -> None:
+        later = F.col("value").rlike('"transaction_timestamp":"2024-01-(1[5-9]|[23])')
+        spark.read.text(files).filter(later).write.text(f"{home}/corrected")
+        for path in (files, f"{home}/corrected"):
+            batch.run_batch(
+                spark, path, tables, threshold=events.THRESHOLD, run_ts=RUN_TS, batch="monday"
+            )
+
+    return _through_tables(spark, sf_dir, job)
+
+
+def _old_files_job(spark: SparkSession, sf_dir: str) -> Tables:
+    """A file of today is read first; files dated decades back arrive between the runs."""
+
+    def job(home: str, files: str, tables: Tables) -> None:
+        spark.read.text(files).repartition(3).write.text(f"{home}/held")
+        held, fs = hadoop_path(spark, f"{home}/held")
+        sources = [x.getPath() for x in fs.listStatus(held) if x.getPath().getName().startswith("part-")]
+        inbox, _ = hadoop_path(spark, f"{home}/inbox")
+        fs.mkdirs(inbox)
+        for n, source in enumerate(sources):
+            if n:
+                fs.setTimes(source, n * 86_400_000, -1)
+            fs.rename(source, hadoop_path(spark, f"{home}/inbox/{n}.txt")[0])
+            run_stream(
+                stream_files(spark, f"{home}/inbox/*.txt"),
+                tables,
+                f"{home}/checkpoint",
+                threshold=events.THRESHOLD,
+                available_now=True,
+                clock=lambda: RUN_TS,
+            ).awaitTermination()
+
+    return _through_tables(spark, sf_dir, job)
+
+
+def _anomaly_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The newest anomalies of a table with two batches found a day apart."""
+    tables = Tables(f"{_new_home(spark)}/dataset")
+    create_tables(spark, tables)
+    source = events.transactions(spark, sf_dir)
+    for days, name, threshold in ((0, "first", events.THRESHOLD), (1, "second", SECOND_THRESHOLD)):
+        found = ingest.extract_anomalies(source, threshold, RUN_TS + timedelta(days=days))
+        append.append_anomalies(found.filter(F.col("amount") > threshold), tables, name)
+    return serving.newest_anomalies(spark, tables, serving.MAX_LIMIT)
+
+
+def _published_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Damaged request lines published; what was sent, next to whether its id was told."""
+    out = f"{_new_home(spark)}/messages"
+    told = R.publish_requests(events.request_lines(spark, sf_dir), "text", out, RUN_TS)
+    sent = ingest.classify(read_lines(spark, out))
+    told = told.withColumn("told", F.lit(True))
+    return (
+        sent.join(told, "transaction_id", "left")
+        .withColumn("told", F.coalesce("told", F.lit(False)))
+        .select("reason", "told", *PAYLOAD.names[1:])
+    )
+
+
 def _stream_job(spark: SparkSession, sf_dir: str) -> Tables:
     def job(home: str, files: str, tables: Tables) -> None:
         run_stream(
@@ -108,7 +210,7 @@ def _stream_job(spark: SparkSession, sf_dir: str) -> Tables:
 
 def _published(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Requests accepted, published as messages, read back and classified."""
-    out = work_dir(spark, "messages")
+    out = f"{_new_home(spark)}/messages"
     accepted = R.normalise_requests(events.requests(spark, sf_dir), RUN_TS)
     append.publish(accepted, "text", out)
     return ingest.classify(read_lines(spark, out)).select("reason", *PAYLOAD.names[1:])
@@ -116,7 +218,7 @@ def _published(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _table_report(report: Callable[[DataFrame], DataFrame]) -> Query:
     """A report over the table that the batch job wrote, with its day partitions."""
-    return lambda spark, sf: report(scan_transactions(spark, _batch_job(spark, sf)))
+    return lambda spark, sf: report(scan_transactions(spark, _table(spark, sf), OLDEST))
 
 
 def queries() -> dict[str, Query]:
@@ -157,10 +259,25 @@ def queries() -> dict[str, Query]:
         # Jobs, through files and tables
         "sink_roundtrip": lambda s, d: scan_transactions(s, _batch_job(s, d)),
         "sink_roundtrip_anomalies": lambda s, d: scan_anomalies(s, _batch_job(s, d)),
+        "rerun_roundtrip": lambda s, d: scan_transactions(s, _rerun_job(s, d)),
+        "rerun_roundtrip_anomalies": lambda s, d: scan_anomalies(s, _rerun_job(s, d)),
+        "stream_ingest_old_files": lambda s, d: scan_transactions(s, _old_files_job(s, d)),
+        "publish_requests": _published_ids,
         "stream_ingest": lambda s, d: scan_transactions(s, _stream_job(s, d)),
         "stream_ingest_anomalies": lambda s, d: scan_anomalies(s, _stream_job(s, d)),
         # Reads of the day-partitioned table
-        "table_recent_transactions": _table_report(serving.recent_transactions),
+        "table_recent_transactions": lambda s, d: serving.newest_transactions(s, _table(s, d)),
+        "table_recent_transactions_filtered": lambda s, d: serving.newest_transactions(
+            s, _table(s, d), limit=500, user_id="user_7", transaction_type="deposit"
+        ),
+        "table_recent_anomalies": _anomaly_batches,
+        "table_hourly_volume": _table_report(lambda t: reports.hourly_volume(t, AS_OF)),
+        "table_top_users": _table_report(lambda t: reports.top_users(t, AS_OF)),
+        "table_type_status_breakdown": _table_report(
+            lambda t: reports.type_status_breakdown(t, AS_OF)
+        ),
+        "table_geo_distribution": _table_report(lambda t: reports.geo_distribution(t, AS_OF)),
+        "table_processing_lag": _table_report(lambda t: reports.processing_lag(t, AS_OF)),
         "table_zscore_outliers": _table_report(
             lambda t: reports.zscore_outliers(t, AS_OF, scored_hours=WEEK_HOURS, limit=None)
         ),
@@ -250,6 +367,32 @@ _REQUESTS = (
     )
     + " FROM events) "
 )
+_REPORTS = {
+    "hourly_volume": f"""
+SELECT date_trunc('hour', transaction_timestamp) AS "hour", count(*) AS total_transactions,
+  round(sum(amount), 2) AS total_volume_usd, round(avg(amount), 2) AS avg_amount,
+  count(*) FILTER (WHERE status = 'failed') AS failed_count
+FROM tx WHERE transaction_timestamp >= {_NOW} - INTERVAL 24 HOUR GROUP BY 1""",
+    "top_users": f"""
+SELECT user_id, count(*) AS transaction_count, round(sum(amount), 2) AS total_spent,
+  round(avg(amount), 2) AS avg_transaction, max(amount) AS max_single_transaction,
+  count(*) FILTER (WHERE is_anomaly) AS anomaly_count
+FROM tx WHERE transaction_timestamp >= {_NOW} - INTERVAL 7 DAY
+GROUP BY user_id ORDER BY total_spent DESC, user_id LIMIT 10""",
+    "type_status_breakdown": f"""
+SELECT transaction_type, status, count(*) AS "count", round(sum(amount), 2) AS volume,
+  round(avg(amount), 2) AS avg_amount
+FROM tx WHERE CAST(transaction_timestamp AS DATE) = CAST({_NOW} AS DATE) GROUP BY 1, 2""",
+    "geo_distribution": f"""
+SELECT country, count(*) AS transaction_count, round(sum(amount), 2) AS total_volume,
+  count(*) FILTER (WHERE is_anomaly) AS anomalies
+FROM tx WHERE transaction_timestamp >= {_NOW} - INTERVAL 7 DAY GROUP BY country""",
+    "processing_lag": f"""
+SELECT min(lag_sec) AS min_lag_sec, avg(lag_sec) AS avg_lag_sec, max(lag_sec) AS max_lag_sec,
+  count(*) AS total_processed
+FROM (SELECT date_sub('second', transaction_timestamp, processed_at) AS lag_sec FROM tx
+  WHERE processed_at IS NOT NULL AND transaction_timestamp >= {_NOW} - INTERVAL 1 HOUR)""",
+}
 _REQUEST_COLUMNS = (
     "user_id, amount, currency, transaction_type, status, merchant_id, merchant_category, country"
 )
@@ -317,39 +460,11 @@ def _table_sql() -> dict[str, str]:
         for kind, left_out in (("whole", ()), ("no_currency", ("currency",)))
     }
     return {
-        "hourly_volume": _TX
-        + f"""
-SELECT date_trunc('hour', transaction_timestamp) AS "hour", count(*) AS total_transactions,
-  round(sum(amount), 2) AS total_volume_usd, round(avg(amount), 2) AS avg_amount,
-  count(*) FILTER (WHERE status = 'failed') AS failed_count
-FROM tx WHERE transaction_timestamp >= {_NOW} - INTERVAL 24 HOUR GROUP BY 1""",
-        "top_users": _TX
-        + f"""
-SELECT user_id, count(*) AS transaction_count, round(sum(amount), 2) AS total_spent,
-  round(avg(amount), 2) AS avg_transaction, max(amount) AS max_single_transaction,
-  count(*) FILTER (WHERE is_anomaly) AS anomaly_count
-FROM tx WHERE transaction_timestamp >= {_NOW} - INTERVAL 7 DAY
-GROUP BY user_id ORDER BY total_spent DESC, user_id LIMIT 10""",
-        "type_status_breakdown": _TX
-        + f"""
-SELECT transaction_type, status, count(*) AS "count", round(sum(amount), 2) AS volume,
-  round(avg(amount), 2) AS avg_amount
-FROM tx WHERE CAST(transaction_timestamp AS DATE) = CAST({_NOW} AS DATE) GROUP BY 1, 2""",
+        **{name: _TX + sql for name, sql in _REPORTS.items()},
         "zscore_outliers": _zscore(
             _TX, "24 HOUR", "ORDER BY abs(z_score) DESC, transaction_id LIMIT 50"
         ),
         "zscore_outliers_week": _zscore(_TX, "7 DAY", ""),
-        "geo_distribution": _TX
-        + f"""
-SELECT country, count(*) AS transaction_count, round(sum(amount), 2) AS total_volume,
-  count(*) FILTER (WHERE is_anomaly) AS anomalies
-FROM tx WHERE transaction_timestamp >= {_NOW} - INTERVAL 7 DAY GROUP BY country""",
-        "processing_lag": _TX
-        + f"""
-SELECT min(lag_sec) AS min_lag_sec, avg(lag_sec) AS avg_lag_sec, max(lag_sec) AS max_lag_sec,
-  count(*) AS total_processed
-FROM (SELECT date_sub('second', transaction_timestamp, processed_at) AS lag_sec FROM tx
-  WHERE processed_at IS NOT NULL AND transaction_timestamp >= {_NOW} - INTERVAL 1 HOUR)""",
         "recent_transactions": _TX
         + "SELECT * FROM tx ORDER BY transaction_timestamp DESC, transaction_id LIMIT 50",
         "recent_transactions_filtered": _TX
@@ -415,4 +530,26 @@ SELECT *, CAST(transaction_timestamp AS DATE) AS transaction_date FROM ({_INGEST
         "table_recent_transactions": f"""
 SELECT * FROM ({_INGESTED}) ORDER BY transaction_timestamp DESC, transaction_id LIMIT 50""",
         "table_zscore_outliers": _zscore(_TABLE, "7 DAY", ""),
+        "table_recent_transactions_filtered": f"""
+SELECT * FROM ({_INGESTED}) WHERE user_id = 'user_7' AND transaction_type = 'deposit'
+ORDER BY transaction_timestamp DESC, transaction_id LIMIT 500""",
+        "table_recent_anomalies": _TX
+        + f"""
+SELECT transaction_id, user_id, amount, 'Amount exceeds threshold of ' || threshold AS anomaly_reason,
+  transaction_timestamp, {_RUN} + to_days(day) AS detected_at
+FROM tx, (VALUES (0, 200.0, '200.0'), (1, {SECOND_THRESHOLD}, '{SECOND_THRESHOLD}')) AS b(day, least, threshold)
+WHERE is_anomaly AND amount > least ORDER BY detected_at DESC, transaction_id LIMIT 500""",
+        "rerun_roundtrip": f"""
+SELECT *, CAST(transaction_timestamp AS DATE) AS transaction_date FROM ({_INGESTED})
+WHERE transaction_timestamp >= '2024-01-15'""",
+        "rerun_roundtrip_anomalies": f"""
+SELECT * FROM ({_INGESTED_ANOMALIES}) WHERE transaction_timestamp >= '2024-01-15'""",
+        "stream_ingest_old_files": f"""
+SELECT *, CAST(transaction_timestamp AS DATE) AS transaction_date FROM ({_INGESTED})""",
+        "publish_requests": _REQUESTS
+        + f"""
+SELECT 'ok' AS reason, true AS told, {_REQUEST_COLUMNS}, transaction_timestamp
+FROM req WHERE currency IS NOT NULL AND amount > 0
+  AND CAST(transaction_id AS BIGINT) % 50 NOT IN (0, 3)""",
+        **{f"table_{name}": _TABLE + sql for name, sql in _REPORTS.items()},
     }

@@ -23,6 +23,11 @@ CASES = [
     (line(transaction_timestamp="2024-01-30"), "ok"),
     (line(transaction_timestamp="2024-01-30T10:20:30Z"), "ok"),
     (line(amount=3), "ok"),
+    (line(user_id="[1,2]", status='{"a":1}'), "ok"),
+    (line(user_id=[1, 2]), "bad_value"),
+    (line(user_id={"a": 1}), "bad_value"),
+    (line(merchant_id=[]), "bad_value"),
+    (line(country={"a": "}"}, user_id="[x"), "bad_value"),
     (None, "parse_failed"),
     ("", "parse_failed"),
     ("\r", "parse_failed"),

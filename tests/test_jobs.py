@@ -1,6 +1,8 @@
 from __future__ import annotations
 
 import json
+import os
+import time
 from datetime import timedelta
 from pathlib import Path
 
@@ -148,8 +150,12 @@ def test_tables_are_never_created_by_a_run(spark, tmp_path):
 
 
 def test_creating_twice_fails(spark, tables):
-    with pytest.raises(Exception, match="already exists"):
+    with pytest.raises(FileExistsError):
         create_tables(spark, tables)
+    half = Tables(tables.dataset, transactions="new")
+    with pytest.raises(FileExistsError):
+        create_tables(spark, half)
+    assert not Path(half.transactions_path).exists()
 
 
 def test_lines_end_at_line_feeds_only(spark, tmp_path):
@@ -273,6 +279,141 @@ def test_read_files_are_archived_by_a_later_run(spark, tables, tmp_path):
     assert "2.json" in left and "0.json" in moved
 
 
+def test_files_of_any_age_are_read(spark, tables, tmp_path):
+    raw = tmp_path / "raw"
+    for i, days in enumerate((0, 8, 6, 9000)):
+        put(raw, f"{i}.json", MESSAGES[i : i + 1])
+        when = time.time() - days * 86_400
+        os.utime(raw / f"{i}.json", (when, when))
+        stream(spark, raw, tables, tmp_path / "cp")
+    assert ids(scan_transactions(spark, tables)) == list("abcd")
+
+
+def test_a_corrected_batch_replaces_all_its_days(spark, tables, tmp_path):
+    raw, rejected = tmp_path / "raw", str(tmp_path / "rejects")
+
+    def run(*lines, batch="monday"):
+        put(raw, "1.json", list(lines))
+        run_batch(spark, str(raw), tables, batch=batch, rejects_path=rejected)
+        files = [str(f) for f in Path(rejected).rglob("*.parquet")]
+        refused = spark.read.parquet(*files).count() if files else 0
+        return (ids(scan_transactions(spark, tables)), ids(scan_anomalies(spark, tables)), refused)
+
+    run(MESSAGES[0], batch="other")
+    assert run(*MESSAGES, *BROKEN) == (["a", *"abcd"], ["b", "d"], len(BROKEN))
+    other_day = line(transaction_id="e", amount=7000, transaction_timestamp="2024-01-05T00:00:00Z")
+    assert run(other_day) == (["a", "e"], ["e"], 0)
+    assert run(MESSAGES[0], MESSAGES[2]) == (["a", "a", "c"], [], 0)
+    assert run(BROKEN[0]) == (["a"], [], 1)
+
+
+def test_a_repeat_that_fails_takes_nothing_away(spark, tables, tmp_path):
+    put(tmp_path / "raw", "1.json", MESSAGES)
+    run_batch(spark, str(tmp_path / "raw"), tables, batch="monday")
+    odd = spark.range(3).select(
+        *[F.lit(None).cast(f.dataType).alias(f.name) for f in ANOMALIES if f.name != "amount"],
+        F.raise_error(F.lit("lost")).cast("double").alias("amount"),
+    )
+    with pytest.raises(Exception, match="lost"):
+        append.append_anomalies(odd, tables, "monday")
+    assert ids(scan_anomalies(spark, tables)) == ["b", "d"]
+
+
+def test_archived_files_are_not_read_again(spark, tables, tmp_path):
+    done = tmp_path / "done"
+    for folder in ("raw/x", "raw/y"):
+        put(tmp_path / folder, "same name.json", MESSAGES[:1] if folder.endswith("x") else MESSAGES[1:2])
+    source = str(tmp_path / "raw/*/*.json")
+    run_batch(spark, source, tables, archive_dir=str(done))
+    assert ids(scan_transactions(spark, tables)) == ["a", "b"]
+    assert len(list(done.rglob("same name.json"))) == 2 and not list((tmp_path / "raw").rglob("*.json"))
+    assert set(run_batch(spark, source, tables, archive_dir=str(done)).values()) == {0}
+    # The same name again, in a later run.
+    put(tmp_path / "raw/x", "same name.json", MESSAGES[2:3])
+    run_batch(spark, source, tables, archive_dir=str(done))
+    assert ids(scan_transactions(spark, tables)) == ["a", "b", "c"]
+    assert len(list(done.rglob("same name.json"))) == 3
+
+
+def test_files_that_arrive_during_a_run_stay(spark, tables, tmp_path, monkeypatch):
+    raw = tmp_path / "raw"
+    put(raw, "1.json", MESSAGES[:1])
+    plain = append.append_anomalies
+
+    def late(*args):
+        put(raw, "2.json", MESSAGES[1:2])
+        plain(*args)
+
+    with monkeypatch.context() as slow:
+        slow.setattr(append, "append_anomalies", late)
+        run_batch(spark, str(raw / "*.json"), tables, archive_dir=str(tmp_path / "done"))
+    assert ids(scan_transactions(spark, tables)) == ["a"]
+    assert [f.name for f in raw.glob("*.json")] == ["2.json"]
+
+
+def test_a_run_that_fails_leaves_its_files(spark, tables, tmp_path, monkeypatch):
+    put(tmp_path / "raw", "1.json", MESSAGES)
+
+    def fail(*_):
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(append, "append_anomalies", fail)
+    with pytest.raises(RuntimeError):
+        run_batch(spark, str(tmp_path / "raw"), tables, archive_dir=str(tmp_path / "done"))
+    assert [f.name for f in (tmp_path / "raw").glob("*.json")] == ["1.json"]
+
+
+def test_counters_of_the_stream_add_up_to_the_batch_jobs(spark, tables, tmp_path):
+    raw, told = tmp_path / "raw", {}
+    for i, value in enumerate(MESSAGES + BROKEN):
+        put(raw, f"{i}.json", [value])
+    stream(spark, raw, tables, tmp_path / "cp", max_files_per_trigger=4, on_counters=told.__setitem__)
+    other = Tables(str(tmp_path / "batch"))
+    create_tables(spark, other)
+    whole = run_batch(spark, str(raw), other, run_ts=RUN_TS)
+    assert len(told) == 3
+    assert {n: sum(t[n] for t in told.values()) for n in whole} == whole
+
+
+def test_times_of_other_sessions_can_be_skipped_by(spark, tables):
+    key = "spark.sql.parquet.outputTimestampType"
+    spark.conf.set(key, "INT96")
+    try:
+        rows = spark.range(400_000).select(
+            *[
+                F.timestamp_seconds(1704067200 + F.col("id") % 80_000).alias(f.name)
+                if f.name == "transaction_timestamp"
+                else F.lit("x").cast("string").alias(f.name)
+                if f.dataType.typeName() == "string"
+                else F.lit(None).cast(f.dataType).alias(f.name)
+                for f in TRANSACTIONS
+            ]
+        )
+        append.append_transactions(rows.repartition(4), tables, "b")
+        assert spark.conf.get(key) == "INT96"
+    finally:
+        spark.conf.unset(key)
+
+    def scanned(df):
+        df.collect()
+        plan = df._jdf.queryExecution().executedPlan()
+        while True:
+            kind = plan.getClass().getSimpleName()
+            if kind == "AdaptiveSparkPlanExec":
+                plan = plan.executedPlan()
+            elif kind.endswith("QueryStageExec"):
+                plan = plan.plan()
+            elif plan.children().isEmpty():
+                return plan.metrics().apply("numOutputRows").value()
+            else:
+                plan = plan.children().apply(0)
+
+    table = scan_transactions(spark, tables)
+    assert scanned(table.select("transaction_timestamp")) == 400_000
+    late = table.filter(F.col("transaction_timestamp") >= F.timestamp_seconds(F.lit(1704067200 + 79_990)))
+    assert scanned(late.select("transaction_timestamp")) < 100_000
+
+
 def test_later_runs_see_their_own_time(spark, tables, tmp_path):
     put(tmp_path / "raw", "1.json", MESSAGES[:1])
     for hours in (0, 1):

@@ -183,6 +183,29 @@ def test_limit_takes_the_most_extreme(spark):
     assert [r.user_id for r in got] == ["u21", "u20", "u19"]
 
 
+def ranked(rows, hours, limit):
+    found = brute_force_outliers(rows, hours)
+    return [i for i, _ in sorted(found.items(), key=lambda x: (-abs(x[1]), x[0]))][:limit]
+
+
+@pytest.mark.parametrize("shape", ["ties", "one user", "few"])
+def test_the_first_rows_are_those_of_all_outliers(spark, shape):
+    # Twenty or more rows of one amount and one other: equal numbers give equal scores.
+    if shape == "ties":
+        groups = [(f"u{k:03}", [1.0] * (20 + k % 3) + [2.0 + k]) for k in range(120)]
+    elif shape == "one user":
+        groups = [("whale", [1.0] * 3000 + [500.0] * 60)] + [(f"u{k}", [1.0] * 12 + [2.0]) for k in range(30)]
+    else:
+        groups = [(f"u{k}", [1.0] * 20 + [2.0]) for k in range(7)]
+    rows = [
+        {"transaction_id": f"{user}-{i}", "user_id": user, "amount": a, "transaction_timestamp": ago(hours=1)}
+        for user, amounts in groups
+        for i, a in enumerate(amounts)
+    ]
+    got = reports.zscore_outliers(tx_df(spark, rows), AS_OF)
+    assert [r.transaction_id for r in got.collect()] == ranked(rows, 24, 50)
+
+
 def test_a_time_without_offset_is_refused(spark):
     with pytest.raises(ValueError):
         reports.hourly_volume(tx_df(spark, [{}]), datetime(2024, 1, 1))

@@ -1,11 +1,11 @@
 from __future__ import annotations
 
 import json
-from datetime import datetime, timedelta
+from datetime import date, datetime, timedelta
 
 import pytest
 
-from tests.conftest import RUN_TS, UTC, tx_df
+from tests.conftest import RUN_TS, UTC, lines_df, tx_df
 from txnlake.operators import append, ingest
 from txnlake.operators import requests as R
 from txnlake.plans import serving
@@ -44,38 +44,54 @@ def ids(df):
 
 
 def test_newest_first_over_day_partitions(spark, stored):
-    df = serving.recent_transactions(scan_transactions(spark, stored), limit=4)
-    assert df.columns == TRANSACTIONS.names
-    assert ids(df) == ["d39-1", "d39-0", "d39-2", "d38-1"]
+    for df in (
+        serving.recent_transactions(scan_transactions(spark, stored), limit=4),
+        serving.newest_transactions(spark, stored, limit=4),
+    ):
+        assert df.columns == TRANSACTIONS.names
+        assert ids(df) == ["d39-1", "d39-0", "d39-2", "d38-1"]
 
 
 def test_filters_reach_back_as_far_as_needed(spark, stored):
-    table = scan_transactions(spark, stored)
-    df = serving.recent_transactions(table, 3, user_id="rare", transaction_type="deposit")
+    df = serving.newest_transactions(spark, stored, 3, user_id="rare", transaction_type="deposit")
     assert ids(df) == ["d36-0", "d27-0", "d18-0"]
-    everything = serving.recent_transactions(table, 500, user_id="rare")
+    everything = serving.newest_transactions(spark, stored, 500, user_id="rare")
     assert everything.count() == 15
-    assert serving.recent_transactions(table, 500, user_id="nobody").count() == 0
+    assert serving.newest_transactions(spark, stored, 500, user_id="nobody").count() == 0
+    table = scan_transactions(spark, stored)
+    assert ids(serving.recent_transactions(table, 500, user_id="rare")) == ids(everything)
 
 
 def test_empty_text_is_no_filter(spark, stored):
-    table = scan_transactions(spark, stored)
-    assert serving.recent_transactions(table, 500, user_id="", transaction_type="").count() == 120
+    found = serving.newest_transactions(spark, stored, 500, user_id="", transaction_type="")
+    assert found.count() == 120
 
 
-def test_old_days_are_not_opened(spark, stored):
-    df = serving.recent_transactions(scan_transactions(spark, stored), limit=4)
-    df.collect()
-    plan = df._jdf.queryExecution().executedPlan().toString()
-    assert "transaction_date" in plan.split("PartitionFilters: [")[1].split("]")[0]
+def test_only_the_days_needed_are_listed(spark, stored):
+    assert len(serving.newest_transactions(spark, stored, limit=3).inputFiles()) == 1
+    # Four rows: one day, then two more.
+    assert len(serving.newest_transactions(spark, stored, limit=4).inputFiles()) == 3
+    assert len(scan_transactions(spark, stored, date(2024, 2, 5)).inputFiles()) == 5
+    between = scan_transactions(spark, stored, date(2024, 1, 3), date(2024, 1, 4))
+    assert (len(between.inputFiles()), between.count()) == (2, 6)
+    nothing = scan_transactions(spark, stored, date(2030, 1, 1))
+    assert nothing.count() == 0 and nothing.columns == scan_transactions(spark, stored).columns
+
+
+def test_reads_of_empty_tables(spark, tables):
+    assert serving.newest_transactions(spark, tables).count() == 0
+    assert serving.newest_anomalies(spark, tables).count() == 0
 
 
 def test_recent_anomalies(spark, stored):
-    df = serving.recent_anomalies(scan_anomalies(spark, stored), limit=41)
-    rows = df.collect()
-    assert len(rows) == 41
-    assert [r.detected_at for r in rows].count(rows[0].detected_at) == 40
-    assert rows[0].transaction_id == "d00-2"
+    for df in (
+        serving.recent_anomalies(scan_anomalies(spark, stored), limit=41),
+        serving.newest_anomalies(spark, stored, limit=41),
+    ):
+        rows = df.collect()
+        assert len(rows) == 41
+        assert [r.detected_at for r in rows].count(rows[0].detected_at) == 40
+        assert rows[0].transaction_id == "d00-2"
 
 
 @pytest.mark.parametrize("limit", [0, -1, 501])
@@ -121,6 +137,36 @@ def test_requests(spark, tmp_path):
     assert {r.reason for r in ingest.classify(read_lines(spark, out)).collect()} == {"ok"}
 
 
+def test_request_lines(spark):
+    good = {"user_id": "u1", "amount": 5, "currency": "USD", "transaction_type": "refund", "status": "x"}
+    cases = [
+        (good, "ok"),
+        ({**good, "country": None, "note": {"a": [1]}}, "ok"),
+        ({**good, "user_id": "[1,2]"}, "ok"),
+        ({**good, "user_id": [1, 2]}, "bad_value"),
+        ({**good, "country": {"a": 1}}, "bad_value"),
+        ({**good, "amount": "5"}, "bad_value"),
+        ({**good, "amount": None}, "bad_value"),
+        ({**good, "amount": -1}, "non_positive_amount"),
+        ({k: v for k, v in good.items() if k != "status"}, "missing_fields"),
+        ([good], "parse_failed"),
+    ]
+    lines = [(json.dumps(c), r) for c, r in cases] + [("{bad", "parse_failed"), (None, "parse_failed")]
+    got = R.read_requests(lines_df(spark, *[text for text, _ in lines])).collect()
+    assert {(r.value, r.reason) for r in got} == set(lines)
+
+
+def test_published_ids_are_those_of_the_messages(spark, tmp_path):
+    good = '{"user_id": "u", "amount": %d, "currency": "USD", "transaction_type": "t", "status": "s"}'
+    lines = lines_df(spark, *[good % n for n in range(-2, 9)])
+    out = str(tmp_path / "messages")
+    told = R.publish_requests(lines, "text", out, RUN_TS)
+    first = sorted(r.transaction_id for r in told.collect())
+    sent = ingest.classify(read_lines(spark, out)).collect()
+    assert sorted(r.transaction_id for r in sent) == first == sorted(r.transaction_id for r in told.collect())
+    assert len(set(first)) == 8 and {r.reason for r in sent} == {"ok"}
+
+
 def test_unknown_message_sink(spark):
     with pytest.raises(ValueError):
         append.publish(tx_df(spark, [{}]), "pigeon", "x")

@@ -6,12 +6,16 @@ import argparse
 import json
 import logging
 
+from datetime import timedelta
+
 from txnlake import settings
+from txnlake.functions.clock import utc_now
+from txnlake.operators.requests import publish_requests
 from txnlake.plans import reports, serving
 from txnlake.plans.batch import run_batch
 from txnlake.session import build_session
-from txnlake.sources.lines import stream_files, stream_kafka
-from txnlake.sources.tables import create_tables, scan_anomalies, scan_transactions
+from txnlake.sources.lines import read_lines, stream_files, stream_kafka
+from txnlake.sources.tables import create_tables, scan_transactions
 from txnlake.streaming.job import run_stream
 
 REPORTS = {
@@ -26,6 +30,16 @@ REPORTS = {
     )
 }
 
+# Days before the present one that a report looks at.
+REPORT_DAYS = {
+    "hourly_volume": 1,
+    "top_users": 7,
+    "type_status_breakdown": 0,
+    "zscore_outliers": 30,
+    "geo_distribution": 7,
+    "processing_lag": 1,
+}
+
 
 def parser() -> argparse.ArgumentParser:
     env = settings.Tables.from_env()
@@ -47,6 +61,7 @@ def parser() -> argparse.ArgumentParser:
     path = settings.input_path_from_env()
     batch.add_argument("--input_path", default=path, required=path is None)
     batch.add_argument("--batch", help="name of the run; the same name replaces its rows")
+    batch.add_argument("--archive_dir", help="move the files here once they are ingested")
 
     stream = commands.add_parser("stream", parents=[ingest], help="ingest a stream of messages")
     stream.add_argument("--source", choices=("kafka", "files"), default="kafka")
@@ -60,6 +75,12 @@ def parser() -> argparse.ArgumentParser:
         "--available_now", action="store_true", help="stop once the present input is read"
     )
 
+    publish = commands.add_parser("publish", help="turn request lines into messages, print ids")
+    publish.add_argument("--input_path", required=True)
+    publish.add_argument("--sink", choices=("kafka", "text"), default="kafka")
+    publish.add_argument("--output", required=True, help="topic, or folder of the messages")
+    publish.add_argument("--servers", help="Kafka bootstrap servers")
+
     report = commands.add_parser("report", help="print a report as JSON lines")
     report.add_argument("name", choices=sorted(REPORTS))
 
@@ -82,8 +103,9 @@ def _given(options: dict) -> dict:
 def main(argv: list[str] | None = None) -> None:
     known = parser()
     args = known.parse_args(argv)
-    if args.command == "stream" and args.source == "kafka" and not args.servers:
-        known.error("--source kafka needs --servers")
+    source = getattr(args, "source", None) or getattr(args, "sink", None)
+    if source == "kafka" and not args.servers:
+        known.error("Kafka needs --servers")
     logging.basicConfig(level=logging.INFO)
     logging.getLogger("py4j").setLevel(logging.WARNING)
     spark = build_session(f"txnlake-{args.command}")
@@ -99,6 +121,7 @@ def main(argv: list[str] | None = None) -> None:
             threshold=args.anomaly_amount_threshold,
             rejects_path=args.rejects_path,
             batch=args.batch,
+            archive_dir=args.archive_dir,
         )
         print(json.dumps(counts))
     elif args.command == "stream":
@@ -122,16 +145,23 @@ def main(argv: list[str] | None = None) -> None:
         ).awaitTermination()
     else:
         if args.command == "report":
-            result = REPORTS[args.name](scan_transactions(spark, tables))
+            first_day = utc_now().date() - timedelta(days=REPORT_DAYS[args.name])
+            result = REPORTS[args.name](scan_transactions(spark, tables, first_day))
         elif args.command == "transactions":
-            result = serving.recent_transactions(
-                scan_transactions(spark, tables), args.limit, args.user_id, args.transaction_type
+            result = serving.newest_transactions(
+                spark, tables, args.limit, args.user_id, args.transaction_type
             )
         elif args.command == "anomalies":
-            result = serving.recent_anomalies(scan_anomalies(spark, tables), args.limit)
+            result = serving.newest_anomalies(spark, tables, args.limit)
+        elif args.command == "publish":
+            lines = read_lines(spark, args.input_path)
+            if lines is None:
+                return
+            servers = {"kafka.bootstrap.servers": args.servers} if args.servers else {}
+            result = publish_requests(lines, args.sink, args.output, **servers)
         else:
             result = serving.stats(scan_transactions(spark, tables))
-        # Reports are a handful of rows and the reads are limited; none is unbounded.
+        # Reports are a handful of rows, reads are limited, ids come part by part.
         for row in serving.as_json(result).toLocalIterator():
             print(row.json)
 

@@ -59,6 +59,27 @@ def object_keys(text: Column) -> Column:
     return once(head, keys)
 
 
+def nested(text: Column, schema: T.StructType) -> Column:
+    """Whether the object in `text` has an object or an array where `schema` has text.
+
+    Such a value is read as its JSON, which no text column may take. Text that only
+    looks like JSON is fine, so the line is read again if a field begins like it.
+    """
+    names = [f.name for f in schema if isinstance(f.dataType, T.StringType)]
+    suspect = F.lit(False)
+    for name in names:
+        suspect = suspect | F.coalesce(F.col(name).rlike(r"^[\[{]"), F.lit(False))
+
+    def kinds(variant: Column) -> Column:
+        found = F.lit(False)
+        for name in names:
+            kind = F.schema_of_variant(F.try_variant_get(variant, f"$.{name}", "variant"))
+            found = found | F.coalesce(kind.rlike("^(OBJECT|ARRAY)"), F.lit(False))
+        return found
+
+    return F.coalesce(F.when(suspect, once(F.try_parse_json(text), kinds)), F.lit(False))
+
+
 def instant(text: Column) -> Column:
     """ISO-8601 text as TIMESTAMP, NULL if it is not one.
 

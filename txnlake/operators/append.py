@@ -3,34 +3,52 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txnlake.functions.text import json_row
-from txnlake.schemas import ANOMALIES, BATCH, DAY, TRANSACTIONS
-from txnlake.session import remove_dir
+from txnlake.schemas import ANOMALIES, BATCH, DAY, DETECTED_DAY, TRANSACTIONS
+from txnlake.session import hadoop_path, remove_dir
 from txnlake.settings import Tables
 
 CLUSTER_BY = ("transaction_type", "status")
 
 
-def _write(rows: DataFrame, path: str, *partitions: str) -> None:
-    # Only this batch's partitions are replaced, so a batch that runs again after
-    # a failure leaves its rows in the table once.
+def _files_of(spark: SparkSession, pattern: str) -> dict[str, set[str]]:
+    """The files in each folder that matches `pattern`."""
+    target, fs = hadoop_path(spark, pattern)
+    return {
+        str(folder.getPath()): {x.getPath().getName() for x in fs.listStatus(folder.getPath())}
+        for folder in fs.globStatus(target) or ()
+    }
+
+
+def _write(rows: DataFrame, path: str, batch: str, *days: str, may_repeat: bool = True) -> None:
+    """Write a batch; afterwards it holds these rows and no others.
+
+    Only the batch's own partitions are replaced, so a batch that runs again after
+    a failure leaves its rows in the table once. Partitions for which it has no
+    rows any more are removed after the write: a write that fails takes nothing
+    away. A batch that cannot have run before needs no look at old partitions.
+    """
+    spark = rows.sparkSession
+    pattern = "/".join([path, *[f"{day}=*" for day in days], f"{BATCH}={checked_batch(batch)}"])
+    before = _files_of(spark, pattern) if may_repeat else {}
     (
         rows.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*partitions)
+        .partitionBy(*days, BATCH)
         .parquet(path)
     )
-
-
-def _write_by_batch(rows: DataFrame, path: str, batch: str) -> None:
-    # An overwrite leaves a partition alone for which there are no rows now, as
-    # for a batch that runs again with a higher threshold.
-    remove_dir(rows.sparkSession, f"{path}/{BATCH}={checked_batch(batch)}")
-    _write(rows.hint("rebalance").withColumn(BATCH, F.lit(batch)), path, BATCH)
+    if before:
+        after = _files_of(spark, pattern)
+        for folder, names in before.items():
+            # A rewritten folder has new files only.
+            if names and names & after.get(folder, set()):
+                remove_dir(spark, folder)
 
 
 def checked_batch(batch: str) -> str:
@@ -52,20 +70,46 @@ def lay_out(transactions: DataFrame, batch: str) -> DataFrame:
         .withColumn(DAY, F.to_date("transaction_timestamp"))
         .withColumn(BATCH, F.lit(batch))
         .hint("rebalance", DAY, *CLUSTER_BY)
-        .sortWithinPartitions(DAY, BATCH, *CLUSTER_BY)
+        .sortWithinPartitions(DAY, BATCH, *CLUSTER_BY, "transaction_timestamp")
     )
 
 
-def append_transactions(transactions: DataFrame, tables: Tables, batch: str) -> None:
-    _write(lay_out(transactions, batch), tables.transactions_path, DAY, BATCH)
+def append_transactions(
+    transactions: DataFrame, tables: Tables, batch: str, may_repeat: bool = True
+) -> None:
+    with _micros(transactions.sparkSession):
+        _write(
+            lay_out(transactions, batch), tables.transactions_path, batch, DAY, may_repeat=may_repeat
+        )
+
+
+def append_anomalies(
+    anomalies: DataFrame, tables: Tables, batch: str, may_repeat: bool = True
+) -> None:
+    rows = (
+        anomalies.select(*ANOMALIES.names)
+        .withColumn(DETECTED_DAY, F.to_date("detected_at"))
+        .withColumn(BATCH, F.lit(batch))
+        .hint("rebalance")
+    )
+    with _micros(rows.sparkSession):
+        _write(rows, tables.anomalies_path, batch, DETECTED_DAY, may_repeat=may_repeat)
 
 
-def append_anomalies(anomalies: DataFrame, tables: Tables, batch: str) -> None:
-    _write_by_batch(anomalies.select(*ANOMALIES.names), tables.anomalies_path, batch)
+def append_rejects(rejects: DataFrame, path: str, batch: str, may_repeat: bool = True) -> None:
+    _write(rejects.hint("rebalance").withColumn(BATCH, F.lit(batch)), path, batch, may_repeat=may_repeat)
 
 
-def append_rejects(rejects: DataFrame, path: str, batch: str) -> None:
-    _write_by_batch(rejects, path, batch)
+@contextmanager
+def _micros(spark: SparkSession) -> Iterator[None]:
+    """Store timestamps as the type that Parquet can skip by, whoever made the session."""
+    key = "spark.sql.parquet.outputTimestampType"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "TIMESTAMP_MICROS")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
 
 
 def encode(transactions: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from txnlake.operators import ingest as I
 
+# The names of the counters.
 NAMES = (
     "parsed",
     "parse_failed",

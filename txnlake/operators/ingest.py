@@ -28,6 +28,9 @@ _WIRE = T.StructType(
     ]
 )
 
+# Fields that are text in a message and in the table.
+TEXTS = T.StructType([f for f in PAYLOAD if isinstance(f.dataType, T.StringType)])
+
 
 def _all(conditions: list[Column]) -> Column:
     whole = F.lit(True)
@@ -54,14 +57,17 @@ def classify(lines: DataFrame) -> DataFrame:
         F.abs(amount) < F.lit(float("inf"))
     )
     readable = F.is_valid_utf8(text)
-    plain = complete & readable & X.ends_at_first_brace(text)
+    looks_nested = F.lit(False)
+    for f in TEXTS:
+        looks_nested = looks_nested | F.coalesce(F.col(f.name).rlike(r"^[\[{]"), F.lit(False))
+    plain = complete & readable & X.ends_at_first_brace(text) & ~looks_nested
 
     def odd(keys: Column) -> Column:
         return (
             F.when(keys.isNull(), PARSE_FAILED)
             .when(F.size(_absent(keys)) > 0, MISSING_FIELDS)
             .when(amount <= 0, NON_POSITIVE)
-            .when(complete, OK)
+            .when(complete & ~X.nested(text, TEXTS), OK)
             .otherwise(BAD_VALUE)
         )
 
@@ -93,6 +99,7 @@ def rejects(classified: DataFrame) -> DataFrame:
     )
 
 
+# Fixed value: the text of `anomaly_reason`.
 def extract_anomalies(transactions: DataFrame, threshold: float, run_ts: datetime) -> DataFrame:
     reason = F.lit(f"Amount exceeds threshold of {float(threshold)}")
     return (

@@ -30,6 +30,7 @@ def _mean(column: str = "amount") -> Column:
     return F.round(F.avg(column), 2)
 
 
+# Fixed values below: the names of the result columns.
 def hourly_volume(transactions: DataFrame, as_of: datetime | None = None) -> DataFrame:
     """Volume per hour over the last 24 hours, newest first."""
     return (
@@ -121,11 +122,13 @@ def zscore_outliers(
 
     One aggregation gives each user's figures and the extremes of the recent
     amounts. The extremes tell which users have an outlier at all, and only those
-    take part in the join. Recent rows are joined on user and salt, so that one
-    user's rows spread over many tasks; the few users left are repeated per salt.
-    Both sides then arrive by a shuffle of their own, which also lets adaptive
-    execution split what is still too large, or broadcast the users if their
-    measured size allows.
+    take part in the join. With a `limit`, only users whose own extreme is among
+    the `limit` largest of all users do: each of these has a row at least that far
+    out, so a row of any other user cannot be among the first. Recent rows are
+    joined on user and salt, so that one user's rows spread over many tasks; the
+    few users left are repeated per salt. Both sides then arrive by a shuffle of
+    their own, which also lets adaptive execution split what is still too large,
+    or broadcast the users if their measured size allows.
     """
     if not 0 < scored_hours <= 24 * HISTORY_DAYS:
         raise ValueError("the scored span must lie within the history")
@@ -150,7 +153,14 @@ def zscore_outliers(
         & ~F.isnan("stddev_amount")
         & ((_z_score(F.col("highest")) > Z_LIMIT) | (_z_score(F.col("lowest")) < -Z_LIMIT))
     )
-    suspects = users.filter(has_outlier).select(
+    suspects = users.filter(has_outlier)
+    if limit is not None:
+        suspects = suspects.withColumn(
+            "extreme", F.greatest(F.abs(_z_score(F.col("highest"))), F.abs(_z_score(F.col("lowest"))))
+        )
+        top = suspects.select("extreme").orderBy(F.desc("extreme")).limit(limit)
+        suspects = suspects.filter(F.col("extreme") >= top.agg(F.min("extreme")).scalar())
+    suspects = suspects.select(
         "user_id",
         "avg_amount",
         "stddev_amount",

@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+from datetime import date
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txnlake.functions.text import json_row
-from txnlake.schemas import ANOMALIES, DAY, TRANSACTIONS
+from txnlake.schemas import ANOMALIES, DAY, DETECTED_DAY, TRANSACTIONS
+from txnlake.settings import Tables
+from txnlake.sources.tables import days_of, scan_anomalies, scan_transactions
 
+# The limits of the reads, and the result columns below.
 DEFAULT_LIMIT = 50
 MAX_LIMIT = 500
 
@@ -18,22 +24,17 @@ def _checked(limit: int) -> int:
     return limit
 
 
-def _newest(rows: DataFrame, by: str, narrow: str, limit: int) -> DataFrame:
-    """The `limit` newest rows by `by`, ties by id.
+def _newest(rows: DataFrame, by: str, limit: int) -> DataFrame:
+    """The `limit` newest rows by `by`, ties by id. Each task sends `limit` rows at most."""
+    return rows.orderBy(F.desc(by), "transaction_id").limit(limit)
 
-    A first pass over the single column `narrow` finds a bound that the newest
-    rows cannot lie below; the second reads whole rows only from there on. For a
-    partition column the first pass reads no data columns beyond the filter's and
-    the bound prunes partitions, so the rest of the table is never opened.
-    """
-    bound = (
-        rows.select(narrow).orderBy(F.desc(narrow)).limit(limit).agg(F.min(narrow)).scalar()
-    )
-    return (
-        rows.filter(F.col(narrow) >= bound)
-        .orderBy(F.desc(by), "transaction_id")
-        .limit(limit)
-    )
+
+def _matching(rows: DataFrame, user_id: str | None, transaction_type: str | None) -> DataFrame:
+    if user_id:
+        rows = rows.filter(F.col("user_id") == user_id)
+    if transaction_type:
+        rows = rows.filter(F.col("transaction_type") == transaction_type)
+    return rows
 
 
 def recent_transactions(
@@ -42,22 +43,58 @@ def recent_transactions(
     user_id: str | None = None,
     transaction_type: str | None = None,
 ) -> DataFrame:
-    """Newest transactions, optionally of one user and/or type. Empty text is no filter."""
-    _checked(limit)
-    rows = transactions
-    if user_id:
-        rows = rows.filter(F.col("user_id") == user_id)
-    if transaction_type:
-        rows = rows.filter(F.col("transaction_type") == transaction_type)
-    narrow = DAY if DAY in rows.columns else "transaction_timestamp"
-    return _newest(rows, "transaction_timestamp", narrow, limit).select(*TRANSACTIONS.names)
+    """Newest transactions, optionally of one user and/or type. Empty text is no filter.
+
+    Looks at all rows given; `newest_transactions` opens only the newest days of a table.
+    """
+    rows = _matching(transactions, user_id, transaction_type)
+    return _newest(rows, "transaction_timestamp", _checked(limit)).select(*TRANSACTIONS.names)
 
 
 def recent_anomalies(anomalies: DataFrame, limit: int = DEFAULT_LIMIT) -> DataFrame:
     """Newest anomalies by detection time, which is one value per ingest batch."""
-    return _newest(anomalies, "detected_at", "detected_at", _checked(limit)).select(
-        *ANOMALIES.names
-    )
+    return _newest(anomalies, "detected_at", _checked(limit)).select(*ANOMALIES.names)
+
+
+def _from_newest_days(
+    days: list[date], scan: Callable[[date | None, date | None], DataFrame], limit: int
+) -> DataFrame:
+    """Rows of so many of the newest days that they hold `limit` rows, or of all days.
+
+    Goes back 1, 2, 4, ... days at a time. Every row left out is older than `limit`
+    others, so what is newest is not changed.
+    """
+    found, step, upto = 0, 1, len(days)
+    while upto and found < limit:
+        since = max(0, upto - step)
+        found += scan(days[since], days[upto - 1]).limit(limit - found).count()
+        upto, step = since, 2 * step
+    return scan(days[upto], None) if days else scan(None, None)
+
+
+def newest_transactions(
+    spark: SparkSession,
+    tables: Tables,
+    limit: int = DEFAULT_LIMIT,
+    user_id: str | None = None,
+    transaction_type: str | None = None,
+) -> DataFrame:
+    """`recent_transactions` of the table, from as few of its days as hold enough rows."""
+    _checked(limit)
+
+    def scan(first: date | None, last: date | None) -> DataFrame:
+        return _matching(scan_transactions(spark, tables, first, last), user_id, transaction_type)
+
+    days = days_of(spark, tables.transactions_path, DAY)
+    return recent_transactions(_from_newest_days(days, scan, limit), limit)
+
+
+def newest_anomalies(spark: SparkSession, tables: Tables, limit: int = DEFAULT_LIMIT) -> DataFrame:
+    """`recent_anomalies` of the table, from as few of its days as hold enough rows."""
+    _checked(limit)
+    days = days_of(spark, tables.anomalies_path, DETECTED_DAY)
+    rows = _from_newest_days(days, lambda a, b: scan_anomalies(spark, tables, a, b), limit)
+    return recent_anomalies(rows, limit)
 
 
 def stats(transactions: DataFrame) -> DataFrame:

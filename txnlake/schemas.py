@@ -60,6 +60,7 @@ PAYLOAD = T.StructType([f for f in TRANSACTIONS if f.name not in STAMPED])
 
 # Storage columns, added on write and not part of the tables' own columns.
 DAY = "transaction_date"
+DETECTED_DAY = "detected_date"
 BATCH = "ingest_batch"
 
 REJECTS = T.StructType(

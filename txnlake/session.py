@@ -15,6 +15,8 @@ SETTINGS = {
     "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Parquet cannot skip by timestamps of the older default type.
+    "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
 }
 
 
@@ -56,7 +58,13 @@ def work_dir(spark: SparkSession, purpose: str) -> str:
     return f"{base.rstrip('/')}/txnlake/{purpose}-{uuid.uuid4()}"
 
 
+def hadoop_path(spark: SparkSession, path: str):
+    """The path and its file system."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target, target.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
 def remove_dir(spark: SparkSession, path: str) -> None:
     """Delete a folder of this package's own making, if it is there."""
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+    target, fs = hadoop_path(spark, path)
+    fs.delete(target, True)

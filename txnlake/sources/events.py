@@ -36,16 +36,6 @@ def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(EVENTS).parquet(f"{sf_dir}/events.parquet")
 
 
-def _spread(df: DataFrame) -> DataFrame:
-    """Use all cores on a scan that has fewer tasks than there are cores.
-
-    A small table is one row group and so one task, which is too few for writing
-    and parsing JSON. A table with many splits is left alone.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def _pick(values: tuple[str, ...], number: Column) -> Column:
     return F.get(F.array(*[F.lit(v) for v in values]), number % len(values))
 
@@ -73,6 +63,7 @@ def _columns() -> dict[str, Column]:
 
 
 def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events with a positive value: the table holds no other amounts."""
     columns = _columns()
     return (
         read_events(spark, sf_dir)
@@ -103,13 +94,27 @@ def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(kind == 4, extra)
         .otherwise(whole)
     )
-    return _spread(read_events(spark, sf_dir)).select(value.alias("value"))
+    return read_events(spark, sf_dir).select(value.alias("value"))
 
 
-def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Ingest requests; some lack a currency, some have an amount that is not positive."""
+def request_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The requests as JSON text in `value`, some damaged or with a nested value, by `event_id % 50`."""
+    kind = F.col("event_id") % 50
+    columns = [c.alias(n) for n, c in _request_columns().items()]
+    whole = F.to_json(F.struct(*columns))
+    nested = F.regexp_replace(whole, '"status":"[a-z]*"', '"status":{"a":1}')
+    value = F.when(kind == 0, F.regexp_replace(whole, r"\}$", "")).when(kind == 3, nested)
+    return read_events(spark, sf_dir).select(value.otherwise(whole).alias("value"))
+
+
+def _request_columns() -> dict[str, Column]:
     columns = _columns()
     event = F.col("event_id")
     columns["amount"] = F.when(event % 9 == 0, -F.col("value")).otherwise(F.col("value"))
     columns["currency"] = F.when(event % 14 != 0, columns["currency"])
-    return read_events(spark, sf_dir).select(*[columns[n].alias(n) for n in REQUEST.names])
+    return {n: columns[n] for n in REQUEST.names}
+
+
+def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ingest requests; some lack a currency, some have an amount that is not positive."""
+    return read_events(spark, sf_dir).select(*[c.alias(n) for n, c in _request_columns().items()])

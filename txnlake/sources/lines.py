@@ -5,6 +5,10 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
+# Spark leaves out files that are older than the newest one seen by more than this;
+# a backfill or a copy that keeps times must not be lost that way.
+MAX_FILE_AGE = "36500d"
+
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame | None:
     """Lines of all files that match `path`, blank ones included; None if none match.
@@ -29,9 +33,12 @@ def stream_files(
     """New files matching `path`, each read once per checkpoint.
 
     With `archive_dir`, Spark moves a file there once a later micro-batch starts;
-    the checkpoint, not the move, is what keeps a file from being read twice.
+    the checkpoint, not the move, is what keeps a file from being read twice. Files
+    of any age are read; the driver remembers each file seen, so move old ones away.
     """
-    reader = spark.readStream.format("text").option("lineSep", "\n")
+    reader = (
+        spark.readStream.format("text").option("lineSep", "\n").option("maxFileAge", MAX_FILE_AGE)
+    )
     if archive_dir:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
     if max_files_per_trigger:

@@ -2,18 +2,20 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from txnlake.schemas import ANOMALIES, BATCH, DAY, TRANSACTIONS
-from txnlake.session import require_utc
+from txnlake.schemas import ANOMALIES, BATCH, DAY, DETECTED_DAY, TRANSACTIONS
+from txnlake.session import hadoop_path, require_utc
 from txnlake.settings import Tables
 
 _BATCH = T.StructField(BATCH, T.StringType())
 _STORED_TRANSACTIONS = T.StructType([*TRANSACTIONS, T.StructField(DAY, T.DateType()), _BATCH])
-_STORED_ANOMALIES = T.StructType([*ANOMALIES, _BATCH])
+_STORED_ANOMALIES = T.StructType([*ANOMALIES, T.StructField(DETECTED_DAY, T.DateType()), _BATCH])
 
 
 class TableNotFound(LookupError):
@@ -21,36 +23,86 @@ class TableNotFound(LookupError):
 
 
 def create_tables(spark: SparkSession, tables: Tables) -> None:
-    """Make both tables, empty. Fails if one is there already."""
-    for path, schema, by in (
+    """Make both tables, empty. Fails, and makes none, if one is there already."""
+    both = (
         (tables.transactions_path, _STORED_TRANSACTIONS, [DAY, BATCH]),
-        (tables.anomalies_path, _STORED_ANOMALIES, [BATCH]),
-    ):
+        (tables.anomalies_path, _STORED_ANOMALIES, [DETECTED_DAY, BATCH]),
+    )
+    for path, _, _ in both:
+        target, fs = hadoop_path(spark, path)
+        if fs.exists(target):
+            raise FileExistsError(f"{path} already exists")
+    for path, schema, by in both:
         spark.createDataFrame([], schema).write.partitionBy(*by).parquet(path)
 
 
-def _scan(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def days_of(spark: SparkSession, path: str, day: str) -> list[date]:
+    """The days that a table has folders for, from one listing of its top level."""
+    target, fs = hadoop_path(spark, path)
+    if not fs.exists(target):
+        raise TableNotFound(f"no table at {path}; create it first")
+    names = [x.getPath().getName() for x in fs.listStatus(target)]
+    return sorted(date.fromisoformat(n.partition("=")[2]) for n in names if n.startswith(f"{day}="))
+
+
+def _scan(
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType,
+    day: str,
+    first_day: date | None = None,
+    last_day: date | None = None,
+) -> DataFrame:
+    """The table, or its folders of some days; other folders are not even listed."""
     require_utc(spark)
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException as e:
-        if e.getCondition() == "PATH_NOT_FOUND":
-            raise TableNotFound(f"no table at {path}; create it first") from e
-        raise
-
-
-def scan_transactions(spark: SparkSession, tables: Tables) -> DataFrame:
-    """The 12 table columns and the day partition, which `since` and `recent` prune by."""
-    return _scan(spark, tables.transactions_path, _STORED_TRANSACTIONS).drop(BATCH)
-
-
-def scan_anomalies(spark: SparkSession, tables: Tables) -> DataFrame:
-    return _scan(spark, tables.anomalies_path, _STORED_ANOMALIES).drop(BATCH)
+    if first_day is None and last_day is None:
+        try:
+            return spark.read.schema(schema).parquet(path)
+        except AnalysisException as e:
+            if e.getCondition() == "PATH_NOT_FOUND":
+                raise TableNotFound(f"no table at {path}; create it first") from e
+            raise
+    wanted = [
+        d
+        for d in days_of(spark, path, day)
+        if (first_day is None or d >= first_day) and (last_day is None or d <= last_day)
+    ]
+    if not wanted:
+        return spark.createDataFrame([], schema)
+    folders = [f"{path}/{day}={d.isoformat()}" for d in wanted]
+    return spark.read.schema(schema).option("basePath", path).parquet(*folders)
+
+
+def scan_transactions(
+    spark: SparkSession,
+    tables: Tables,
+    first_day: date | None = None,
+    last_day: date | None = None,
+) -> DataFrame:
+    """The 12 table columns and the day partition, which `since` and `recent` prune by.
+
+    With `first_day` or `last_day` only the folders of those days are listed.
+    """
+    path = tables.transactions_path
+    return _scan(spark, path, _STORED_TRANSACTIONS, DAY, first_day, last_day).drop(BATCH)
+
+
+def scan_anomalies(
+    spark: SparkSession,
+    tables: Tables,
+    first_day: date | None = None,
+    last_day: date | None = None,
+) -> DataFrame:
+    path = tables.anomalies_path
+    found = _scan(spark, path, _STORED_ANOMALIES, DETECTED_DAY, first_day, last_day)
+    return found.drop(BATCH, DETECTED_DAY)
 
 
 def require_tables(spark: SparkSession, tables: Tables) -> None:
-    scan_transactions(spark, tables)
-    scan_anomalies(spark, tables)
+    for path in (tables.transactions_path, tables.anomalies_path):
+        target, fs = hadoop_path(spark, path)
+        if not fs.exists(target):
+            raise TableNotFound(f"no table at {path}; create it first")
 
 
 def since(transactions: DataFrame, start: Column) -> DataFrame:

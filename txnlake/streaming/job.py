@@ -2,19 +2,23 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable
 from datetime import datetime
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from txnlake.functions.clock import utc_now
-from txnlake.operators import ingest
+from txnlake.operators import counters, ingest
 from txnlake.plans.batch import append_outputs
 from txnlake.settings import DEFAULT_THRESHOLD, Tables
 from txnlake.sources.tables import require_tables
 
+log = logging.getLogger(__name__)
+
 
 def run_stream(
     lines: DataFrame,
@@ -26,6 +30,7 @@ def run_stream(
     available_now: bool = False,
     interval: str | None = None,
     clock: Callable[[], datetime] = utc_now,
+    on_counters: Callable[[str, dict[str, int]], None] | None = None,
 ) -> StreamingQuery:
     """Start ingesting `lines` (a streaming `value` column) and return the query.
 
@@ -33,20 +38,37 @@ def run_stream(
     A micro-batch is named after the query's id, kept in the checkpoint, and its
     number. One that runs again after a failure therefore replaces its own rows
     in both tables, and a query with a new checkpoint never touches another's.
+
+    Each micro-batch's counters go to the log and to `on_counters`, with the name
+    of the micro-batch: one that runs again is told again under the same name.
     """
     spark = lines.sparkSession
     require_tables(spark, tables)
+    # Only the first micro-batch of a run can be one that ran before.
+    may_repeat = True
 
     def ingest_batch(batch_lines: DataFrame, number: int) -> None:
+        nonlocal may_repeat
         run_ts = clock()
         query = batch_lines.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        if not query:
+            raise RuntimeError("the query's id is unknown, so its batches cannot be told apart")
+        name = f"{query}-{number}"
+        # Only refused lines are needed as text again.
+        text = F.when(F.col("reason") != ingest.OK, F.col("value"))
         enriched = ingest.enrich(ingest.classify(batch_lines), threshold, run_ts)
+        enriched = enriched.withColumn("value", text)
         # Bounded by the source's rate limit, so it is held rather than staged.
         enriched.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            append_outputs(enriched, tables, threshold, run_ts, f"{query}-{number}", rejects_path)
+            append_outputs(enriched, tables, threshold, run_ts, name, rejects_path, may_repeat)
+            totals = counters.count(enriched).first().asDict()
         finally:
             enriched.unpersist()
+        may_repeat = False
+        log.info("micro-batch %s finished: %s", name, totals)
+        if on_counters:
+            on_counters(name, totals)
 
     writer = lines.writeStream.foreachBatch(ingest_batch).option("checkpointLocation", checkpoint)
     if available_now:
