@@ -12,6 +12,7 @@ from txnlake.llm import op3_jaccard_join as op3
 from txnlake.llm import op4_byte_bpe as op4
 from txnlake.llm import op5_license_scan as op5
 from txnlake.llm import op6_best_fit_packing as op6
+from txnlake.llm import op7_sharding as op7
 from txnlake.llm import op8_pii as op8
 from txnlake.llm import op9_token_counts as op9
 from txnlake.llm import op10_exact_dedup as op10
@@ -28,6 +29,7 @@ def queries() -> dict[str, Query]:
         "op4_byte_bpe": lambda s, d: op4.digests(op4.encode(documents(s, d))),
         "op5_license_scan": lambda s, d: op5.license_scan(documents(s, d)),
         "op6_best_fit_packing": lambda s, d: op6.pack(documents(s, d)),
+        "op7_sharding": lambda s, d: op7.shard(documents(s, d)),
         "op8_pii": lambda s, d: op8.pii(documents(s, d)),
         "op9_token_counts": lambda s, d: op9.token_counts(documents(s, d)),
         "op10_exact_dedup": lambda s, d: op10.exact_dedup(documents(s, d)),
