@@ -1,0 +1,160 @@
+"""Merging closed days: what readers see before, during and after, and repeats of merged batches."""
+
+from __future__ import annotations
+
+from datetime import date
+from pathlib import Path
+
+import pytest
+
+from tests.conftest import RUN_TS, line
+from tests.test_jobs import ids, put, rows_of, stream
+from txnlake.operators import append
+from txnlake.operators import compact as C
+from txnlake.plans import reports, serving
+from txnlake.plans.batch import run_batch
+from txnlake.sources import merged as M
+from txnlake.sources.tables import scan_anomalies, scan_transactions, transactions_layout
+
+CLOSED = date(2024, 1, 4)
+
+
+def message(name, day, amount=10, **more):
+    return line(transaction_id=name, amount=amount, transaction_timestamp=f"2024-01-0{day}T10:00:00Z", **more)
+
+
+@pytest.fixture
+def loaded(spark, tables, tmp_path):
+    """Batches x, y, z over days 1 to 3, and one of day 5; two anomalies."""
+    run(spark, tables, tmp_path, "x", message("x1", 1), message("x2", 2, 5000))
+    run(spark, tables, tmp_path, "y", message("y1", 1, 7000), message("y3", 3))
+    run(spark, tables, tmp_path, "z", message("z1", 1), message("z3", 3), message("z5", 5))
+    return tables
+
+
+def run(spark, tables, tmp_path, batch, *lines):
+    put(tmp_path / batch, "1.json", list(lines))
+    run_batch(spark, str(tmp_path / batch), tables, batch=batch, run_ts=RUN_TS)
+
+
+def both(spark, tables):
+    return rows_of(scan_transactions(spark, tables)), rows_of(scan_anomalies(spark, tables))
+
+
+def files(tables):
+    return sorted(str(f) for f in Path(tables.transactions_path).rglob("*.parquet"))
+
+
+def test_merging_changes_no_row(spark, loaded):
+    before = both(spark, loaded)
+    assert C.compact(spark, loaded, CLOSED) == 2  # days 1 and 3; nothing to merge elsewhere
+    assert C.compact(spark, loaded, CLOSED) == 0
+    assert both(spark, loaded) == before
+    read = scan_transactions(spark, loaded, date(2024, 1, 1), date(2024, 1, 1))
+    assert len(read.inputFiles()) == 1 and ids(read) == ["x1", "y1", "z1"]
+    C.vacuum_tables(spark, loaded)
+    assert both(spark, loaded) == before
+    assert len(files(loaded)) == 4
+    newest = serving.newest_transactions(spark, loaded, 2)
+    assert [r.transaction_id for r in newest.collect()] == ["z5", "y3"]
+    assert reports.top_users(scan_transactions(spark, loaded), RUN_TS.replace(day=5)).count() == 1
+
+
+def test_later_batches_join_a_merged_day(spark, loaded, tmp_path):
+    C.compact(spark, loaded, CLOSED)
+    run(spark, loaded, tmp_path, "late", message("l1", 1, 6000))
+    assert ids(scan_transactions(spark, loaded)) == ["l1", "x1", "x2", "y1", "y3", "z1", "z3", "z5"]
+    C.compact(spark, loaded, CLOSED)
+    C.vacuum_tables(spark, loaded)
+    assert ids(scan_transactions(spark, loaded)) == ["l1", "x1", "x2", "y1", "y3", "z1", "z3", "z5"]
+
+
+@pytest.mark.parametrize("vacuumed", [False, True])
+def test_a_merged_batch_that_runs_again_is_there_once(spark, loaded, tmp_path, vacuumed):
+    before = both(spark, loaded)
+    C.compact(spark, loaded, date(2025, 1, 1))
+    if vacuumed:
+        C.vacuum_tables(spark, loaded)
+    run(spark, loaded, tmp_path, "y", message("y1", 1, 7000), message("y3", 3))
+    assert both(spark, loaded) == before
+    # Corrected: another amount on day 1, no row on day 3 any more, one on day 2.
+    run(spark, loaded, tmp_path, "y", message("y1", 1, 20), message("y2", 2))
+    assert ids(scan_transactions(spark, loaded)) == ["x1", "x2", "y1", "y2", "z1", "z3", "z5"]
+    assert ids(scan_anomalies(spark, loaded)) == ["x2"]
+    C.compact(spark, loaded, date(2025, 1, 1))
+    C.vacuum_tables(spark, loaded)
+    assert ids(scan_transactions(spark, loaded)) == ["x1", "x2", "y1", "y2", "z1", "z3", "z5"]
+    assert ids(scan_anomalies(spark, loaded)) == ["x2"]
+
+
+@pytest.mark.parametrize("where", ["_write_merged", "put_manifest"])
+def test_a_merge_that_stops_half_way_changes_nothing(spark, loaded, monkeypatch, where):
+    before = both(spark, loaded)
+    plain = C._write_merged
+
+    def stop(*args):
+        if where == "_write_merged":
+            plain(*args)
+        raise RuntimeError("stopped")
+
+    with monkeypatch.context() as broken:
+        broken.setattr(C if where == "_write_merged" else M, where, stop)
+        with pytest.raises(RuntimeError):
+            C.compact(spark, loaded, CLOSED)
+    assert both(spark, loaded) == before
+    C.vacuum_tables(spark, loaded)
+    assert both(spark, loaded) == before
+    C.compact(spark, loaded, CLOSED)
+    assert both(spark, loaded) == before
+
+
+def test_two_merges_of_a_day_do_not_both_count(spark, loaded, monkeypatch):
+    before = both(spark, loaded)
+    plain = C._write_merged
+    table = transactions_layout(loaded)
+
+    def other_first(*args):
+        name = plain(*args)
+        with monkeypatch.context() as again:
+            again.setattr(C, "_write_merged", plain)
+            C.merge_day(spark, table, date(2024, 1, 1))
+        return name
+
+    with monkeypatch.context() as slow:
+        slow.setattr(C, "_write_merged", other_first)
+        with pytest.raises(RuntimeError, match="another run"):
+            C.merge_day(spark, table, date(2024, 1, 1))
+    assert both(spark, loaded) == before
+
+
+def test_a_stream_goes_on_next_to_a_merge(spark, tables, tmp_path, monkeypatch):
+    raw, checkpoint = tmp_path / "raw", tmp_path / "cp"
+    for n in range(2):
+        put(raw, f"{n}.json", [message(f"s{n}", 1)])
+        stream(spark, raw, tables, checkpoint)
+    plain = C._write_merged
+
+    def meanwhile(*args):
+        put(raw, "2.json", [message("s2", 1)])
+        stream(spark, raw, tables, checkpoint)
+        return plain(*args)
+
+    with monkeypatch.context() as busy:
+        busy.setattr(C, "_write_merged", meanwhile)
+        assert C.compact(spark, tables, CLOSED) == 1
+    assert ids(scan_transactions(spark, tables)) == ["s0", "s1", "s2"]
+
+    # A micro-batch that fails between the sinks, is merged, and runs again.
+    put(raw, "3.json", [message("s3", 1, 5000)])
+
+    def fail(*_):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as broken:
+        broken.setattr(append, "append_anomalies", fail)
+        with pytest.raises(Exception, match="lost"):
+            stream(spark, raw, tables, checkpoint)
+    C.compact(spark, tables, CLOSED)
+    stream(spark, raw, tables, checkpoint)
+    assert ids(scan_transactions(spark, tables)) == ["s0", "s1", "s2", "s3"]
+    assert ids(scan_anomalies(spark, tables)) == ["s3"]

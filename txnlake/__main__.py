@@ -6,10 +6,11 @@ import argparse
 import json
 import logging
 
-from datetime import timedelta
+from datetime import date, timedelta
 
 from txnlake import settings
 from txnlake.functions.clock import utc_now
+from txnlake.operators import compact as merging
 from txnlake.operators.requests import publish_requests
 from txnlake.plans import reports, serving
 from txnlake.plans.batch import run_batch
@@ -75,6 +76,10 @@ def parser() -> argparse.ArgumentParser:
         "--available_now", action="store_true", help="stop once the present input is read"
     )
 
+    compact = commands.add_parser("compact", help="merge the batches of closed days")
+    compact.add_argument("--before", type=date.fromisoformat, help="first day left alone (today)")
+    commands.add_parser("vacuum", help="remove what merges have replaced")
+
     publish = commands.add_parser("publish", help="turn request lines into messages, print ids")
     publish.add_argument("--input_path", required=True)
     publish.add_argument("--sink", choices=("kafka", "text"), default="kafka")
@@ -113,6 +118,10 @@ def main(argv: list[str] | None = None) -> None:
 
     if args.command == "create-tables":
         create_tables(spark, tables)
+    elif args.command == "compact":
+        print(json.dumps({"merges": merging.compact(spark, tables, args.before)}))
+    elif args.command == "vacuum":
+        merging.vacuum_tables(spark, tables)
     elif args.command == "batch":
         counts = run_batch(
             spark,

@@ -3,18 +3,16 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
-from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txnlake.functions.text import json_row
+from txnlake.operators.compact import detach
 from txnlake.schemas import ANOMALIES, BATCH, DAY, DETECTED_DAY, TRANSACTIONS
-from txnlake.session import hadoop_path, remove_dir
+from txnlake.session import hadoop_path, remove_dir, stored_micros
 from txnlake.settings import Tables
-
-CLUSTER_BY = ("transaction_type", "status")
+from txnlake.sources.tables import CLUSTER_BY, Layout, anomalies_layout, transactions_layout
 
 
 def _files_of(spark: SparkSession, pattern: str) -> dict[str, set[str]]:
@@ -26,6 +24,14 @@ def _files_of(spark: SparkSession, pattern: str) -> dict[str, set[str]]:
     }
 
 
+def _write_table(rows: DataFrame, table: Layout, batch: str, may_repeat: bool) -> None:
+    with stored_micros(rows.sparkSession):
+        _write(rows, table.path, batch, table.day, may_repeat=may_repeat)
+    if may_repeat:
+        # Where the batch is part of a merged day, its new folders take over now.
+        detach(rows.sparkSession, table, batch)
+
+
 def _write(rows: DataFrame, path: str, batch: str, *days: str, may_repeat: bool = True) -> None:
     """Write a batch; afterwards it holds these rows and no others.
 
@@ -77,10 +83,7 @@ def lay_out(transactions: DataFrame, batch: str) -> DataFrame:
 def append_transactions(
     transactions: DataFrame, tables: Tables, batch: str, may_repeat: bool = True
 ) -> None:
-    with _micros(transactions.sparkSession):
-        _write(
-            lay_out(transactions, batch), tables.transactions_path, batch, DAY, may_repeat=may_repeat
-        )
+    _write_table(lay_out(transactions, batch), transactions_layout(tables), batch, may_repeat)
 
 
 def append_anomalies(
@@ -92,26 +95,13 @@ def append_anomalies(
         .withColumn(BATCH, F.lit(batch))
         .hint("rebalance")
     )
-    with _micros(rows.sparkSession):
-        _write(rows, tables.anomalies_path, batch, DETECTED_DAY, may_repeat=may_repeat)
+    _write_table(rows, anomalies_layout(tables), batch, may_repeat)
 
 
 def append_rejects(rejects: DataFrame, path: str, batch: str, may_repeat: bool = True) -> None:
     _write(rejects.hint("rebalance").withColumn(BATCH, F.lit(batch)), path, batch, may_repeat=may_repeat)
 
 
-@contextmanager
-def _micros(spark: SparkSession) -> Iterator[None]:
-    """Store timestamps as the type that Parquet can skip by, whoever made the session."""
-    key = "spark.sql.parquet.outputTimestampType"
-    before = spark.conf.get(key)
-    spark.conf.set(key, "TIMESTAMP_MICROS")
-    try:
-        yield
-    finally:
-        spark.conf.set(key, before)
-
-
 def encode(transactions: DataFrame) -> DataFrame:
     """One JSON message per row in `value`, NULL fields written out."""
     return transactions.select(json_row(transactions).alias("value"))

@@ -62,6 +62,7 @@ PAYLOAD = T.StructType([f for f in TRANSACTIONS if f.name not in STAMPED])
 DAY = "transaction_date"
 DETECTED_DAY = "detected_date"
 BATCH = "ingest_batch"
+MERGED_FROM = "merged_from"
 
 REJECTS = T.StructType(
     [

@@ -6,6 +6,8 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -58,6 +60,18 @@ def work_dir(spark: SparkSession, purpose: str) -> str:
     return f"{base.rstrip('/')}/txnlake/{purpose}-{uuid.uuid4()}"
 
 
+@contextmanager
+def stored_micros(spark: SparkSession) -> Iterator[None]:
+    """Store timestamps as the type that Parquet can skip by, whoever made the session."""
+    key = "spark.sql.parquet.outputTimestampType"
+    before = spark.conf.get(key)
+    spark.conf.set(key, SETTINGS[key])
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def hadoop_path(spark: SparkSession, path: str):
     """The path and its file system."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -1,0 +1,97 @@
+"""Which folders of a table hold its rows, once closed days have been merged.
+
+A merged day's rows stand in one folder below `_merged/data`, and a manifest
+below `_merged/manifests` names it and the batches that it stands for. Of a
+day's manifests the one with the highest number counts, and a manifest appears
+by a rename, so a merge takes effect at one moment: before it, readers see the
+batches, from then on the merged folder and any batch that came later.
+"""
+
+from __future__ import annotations
+
+import json
+import uuid
+from dataclasses import dataclass, field
+from datetime import date
+
+from pyspark.sql import SparkSession
+
+from txnlake.schemas import BATCH
+from txnlake.session import hadoop_path
+
+HOME = "_merged"
+
+
+@dataclass
+class Manifest:
+    number: int = 0
+    merged: str | None = None
+    replaces: list[str] = field(default_factory=list)
+
+
+def data_home(path: str) -> str:
+    return f"{path}/{HOME}/data"
+
+
+def _names(spark: SparkSession, path: str) -> list[str]:
+    target, fs = hadoop_path(spark, path)
+    return [x.getPath().getName() for x in fs.listStatus(target)] if fs.exists(target) else []
+
+
+def manifests(spark: SparkSession, path: str) -> dict[date, Manifest]:
+    """The manifest that counts for each merged day."""
+    home, newest = f"{path}/{HOME}/manifests", {}
+    for name in _names(spark, home):
+        day, number, kind = name.rsplit(".", 2)
+        if kind == "json" and int(number) > newest.get(day, 0):
+            newest[day] = int(number)
+    found = {}
+    for day, number in newest.items():
+        target, fs = hadoop_path(spark, f"{home}/{day}.{number}.json")
+        stream = fs.open(target)
+        try:
+            text = spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+        found[date.fromisoformat(day)] = Manifest(number, **json.loads(text))
+    return found
+
+
+def put_manifest(spark: SparkSession, path: str, day: date, manifest: Manifest) -> None:
+    """Make a manifest the one that counts. Fails if another merge of the day was faster."""
+    home = f"{path}/{HOME}/manifests"
+    draft, fs = hadoop_path(spark, f"{home}/_{uuid.uuid4()}")
+    out = fs.create(draft)
+    out.write(bytearray(json.dumps({"merged": manifest.merged, "replaces": manifest.replaces}).encode()))
+    out.close()
+    target, _ = hadoop_path(spark, f"{home}/{day.isoformat()}.{manifest.number}.json")
+    if fs.exists(target) or not fs.rename(draft, target):
+        fs.delete(draft, False)
+        raise RuntimeError(f"{day} of {path} was merged by another run at the same time")
+
+
+def batches(spark: SparkSession, path: str, day_column: str, day: date) -> list[str]:
+    """The batches that have a folder of their own for the day."""
+    names = _names(spark, f"{path}/{day_column}={day.isoformat()}")
+    return sorted(n.partition("=")[2] for n in names if n.startswith(f"{BATCH}="))
+
+
+def merged_folder(path: str, day_column: str, day: date, merged: str) -> str:
+    return f"{data_home(path)}/{day_column}={day.isoformat()}/{BATCH}={merged}"
+
+
+def folders(
+    spark: SparkSession, path: str, day_column: str, days: list[date], found: dict[date, Manifest]
+) -> tuple[list[str], list[str]]:
+    """The folders that hold the rows of the days: those of batches, and merged ones."""
+    own, merged = [], []
+    for day in days:
+        folder, manifest = f"{path}/{day_column}={day.isoformat()}", found.get(day)
+        if manifest is None:
+            own.append(folder)
+            continue
+        later = set(batches(spark, path, day_column, day)) - set(manifest.replaces)
+        own += [f"{folder}/{BATCH}={b}" for b in sorted(later)]
+        if manifest.merged:
+            merged.append(merged_folder(path, day_column, day, manifest.merged))
+    return own, merged

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from datetime import date
 
 from pyspark.errors import AnalysisException
@@ -12,28 +13,52 @@ from pyspark.sql import types as T
 from txnlake.schemas import ANOMALIES, BATCH, DAY, DETECTED_DAY, TRANSACTIONS
 from txnlake.session import hadoop_path, require_utc
 from txnlake.settings import Tables
+from txnlake.sources import merged
 
 _BATCH = T.StructField(BATCH, T.StringType())
 _STORED_TRANSACTIONS = T.StructType([*TRANSACTIONS, T.StructField(DAY, T.DateType()), _BATCH])
 _STORED_ANOMALIES = T.StructType([*ANOMALIES, T.StructField(DETECTED_DAY, T.DateType()), _BATCH])
 
 
+# What files are clustered by besides time.
+CLUSTER_BY = ("transaction_type", "status")
+
+
+@dataclass(frozen=True)
+class Layout:
+    """How a table lies in its folder: by day and batch."""
+
+    path: str
+    schema: T.StructType
+    day: str
+    cluster_by: tuple[str, ...] = ()
+
+
+def transactions_layout(tables: Tables) -> Layout:
+    return Layout(tables.transactions_path, _STORED_TRANSACTIONS, DAY, CLUSTER_BY)
+
+
+def anomalies_layout(tables: Tables) -> Layout:
+    return Layout(tables.anomalies_path, _STORED_ANOMALIES, DETECTED_DAY)
+
+
+def layouts(tables: Tables) -> list[Layout]:
+    return [transactions_layout(tables), anomalies_layout(tables)]
+
+
 class TableNotFound(LookupError):
     pass
 
 
 def create_tables(spark: SparkSession, tables: Tables) -> None:
     """Make both tables, empty. Fails, and makes none, if one is there already."""
-    both = (
-        (tables.transactions_path, _STORED_TRANSACTIONS, [DAY, BATCH]),
-        (tables.anomalies_path, _STORED_ANOMALIES, [DETECTED_DAY, BATCH]),
-    )
-    for path, _, _ in both:
-        target, fs = hadoop_path(spark, path)
+    for table in layouts(tables):
+        target, fs = hadoop_path(spark, table.path)
         if fs.exists(target):
-            raise FileExistsError(f"{path} already exists")
-    for path, schema, by in both:
-        spark.createDataFrame([], schema).write.partitionBy(*by).parquet(path)
+            raise FileExistsError(f"{table.path} already exists")
+    for table in layouts(tables):
+        empty = spark.createDataFrame([], table.schema)
+        empty.write.partitionBy(table.day, BATCH).parquet(table.path)
 
 
 def days_of(spark: SparkSession, path: str, day: str) -> list[date]:
@@ -46,31 +71,30 @@ def days_of(spark: SparkSession, path: str, day: str) -> list[date]:
 
 
 def _scan(
-    spark: SparkSession,
-    path: str,
-    schema: T.StructType,
-    day: str,
-    first_day: date | None = None,
-    last_day: date | None = None,
+    spark: SparkSession, table: Layout, first_day: date | None, last_day: date | None
 ) -> DataFrame:
     """The table, or its folders of some days; other folders are not even listed."""
     require_utc(spark)
-    if first_day is None and last_day is None:
+    found = merged.manifests(spark, table.path)
+    if first_day is None and last_day is None and not found:
         try:
-            return spark.read.schema(schema).parquet(path)
+            return spark.read.schema(table.schema).parquet(table.path)
         except AnalysisException as e:
             if e.getCondition() == "PATH_NOT_FOUND":
-                raise TableNotFound(f"no table at {path}; create it first") from e
+                raise TableNotFound(f"no table at {table.path}; create it first") from e
             raise
     wanted = [
         d
-        for d in days_of(spark, path, day)
+        for d in sorted({*days_of(spark, table.path, table.day), *found})
         if (first_day is None or d >= first_day) and (last_day is None or d <= last_day)
     ]
-    if not wanted:
-        return spark.createDataFrame([], schema)
-    folders = [f"{path}/{day}={d.isoformat()}" for d in wanted]
-    return spark.read.schema(schema).option("basePath", path).parquet(*folders)
+    own, whole_days = merged.folders(spark, table.path, table.day, wanted, found)
+    rows = spark.createDataFrame([], table.schema) if not own and not whole_days else None
+    for base, paths in ((table.path, own), (merged.data_home(table.path), whole_days)):
+        if paths:
+            part = spark.read.schema(table.schema).option("basePath", base).parquet(*paths)
+            rows = part if rows is None else rows.unionByName(part)
+    return rows
 
 
 def scan_transactions(
@@ -83,8 +107,7 @@ def scan_transactions(
 
     With `first_day` or `last_day` only the folders of those days are listed.
     """
-    path = tables.transactions_path
-    return _scan(spark, path, _STORED_TRANSACTIONS, DAY, first_day, last_day).drop(BATCH)
+    return _scan(spark, transactions_layout(tables), first_day, last_day).drop(BATCH)
 
 
 def scan_anomalies(
@@ -93,8 +116,7 @@ def scan_anomalies(
     first_day: date | None = None,
     last_day: date | None = None,
 ) -> DataFrame:
-    path = tables.anomalies_path
-    found = _scan(spark, path, _STORED_ANOMALIES, DETECTED_DAY, first_day, last_day)
+    found = _scan(spark, anomalies_layout(tables), first_day, last_day)
     return found.drop(BATCH, DETECTED_DAY)
 
 
