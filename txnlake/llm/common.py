@@ -23,6 +23,8 @@ from txnlake.session import remove_dir, work_dir
 PORTION_CHARS = 4_000_000
 BATCH_ROWS = 1_000
 
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
@@ -36,12 +38,17 @@ def with_row(docs: DataFrame) -> DataFrame:
 def stored(df: DataFrame, purpose: str) -> DataFrame:
     """Write `df` into the shared work folder and read it again.
 
-    This cuts the lineage at a table that outlives any executor. The folder is
-    deleted when the driver ends.
+    This cuts the lineage at a table that outlives any executor. The shuffle files
+    that the table was made from go at once, the table when the driver ends.
     """
     spark = df.sparkSession
     path = work_dir(spark, purpose)
-    df.write.parquet(path)
+    before = spark.conf.get(SHUFFLE_CLEANUP)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(SHUFFLE_CLEANUP, before)
     atexit.register(_forget, spark, path)
     return spark.read.schema(df.schema).parquet(path)
 
