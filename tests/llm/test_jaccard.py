@@ -32,6 +32,7 @@ def test_odd_rows(spark, clash):
 @pytest.mark.parametrize("seed", [1, 2])
 def test_families_of_near_copies(spark, monkeypatch, seed, block):
     monkeypatch.setattr(op3, "BLOCK", block)
+    monkeypatch.setattr(op3, "PART", 20 if block < 100 else 1 << 20)
     monkeypatch.setattr(op3, "AT_ONCE", 64 if block < 100 else 1 << 14)
     rows = near_copies(seed)
     got = sorted_rows(op3.jaccard_components(frame(spark, rows)), *RESULT)

@@ -48,6 +48,8 @@ ROUNDS = 2
 FREQUENT = 1 << 16
 #: Counters of a task's Misra-Gries summary.
 COUNTERS = 1 << 18
+#: Rows of the table per part of a frequent token's rows.
+PART = 1 << 20
 #: Members of a group that meet in one task; larger groups meet block by block.
 BLOCK = 4096
 #: Children of a tree node, and bits of a bitmap per shingle, within limits.
@@ -94,20 +96,20 @@ def least_overlap(n: np.ndarray | int) -> np.ndarray | int:
     return (PERCENT * n + 99) // 100
 
 
-def prefix(tokens: np.ndarray, frequent: np.ndarray) -> np.ndarray:
-    """The first tokens in the common order.
+def prefix(tokens: np.ndarray, frequent: np.ndarray) -> tuple[np.ndarray, int]:
+    """The first tokens in the common order, and how many of them are not frequent.
 
     Of the tokens that two linked sets share, the first max(1, SPARE % of n) stand
     so far in front that a set of n has them in its prefix.
     """
-    n = len(tokens)
-    if not n:
-        return tokens
-    if len(frequent):
+    n = plain = len(tokens)
+    if n and len(frequent):
         at = np.minimum(np.searchsorted(frequent, tokens), len(frequent) - 1)
         is_frequent = frequent[at] == tokens
         tokens = np.concatenate([tokens[~is_frequent], tokens[is_frequent]])
-    return tokens[: n - least_overlap(n) + max(1, SPARE * n // 100)]
+        plain -= int(is_frequent.sum())
+    first = tokens[: n - least_overlap(n) + max(1, SPARE * n // 100)]
+    return first, min(plain, len(first))
 
 
 def frequent_shingles(docs: DataFrame) -> np.ndarray:
@@ -144,12 +146,16 @@ def frequent_shingles(docs: DataFrame) -> np.ndarray:
 
 
 def sets(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
-    """doc_id, text_hash, n, digest of the shingle set (null if empty), and its prefix."""
+    """doc_id, text_hash, n, digest of the shingle set (null if empty), its prefix, and plain.
+
+    `plain` is how many tokens of the prefix, the first ones, are not frequent.
+    """
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in portions(batches):
             own = shingle_sets(batch.column(1))
-            first = [prefix(x, frequent).view(np.int64) for x in own]
+            cut = [prefix(x, frequent) for x in own]
+            first = [x.view(np.int64) for x, _ in cut]
             offsets = pa.array(np.r_[0, np.cumsum([len(x) for x in first])].astype(np.int32))
             digests = [hashlib.blake2b(x.tobytes(), digest_size=16).digest() if len(x) else None for x in own]
             yield pa.RecordBatch.from_arrays(
@@ -159,12 +165,13 @@ def sets(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
                     pa.array([len(x) for x in own], pa.int64()),
                     pa.array(digests, pa.binary()),
                     pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(first) if first else np.zeros(0, np.int64))),
+                    pa.array([plain for _, plain in cut], pa.int32()),
                 ],
-                names=["doc_id", "text_hash", "n", "digest", "prefix"],
+                names=["doc_id", "text_hash", "n", "digest", "prefix", "plain"],
             )
 
     rows = texts(docs).withColumn("text_hash", F.xxhash64("text"))
-    made = map_arrow(rows, make, "doc_id bigint, text_hash bigint, n bigint, digest binary, prefix array<bigint>")
+    made = map_arrow(rows, make, "doc_id bigint, text_hash bigint, n bigint, digest binary, prefix array<bigint>, plain int")
     return made.withColumn("uid", F.monotonically_increasing_id())
 
 
@@ -311,20 +318,22 @@ def _runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Tab
 GROUP = ["token", "size_class", "i", "j"]
 
 
-def tree_candidates(members: DataFrame) -> DataFrame:
+def tree_candidates(members: DataFrame, bitmaps: DataFrame) -> DataFrame:
     """Pairs a, b of uids of different components that share a prefix token and may link.
 
-    `members` has token, uid, n, comp, bits, and tokens: all tokens of the uid
-    here, sorted, by which a pair is told once however many it shares. Sizes are classed so that linked
-    sets are in one class or in adjacent ones; a member is at home in its own
-    class and a visitor in the next. A group of more than BLOCK members is dealt
-    into blocks, and each pair of blocks meets in a task of its own.
+    `members` has token, uid, n and comp; `bitmaps` has uid and bits. Sizes are
+    classed so that linked sets are in one class or in adjacent ones; a member is
+    at home in its own class and a visitor in the next. A group of more than BLOCK
+    members is dealt into blocks, and each pair of blocks meets in a task of its
+    own. Bitmaps join last, when it is known who meets whom.
     """
     # 1.26 instead of 100 / PERCENT = 1.25, so that rounding cannot part two classes.
     own = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(1.26))).cast("long")
-    placed = members.select(
-        "*", F.explode(F.array(F.struct(own.alias("c"), F.lit(True).alias("h")), F.struct((own + 1).alias("c"), F.lit(False).alias("h")))).alias("at")
-    ).select("token", "uid", "n", "comp", "bits", "tokens", F.col("at.c").alias("size_class"), F.col("at.h").alias("home"))
+    at = F.array(
+        F.struct(own.alias("size_class"), F.lit(True).alias("home")),
+        F.struct((own + 1).alias("size_class"), F.lit(False).alias("home")),
+    )
+    placed = members.select("token", "uid", "n", "comp", F.inline(at))
     sizes = (
         placed.groupBy("token", "size_class")
         .agg(F.count(F.lit(1)).alias("rows"), F.max("home").alias("met"), F.min("comp").alias("c0"), F.max("comp").alias("c1"))
@@ -343,9 +352,11 @@ def tree_candidates(members: DataFrame) -> DataFrame:
         "comp",
         "home",
         (F.col("block") > F.col("other")).cast("long").alias("side"),
-        "bits",
-        "tokens",
     )
+    dealt = stored(dealt, "tree-members")
+    # The tokens of a uid, by which a pair is told once however many it shares.
+    tokens = dealt.groupBy("uid").agg(F.sort_array(F.collect_set("token")).alias("tokens"))
+    dealt = dealt.join(tokens.join(bitmaps, "uid"), "uid").select(*dealt.columns, "bits", "tokens")
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         a, b, n = [], [], 0
@@ -398,9 +409,12 @@ def _as_edges(pairs: DataFrame) -> DataFrame:
 
 
 def _shared(postings: DataFrame) -> DataFrame:
-    """uid, n and token, of tokens that several classes have."""
-    rows = postings.withColumn("rows", F.count(F.lit(1)).over(Window.partitionBy("token")))
-    return rows.filter("rows > 1").select("uid", "n", "token")
+    """uid, n, token, part, of tokens that several classes have.
+
+    A frequent token's rows come in parts of bounded size and are shared in any case.
+    """
+    rows = postings.withColumn("rows", F.count(F.lit(1)).over(Window.partitionBy("token", "part")))
+    return rows.filter("rows > 1 or part >= 0").select("uid", "n", "token", "part")
 
 
 def class_components(rows: DataFrame, docs: DataFrame) -> DataFrame:
@@ -411,13 +425,17 @@ def class_components(rows: DataFrame, docs: DataFrame) -> DataFrame:
     copies = rows.groupBy("digest").agg(F.min("uid").alias("uid"), F.count(F.lit(1)).alias("rows")).filter("rows > 1")
     losers = rows.filter("digest is not null").join(copies.select("digest", F.col("uid").alias("first")), "digest").filter("uid <> first")
     classes = rows.filter("n > 0").join(losers.select("uid"), "uid", "left_anti")
-    met = stored(_shared(classes.select("uid", "n", F.explode("prefix").alias("token"))), "shared-tokens")
+    # All rows of a token that is not frequent are few; those of a frequent one are dealt into parts.
+    parts = -(-rows.count() // PART)
+    postings = classes.select("uid", "n", "plain", F.posexplode("prefix").alias("at", "token"))
+    part = F.when(F.col("at") < F.col("plain"), -1).otherwise(F.pmod(F.xxhash64("uid"), F.lit(parts)).cast("int"))
+    met = stored(_shared(postings.select("uid", "n", "token", part.alias("part"))), "shared-tokens")
     for _ in range(ROUNDS):
         # A linked set has at least 80 % of n shingles, and shares at least SPARE % of those.
         least = F.greatest(F.lit(1), F.expr(f"{SPARE} * (({PERCENT} * n + 99) div 100) div 100"))
         able = met.groupBy("uid", "n").agg(F.count(F.lit(1)).alias("shared")).filter(F.col("shared") >= least)
         met = stored(_shared(met.join(able.select("uid"), "uid", "left_semi")), "shared-tokens")
-    by_size = Window.partitionBy("token").orderBy("n", "uid")
+    by_size = Window.partitionBy("token", "part").orderBy("n", "uid")
     placed = met.select(
         "uid",
         "n",
@@ -431,6 +449,11 @@ def class_components(rows: DataFrame, docs: DataFrame) -> DataFrame:
     of = stored(with_bitmaps(found.select("uid", "text").dropDuplicates(["uid"])), "candidates")
 
     near = placed.filter("before is not null").select("uid", "n", F.explode(F.array("before", "first")).alias("other"))
+    # The parts of a token meet by their first members.
+    heads = met.filter("part >= 0").groupBy("token", "part").agg(F.min(F.struct("n", "uid")).alias("head"))
+    head = F.min("head").over(Window.partitionBy("token"))
+    heads = heads.select("head.uid", "head.n", F.struct(head["uid"].alias("uid"), head["n"].alias("n")).alias("other"))
+    near = near.unionByName(heads.filter("uid <> other.uid"))
     near = near.filter(100 * F.col("other.n") >= PERCENT * F.col("n"))
     pairs = near.select(F.least("uid", "other.uid").alias("a"), F.greatest("uid", "other.uid").alias("b")).distinct()
     first = stored(links(pairs, of), "first-links")
@@ -454,9 +477,7 @@ def class_components(rows: DataFrame, docs: DataFrame) -> DataFrame:
         .agg(F.min("token").alias("token"))
     )
     members = named.join(apart.select("token"), "token", "left_semi")
-    tokens = members.groupBy("uid").agg(F.sort_array(F.collect_list("token")).alias("tokens"))
-    members = members.join(tokens, "uid").join(of.select("uid", "bits"), "uid")
-    more = stored(links(tree_candidates(members), of), "tree-links")
+    more = stored(links(tree_candidates(members, of.select("uid", "bits")), of), "tree-links")
     return components(_as_edges(more).unionByName(comps))
 
 
