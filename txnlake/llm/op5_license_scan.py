@@ -136,11 +136,15 @@ def scan(text: str) -> tuple[int, list[int], str, list[str], float, int | None]:
     words = text.encode().translate(_NORMAL).split()
     joined = b" ".join([b"", *words, b""]).decode()
     starts, base, labels, tagged = [], set(), set(), False
+    spaces = upto = 0
     for end, phrase in _automaton().iter(joined):
+        spaces += joined.count(" ", upto, end + 1)
+        upto = end + 1
         if phrase == TAG:
             tagged = True
         elif phrase in BASE:
-            starts.append(joined.count(" ", 0, end - len(phrase)) - 1)
+            # A phrase of n words ends with the space behind its last one.
+            starts.append(spaces - phrase.count(" ") - 2)
             base.add(BASE[phrase])
         else:
             labels.add(NOTICES[phrase])

@@ -18,14 +18,15 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left
 from collections import Counter
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from txnlake.llm.common import map_arrow, portions, stored, texts, with_row
+from txnlake.llm.common import map_arrow, portions, stored, texts
 
 #: Fixed kinds and patterns, in the order in which spans are listed.
 PATTERNS = {
@@ -44,7 +45,7 @@ NEAR, REACH = 5, 200
 SUPPORT = 5
 GENERALISE, REMOVE = 0.8, 0.999
 #: Counts held by a task before it passes them on.
-HELD_COUNTS = 400_000
+HELD_COUNTS = 250_000
 
 _COMPILED = {kind: re.compile(p) for kind, p in PATTERNS.items()}
 _EDGES = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum())
@@ -85,8 +86,21 @@ def term_of(word: str) -> str | None:
     return term if len(term) > 1 and term.isalpha() else None
 
 
-def _near(text: str, span: Span, taken: list[Span]) -> list[tuple[str, int, int]]:
-    """Terms that stand near a span and overlap no entity."""
+def _covered(spans: Iterable[Span]) -> tuple[list[int], list[int]]:
+    """Starts and ends of the parts of a text that some span covers."""
+    starts: list[int] = []
+    ends: list[int] = []
+    for start, end in sorted(spans):
+        if ends and start <= ends[-1]:
+            ends[-1] = max(ends[-1], end)
+        else:
+            starts.append(start)
+            ends.append(end)
+    return starts, ends
+
+
+def _near(text: str, span: Span, starts: list[int], ends: list[int]) -> list[tuple[str, int, int]]:
+    """Terms that stand near a span and overlap no entity; these go from starts to ends, in order."""
     left, right = max(0, span[0] - REACH), min(len(text), span[1] + REACH)
     words = [m for m in _WORD.finditer(text, left, right)]
     # A word cut by the reach is no word.
@@ -99,7 +113,9 @@ def _near(text: str, span: Span, taken: list[Span]) -> list[tuple[str, int, int]
     out = []
     for m in [*before, *after]:
         term = term_of(m[0])
-        if term and not any(a < m.end() and m.start() < b for a, b in taken):
+        # The last entity that begins before the word's end is the one that could reach into it.
+        k = bisect_left(starts, m.end()) - 1
+        if term and (k < 0 or ends[k] <= m.start()):
             start = m.start() + len(m[0]) - len(m[0].lstrip(_EDGES))
             out.append((term, start, start + len(m[0].strip(_EDGES))))
     return out
@@ -122,10 +138,10 @@ def found(docs: DataFrame) -> DataFrame:
             for text in batch.column(1).to_pylist():
                 text = text or ""
                 own = entities(text)
-                taken = [s for of_kind in own.values() for s in of_kind]
+                starts, ends = _covered(s for of_kind in own.values() for s in of_kind)
                 digests.append(hashlib.sha256(text.encode()).hexdigest())
                 spans.append([{"kind": k, "start": a, "end": b} for k, of_kind in own.items() for a, b in of_kind])
-                near = dict.fromkeys((k, *x) for k, of_kind in own.items() for s in of_kind for x in _near(text, s, taken))
+                near = dict.fromkeys((k, *x) for k, of_kind in own.items() for s in of_kind for x in _near(text, s, starts, ends))
                 nearby.append([{"kind": k, "term": t, "start": a, "end": b} for k, t, a, b in near])
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(digests, pa.string()), pa.array(spans, _SPANS), pa.array(nearby, _NEARBY)],
@@ -237,8 +253,9 @@ def sanitise(docs: DataFrame) -> DataFrame:
     A null text stays null.
     """
     _, terms = sanitising_spans(docs)
-    whole = with_row(docs).withColumn("digest", F.sha2(F.coalesce("text", F.lit("")), 256))
-    rows = _with_terms(whole, terms).select("text", "terms", "doc")
+    rest = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"]).alias("doc")
+    digest = F.sha2(F.coalesce("text", F.lit("")), 256).alias("digest")
+    rows = _with_terms(docs.select("doc_id", "text", digest, rest), terms).select("text", "terms", "doc")
 
     def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in portions(batches):
