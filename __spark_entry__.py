@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from txnlake.operators import append, counters, ingest
+from txnlake.operators import append, compact, counters, ingest
 from txnlake.operators import requests as R
 from txnlake.plans import batch, reports, serving
 from txnlake.schemas import PAYLOAD
@@ -170,6 +170,43 @@ def _old_files_job(spark: SparkSession, sf_dir: str) -> Tables:
     return _through_tables(spark, sf_dir, job)
 
 
+def _replayed_job(spark: SparkSession, sf_dir: str) -> Tables:
+    """A stream whose last micro-batch was written but not yet noted as done, started again."""
+
+    def job(home: str, files: str, tables: Tables) -> None:
+        for _ in range(2):
+            run_stream(
+                stream_files(spark, files, max_files_per_trigger=1),
+                tables,
+                f"{home}/checkpoint",
+                threshold=events.THRESHOLD,
+                available_now=True,
+                clock=lambda: RUN_TS,
+            ).awaitTermination()
+            commits, fs = hadoop_path(spark, f"{home}/checkpoint/commits")
+            names = [x.getPath().getName() for x in fs.listStatus(commits)]
+            last = max(int(n) for n in names if n.isdigit())
+            fs.delete(hadoop_path(spark, f"{home}/checkpoint/commits/{last}")[0], False)
+
+    return _through_tables(spark, sf_dir, job)
+
+
+def _merged_job(spark: SparkSession, sf_dir: str) -> Tables:
+    """Three batches over the same days, merged by day; the folders they had are removed."""
+
+    def job(home: str, files: str, tables: Tables) -> None:
+        for k in range(3):
+            part = F.pmod(F.crc32(F.col("value").cast("binary")), F.lit(3)) == k
+            spark.read.text(files).filter(part).write.text(f"{home}/part{k}")
+            batch.run_batch(
+                spark, f"{home}/part{k}", tables, threshold=events.THRESHOLD, run_ts=RUN_TS
+            )
+        compact.compact(spark, tables, date(2025, 1, 1))
+        compact.vacuum_tables(spark, tables)
+
+    return _through_tables(spark, sf_dir, job)
+
+
 def _anomaly_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The newest anomalies of a table with two batches found a day apart."""
     tables = Tables(f"{_new_home(spark)}/dataset")
@@ -245,6 +282,13 @@ def queries() -> dict[str, Query]:
         "json_rows": lambda s, d: serving.as_json(tx(s, d)),
         # Ingest
         "ingest_valid": lambda s, d: ingest.valid(_enriched(s, d)),
+        "ingest_valid_bytes": lambda s, d: ingest.valid(
+            ingest.enrich(
+                ingest.classify(events.lines(s, d).select(F.encode("value", "UTF-8").alias("value"))),
+                events.THRESHOLD,
+                RUN_TS,
+            )
+        ),
         "ingest_rejects": lambda s, d: ingest.rejects(_classified(s, d)),
         "ingest_anomalies": lambda s, d: ingest.extract_anomalies(
             ingest.valid(_enriched(s, d)), events.THRESHOLD, RUN_TS
@@ -262,6 +306,9 @@ def queries() -> dict[str, Query]:
         "rerun_roundtrip": lambda s, d: scan_transactions(s, _rerun_job(s, d)),
         "rerun_roundtrip_anomalies": lambda s, d: scan_anomalies(s, _rerun_job(s, d)),
         "stream_ingest_old_files": lambda s, d: scan_transactions(s, _old_files_job(s, d)),
+        "stream_replayed": lambda s, d: scan_transactions(s, _replayed_job(s, d)),
+        "merged_days": lambda s, d: scan_transactions(s, _merged_job(s, d)),
+        "merged_days_anomalies": lambda s, d: scan_anomalies(s, _merged_job(s, d)),
         "publish_requests": _published_ids,
         "stream_ingest": lambda s, d: scan_transactions(s, _stream_job(s, d)),
         "stream_ingest_anomalies": lambda s, d: scan_anomalies(s, _stream_job(s, d)),
@@ -484,6 +531,7 @@ SELECT count(*) AS total_transactions, round(sum(amount), 2) AS total_amount,
 FROM tx""",
         "json_rows": _TX + f"SELECT {_json(_ROW_JSON)} AS json FROM tx",
         "ingest_valid": _INGESTED,
+        "ingest_valid_bytes": _INGESTED,
         "ingest_rejects": _RAW
         + f"""
 SELECT CASE event_id % 50
@@ -544,6 +592,11 @@ SELECT *, CAST(transaction_timestamp AS DATE) AS transaction_date FROM ({_INGEST
 WHERE transaction_timestamp >= '2024-01-15'""",
         "rerun_roundtrip_anomalies": f"""
 SELECT * FROM ({_INGESTED_ANOMALIES}) WHERE transaction_timestamp >= '2024-01-15'""",
+        **dict.fromkeys(
+            ("stream_replayed", "merged_days"),
+            f"SELECT *, CAST(transaction_timestamp AS DATE) AS transaction_date FROM ({_INGESTED})",
+        ),
+        "merged_days_anomalies": _INGESTED_ANOMALIES,
         "stream_ingest_old_files": f"""
 SELECT *, CAST(transaction_timestamp AS DATE) AS transaction_date FROM ({_INGESTED})""",
         "publish_requests": _REQUESTS
