@@ -2,11 +2,9 @@
 
 from __future__ import annotations
 
-import atexit
 from collections.abc import Callable
 from datetime import date, datetime, timedelta, timezone
 
-from py4j.protocol import Py4JError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -15,7 +13,7 @@ from txnlake.operators import append, compact, counters, ingest
 from txnlake.operators import requests as R
 from txnlake.plans import batch, reports, serving
 from txnlake.schemas import PAYLOAD
-from txnlake.session import apply_settings, hadoop_path, remove_dir, work_dir
+from txnlake.session import apply_settings, delete_at_exit, hadoop_path, work_dir
 from txnlake.settings import Tables
 from txnlake.sources import events
 from txnlake.sources.lines import read_lines, stream_files
@@ -82,17 +80,10 @@ _RAW_LINES: dict[tuple[str, str], str] = {}
 def _new_home(spark: SparkSession) -> str:
     """A new work folder, deleted when the driver ends."""
     home = work_dir(spark, "run")
-    atexit.register(_forget, spark, home)
+    delete_at_exit(spark, home)
     return home
 
 
-def _forget(spark: SparkSession, path: str) -> None:
-    try:
-        remove_dir(spark, path)
-    except (Py4JError, OSError, AttributeError):
-        pass  # the session is gone already
-
-
 def _through_tables(
     spark: SparkSession, sf_dir: str, job: Callable[[str, str, Tables], object]
 ) -> Tables:

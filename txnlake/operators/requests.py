@@ -12,7 +12,7 @@ from txnlake.functions.clock import at
 from txnlake.operators import ingest as I
 from txnlake.operators.append import publish
 from txnlake.schemas import PAYLOAD, REQUEST, required
-from txnlake.session import work_dir
+from txnlake.session import delete_at_exit, work_dir
 
 
 def _reason() -> Column:
@@ -61,14 +61,14 @@ def publish_requests(
     """Publish the accepted requests among `lines` and return their ids, `transaction_id`.
 
     The messages are written to a work table first, so that the ids returned are
-    those that were sent. The caller may delete the table's folder, which the
-    driver's end does otherwise only for a folder of its own machine.
+    those that were sent. The table is deleted when the driver ends.
     """
     spark = lines.sparkSession
     accepted = read_requests(lines).filter(F.col("reason") == I.OK)
     made = normalise_requests(accepted, run_ts)
     staging = work_dir(spark, "requests")
     made.write.parquet(staging)
+    delete_at_exit(spark, staging)
     sent = spark.read.schema(made.schema).parquet(staging)
     publish(sent, kind, target, **options)
     return sent.select("transaction_id")

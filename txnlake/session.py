@@ -78,6 +78,12 @@ def hadoop_path(spark: SparkSession, path: str):
     return target, target.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
+def delete_at_exit(spark: SparkSession, path: str) -> None:
+    """Delete a folder when the driver's JVM ends, whether or not the session was stopped before."""
+    target, fs = hadoop_path(spark, path)
+    fs.deleteOnExit(target)
+
+
 def remove_dir(spark: SparkSession, path: str) -> None:
     """Delete a folder of this package's own making, if it is there."""
     target, fs = hadoop_path(spark, path)
