@@ -11,12 +11,11 @@ from pathlib import Path
 
 import pyarrow as pa
 import pyarrow.compute
-from py4j.protocol import Py4JError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import txnlake
-from txnlake.session import remove_dir, work_dir
+from txnlake.session import delete_at_exit, work_dir
 
 #: Texts of a batch are taken in portions of about so many characters, so that
 #: the memory of a Python worker does not depend on the number of rows.
@@ -43,23 +42,16 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = work_dir(spark, purpose)
-    before = spark.conf.get(SHUFFLE_CLEANUP)
+    before = spark.conf.get(SHUFFLE_CLEANUP, "false")
     spark.conf.set(SHUFFLE_CLEANUP, "true")
     try:
         df.write.parquet(path)
     finally:
         spark.conf.set(SHUFFLE_CLEANUP, before)
-    atexit.register(_forget, spark, path)
+    delete_at_exit(spark, path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def _forget(spark: SparkSession, path: str) -> None:
-    try:
-        remove_dir(spark, path)
-    except (Py4JError, OSError, AttributeError):
-        pass  # the session is gone already
-
-
 def held(df: DataFrame, **columns: Column) -> DataFrame:
     """Add columns that later expressions reuse instead of computing them again.
 
