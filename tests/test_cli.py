@@ -25,6 +25,13 @@ def test_a_whole_day_from_the_command_line(spark, tmp_path, capsys):
     assert len(run("transactions", "--limit", "3", "--user_id", "u1")) == 3
     assert [a["transaction_id"] for a in run("anomalies")] == ["t1"]
     assert run("stats")[0]["total_transactions"] == 4
+    assert run("sql", "SELECT count(*) AS n FROM anomalies JOIN transactions USING (transaction_id)")[0]["n"] == 2
+    assert run("compact", "--before", "2030-01-01") == [{"merges": 1}]
+    assert run("vacuum") == [] and run("stats")[0]["total_transactions"] == 4
+    requests = tmp_path / "requests.json"
+    requests.write_text('{"user_id":"u","amount":1,"currency":"USD","transaction_type":"t","status":"s"}\n{bad\n')
+    sent = run("publish", "--input_path", str(requests), "--sink", "text", "--output", str(tmp_path / "sent"))
+    assert len(sent) == 1 and set(sent[0]) == {"transaction_id"}
     assert run("report", "processing_lag")[0]["total_processed"] == 0
 
 

@@ -16,7 +16,7 @@ from txnlake.plans import reports, serving
 from txnlake.plans.batch import run_batch
 from txnlake.session import build_session
 from txnlake.sources.lines import read_lines, stream_files, stream_kafka
-from txnlake.sources.tables import create_tables, scan_transactions
+from txnlake.sources.tables import create_tables, register_views, scan_transactions
 from txnlake.streaming.job import run_stream
 
 REPORTS = {
@@ -98,6 +98,9 @@ def parser() -> argparse.ArgumentParser:
     found.add_argument("--limit", type=int, default=serving.DEFAULT_LIMIT)
 
     commands.add_parser("stats", help="print the overall figures")
+
+    sql = commands.add_parser("sql", help="print the result of a query over both tables by name")
+    sql.add_argument("query")
     return top
 
 
@@ -168,9 +171,12 @@ def main(argv: list[str] | None = None) -> None:
                 return
             servers = {"kafka.bootstrap.servers": args.servers} if args.servers else {}
             result = publish_requests(lines, args.sink, args.output, **servers)
+        elif args.command == "sql":
+            register_views(spark, tables)
+            result = spark.sql(args.query)
         else:
             result = serving.stats(scan_transactions(spark, tables))
-        # Reports are a handful of rows, reads are limited, ids come part by part.
+        # Reports are a handful of rows, reads are limited, other results come part by part.
         for row in serving.as_json(result).toLocalIterator():
             print(row.json)
 

@@ -120,6 +120,12 @@ def scan_anomalies(
     return found.drop(BATCH, DETECTED_DAY)
 
 
+def register_views(spark: SparkSession, tables: Tables) -> None:
+    """Make both tables known by name to SQL in this session, as they are now."""
+    scan_transactions(spark, tables).createOrReplaceTempView(tables.transactions)
+    scan_anomalies(spark, tables).createOrReplaceTempView(tables.anomalies)
+
+
 def require_tables(spark: SparkSession, tables: Tables) -> None:
     for path in (tables.transactions_path, tables.anomalies_path):
         target, fs = hadoop_path(spark, path)
