@@ -11,7 +11,8 @@ from txnlake.llm.common import stored
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     least = F.least(F.min("v").over(Window.partitionBy("u")), F.col("u"))
-    return both.withColumn("m", least).filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+    larger = both.withColumn("m", least).filter("v > u")
+    return larger.select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
@@ -28,9 +29,8 @@ def components(links: DataFrame) -> DataFrame:
     `links` has u and v of any order. Large-star and small-star steps alternate
     until nothing changes; each step's edges are a stored table.
     """
-    edges = stored(
-        links.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).filter("u <> v").distinct(), "links"
-    )
+    ordered = links.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
+    edges = stored(ordered.filter("u <> v").distinct(), "links")
     seen = None
     while True:
         edges = stored(_small_star(_large_star(edges)), "stars")

@@ -84,7 +84,8 @@ def words_of(column: list[str]) -> Words:
     start, end = np.flatnonzero(edges == 1) + 1, np.flatnonzero(edges == -1) + 1
     small = np.where(letter, lower[codes], 0).astype(np.uint64)
     at = np.flatnonzero(letter)
-    hashed = small[at - 1] * np.uint64(0x9E3779B1) + small[at] * np.uint64(0x85EBCA77) + small[at + 1] * np.uint64(0xC2B2AE3D)
+    hashed = small[at - 1] * np.uint64(0x9E3779B1) + small[at] * np.uint64(0x85EBCA77)
+    hashed += small[at + 1] * np.uint64(0xC2B2AE3D)
     hashed ^= hashed >> np.uint64(15)
     hashed *= np.uint64(0x2545F4914F6CDD1D)
     length = end - start
@@ -260,5 +261,9 @@ def label(docs: DataFrame, model: Model) -> DataFrame:
 def language_id(docs: DataFrame) -> DataFrame:
     """Learn from the rows not held out and label every row."""
     return label(docs, train(docs)).select(
-        "doc_id", F.coalesce(held_out(), F.lit(False)).alias("held_out"), "lang_pred", "score", F.size("spans").alias("n_spans")
+        "doc_id",
+        F.coalesce(held_out(), F.lit(False)).alias("held_out"),
+        "lang_pred",
+        "score",
+        F.size("spans").alias("n_spans"),
     )

@@ -57,7 +57,11 @@ FANOUT, BITS_PER_SHINGLE, LEAST_BITS, MOST_BITS = 8, 4, 512, 1 << 15
 #: Pairs that are looked at together.
 AT_ONCE = 1 << 14
 
-_A = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
+#: Odd multipliers, one for each place of a shingle.
+_A = np.array(
+    [0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F],
+    np.uint64,
+)
 _SHORT = np.uint64(0xE7037ED1A0B428DB)
 
 
@@ -75,9 +79,13 @@ def shingle_sets(column: pa.Array) -> list[np.ndarray]:
     upto = np.r_[0, np.cumsum(filled.to_numpy(zero_copy_only=False))]
     offsets = upto[np.r_[0, np.cumsum(pc.list_value_length(split).to_numpy())]]
     coded = words.filter(filled).dictionary_encode()
-    hashes = np.fromiter((xxhash.xxh64_intdigest(w.as_buffer()) for w in coded.dictionary), np.uint64, len(coded.dictionary))
+    different = coded.dictionary
+    hashes = np.fromiter((xxhash.xxh64_intdigest(w.as_buffer()) for w in different), np.uint64, len(different))
     h = hashes[coded.indices.to_numpy()]
-    runs = sum((h[k : len(h) - SHINGLE + 1 + k] * _A[k] for k in range(1, SHINGLE)), h[: max(len(h) - SHINGLE + 1, 0)] * _A[0]) if len(h) >= SHINGLE else h[:0]
+    n_runs = max(len(h) - SHINGLE + 1, 0)
+    runs = np.zeros(n_runs, np.uint64)
+    for k in range(SHINGLE):
+        runs += h[k : k + n_runs] * _A[k]
     runs = _mixed(runs)
     out = []
     for a, b in zip(offsets[:-1], offsets[1:], strict=True):
@@ -157,21 +165,24 @@ def sets(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
             cut = [prefix(x, frequent) for x in own]
             first = [x.view(np.int64) for x, _ in cut]
             offsets = pa.array(np.r_[0, np.cumsum([len(x) for x in first])].astype(np.int32))
-            digests = [hashlib.blake2b(x.tobytes(), digest_size=16).digest() if len(x) else None for x in own]
+            digests = [
+                hashlib.blake2b(x.tobytes(), digest_size=16).digest() if len(x) else None for x in own
+            ]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
                     batch.column(2),
                     pa.array([len(x) for x in own], pa.int64()),
                     pa.array(digests, pa.binary()),
-                    pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(first) if first else np.zeros(0, np.int64))),
+                    pa.ListArray.from_arrays(offsets, pa.array(np.concatenate([np.zeros(0, np.int64), *first]))),
                     pa.array([plain for _, plain in cut], pa.int32()),
                 ],
                 names=["doc_id", "text_hash", "n", "digest", "prefix", "plain"],
             )
 
     rows = texts(docs).withColumn("text_hash", F.xxhash64("text"))
-    made = map_arrow(rows, make, "doc_id bigint, text_hash bigint, n bigint, digest binary, prefix array<bigint>, plain int")
+    schema = "doc_id bigint, text_hash bigint, n bigint, digest binary, prefix array<bigint>, plain int"
+    made = map_arrow(rows, make, schema)
     return made.withColumn("uid", F.monotonically_increasing_id())
 
 
@@ -286,14 +297,15 @@ def _tree_pairs(group: pa.Table) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         left = right = np.arange(len(uid))
     else:
         left, right = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
-        found = dual_traversal(tree(bits[left], n[left], comp[left]), tree(bits[right], n[right], comp[right]), False)
+        one, other = (tree(bits[at], n[at], comp[at]) for at in (left, right))
+        found = dual_traversal(one, other, False)
     for p, q in found:
         p, q = left[p], right[q]
         meet = (home[p] | home[q]) & (comp[p] != comp[q])
         p, q = p[meet], q[meet]
         # Members that share several tokens are told in the group of the first one only.
-        told = [next(x for x in tokens[a] if x in held(b)) == token for a, b in zip(p.tolist(), q.tolist(), strict=True)]
-        told = np.array(told, dtype=bool)
+        both = zip(p.tolist(), q.tolist(), strict=True)
+        told = np.array([next(x for x in tokens[a] if x in held(b)) == token for a, b in both], dtype=bool)
         yield uid[p[told]], uid[q[told]]
 
 
@@ -336,7 +348,12 @@ def tree_candidates(members: DataFrame, bitmaps: DataFrame) -> DataFrame:
     placed = members.select("token", "uid", "n", "comp", F.inline(at))
     sizes = (
         placed.groupBy("token", "size_class")
-        .agg(F.count(F.lit(1)).alias("rows"), F.max("home").alias("met"), F.min("comp").alias("c0"), F.max("comp").alias("c1"))
+        .agg(
+            F.count(F.lit(1)).alias("rows"),
+            F.max("home").alias("met"),
+            F.min("comp").alias("c0"),
+            F.max("comp").alias("c1"),
+        )
         .filter("met and c0 <> c1")
         .select("token", "size_class", F.ceil(F.col("rows") / BLOCK).cast("long").alias("blocks"))
     )
@@ -359,17 +376,12 @@ def tree_candidates(members: DataFrame, bitmaps: DataFrame) -> DataFrame:
     dealt = dealt.join(tokens.join(bitmaps, "uid"), "uid").select(*dealt.columns, "bits", "tokens")
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        a, b, n = [], [], 0
         for group in _runs(batches, GROUP):
-            for p, q in _tree_pairs(group):
-                a.append(np.minimum(p, q))
-                b.append(np.maximum(p, q))
-                n += len(p)
-            if n > AT_ONCE:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], names=["a", "b"])
-                a, b, n = [], [], 0
-        if n:
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], names=["a", "b"])
+            found = list(_tree_pairs(group))
+            if found:
+                p, q = (np.concatenate(side) for side in zip(*found, strict=True))
+                columns = [pa.array(np.minimum(p, q)), pa.array(np.maximum(p, q))]
+                yield pa.RecordBatch.from_arrays(columns, names=["a", "b"])
 
     sorted_rows = dealt.repartition(*GROUP).sortWithinPartitions(*GROUP)
     return map_arrow(sorted_rows, search, "a bigint, b bigint")
@@ -387,10 +399,12 @@ def links(pairs: DataFrame, of: DataFrame) -> DataFrame:
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in portions(batches):
             x, y = shingle_sets(batch.column(2)), shingle_sets(batch.column(3))
-            both = np.array([len(np.intersect1d(p, q, assume_unique=True)) for p, q in zip(x, y, strict=True)], np.int64)
-            union = np.array([len(p) + len(q) for p, q in zip(x, y, strict=True)], np.int64) - both
-            linked = pa.array(100 * both >= PERCENT * union)
-            yield pa.RecordBatch.from_arrays([batch.column(0).filter(linked), batch.column(1).filter(linked)], names=["a", "b"])
+            linked = []
+            for p, q in zip(x, y, strict=True):
+                both = len(np.intersect1d(p, q, assume_unique=True))
+                linked.append(100 * both >= PERCENT * (len(p) + len(q) - both))
+            ids = [batch.column(k).filter(pa.array(linked, pa.bool_())) for k in (0, 1)]
+            yield pa.RecordBatch.from_arrays(ids, names=["a", "b"])
 
     return map_arrow(joined, compare, "a bigint, b bigint")
 
@@ -422,8 +436,9 @@ def class_components(rows: DataFrame, docs: DataFrame) -> DataFrame:
 
     `rows` are the stored sets; a class goes by the smallest uid in it.
     """
-    copies = rows.groupBy("digest").agg(F.min("uid").alias("uid"), F.count(F.lit(1)).alias("rows")).filter("rows > 1")
-    losers = rows.filter("digest is not null").join(copies.select("digest", F.col("uid").alias("first")), "digest").filter("uid <> first")
+    copies = rows.groupBy("digest").agg(F.min("uid").alias("first"), F.count(F.lit(1)).alias("rows"))
+    copies = copies.filter("rows > 1 and digest is not null").select("digest", "first")
+    losers = rows.select("uid", "digest").join(copies, "digest").filter("uid <> first")
     classes = rows.filter("n > 0").join(losers.select("uid"), "uid", "left_anti")
     # All rows of a token that is not frequent are few; those of a frequent one are dealt into parts.
     parts = -(-rows.count() // PART)
@@ -448,14 +463,16 @@ def class_components(rows: DataFrame, docs: DataFrame) -> DataFrame:
     found = plain.join(known, (plain["hash"] == known["text_hash"]) & plain["id"].eqNullSafe(known["doc_id"]))
     of = stored(with_bitmaps(found.select("uid", "text").dropDuplicates(["uid"])), "candidates")
 
-    near = placed.filter("before is not null").select("uid", "n", F.explode(F.array("before", "first")).alias("other"))
+    near = placed.filter("before is not null")
+    near = near.select("uid", "n", F.explode(F.array("before", "first")).alias("other"))
     # The parts of a token meet by their first members.
     heads = met.filter("part >= 0").groupBy("token", "part").agg(F.min(F.struct("n", "uid")).alias("head"))
     head = F.min("head").over(Window.partitionBy("token"))
     heads = heads.select("head.uid", "head.n", F.struct(head["uid"].alias("uid"), head["n"].alias("n")).alias("other"))
     near = near.unionByName(heads.filter("uid <> other.uid"))
     near = near.filter(100 * F.col("other.n") >= PERCENT * F.col("n"))
-    pairs = near.select(F.least("uid", "other.uid").alias("a"), F.greatest("uid", "other.uid").alias("b")).distinct()
+    ends = (F.least("uid", "other.uid").alias("a"), F.greatest("uid", "other.uid").alias("b"))
+    pairs = near.select(*ends).distinct()
     first = stored(links(pairs, of), "first-links")
     comps = components(_as_edges(first))
 
@@ -515,14 +532,14 @@ def keep_one_of_each_component(docs: DataFrame) -> DataFrame:
     """
     found = jaccard_components(docs)
     key = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("text_hash").alias("hash"))
-    first = found.filter("n_shingles > 0").groupBy("component").agg(F.min(key).alias("k")).select("k.doc_id", "k.hash")
+    first = found.filter("n_shingles > 0").groupBy("component").agg(F.min(key).alias("k"))
+    first = first.select("k.doc_id", "k.hash")
     empty = found.filter("n_shingles = 0").select("doc_id", F.col("text_hash").alias("hash"))
     keys = ["hash", "id", "no_id"]
 
     def keyed(rows: DataFrame, *rest: str) -> DataFrame:
-        return rows.select(
-            "hash", F.coalesce("doc_id", F.lit(0)).cast("long").alias("id"), F.col("doc_id").isNull().alias("no_id"), *rest
-        )
+        known = F.coalesce("doc_id", F.lit(0)).cast("long").alias("id")
+        return rows.select("hash", known, F.col("doc_id").isNull().alias("no_id"), *rest)
 
     whole = keyed(with_row(docs).withColumn("hash", F.xxhash64("text")), "doc")
     stay = whole.join(keyed(first.unionByName(empty)), keys, "left_semi")

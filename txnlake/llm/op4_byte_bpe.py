@@ -108,7 +108,8 @@ def encode(docs: DataFrame, ranks: str = RANKS) -> DataFrame:
     ids = (
         map_arrow(pieces, _encoder(ranks, ("uid", "k")), "uid bigint, k int, ids array<int>")
         .groupBy("uid")
-        .agg(F.flatten(F.transform(F.sort_array(F.collect_list(F.struct("k", "ids"))), lambda x: x["ids"])).alias("ids"))
+        .agg(F.sort_array(F.collect_list(F.struct("k", "ids"))).alias("parts"))
+        .select("uid", F.flatten("parts.ids").alias("ids"))
     )
     return short.unionByName(long.select("uid", "doc_id").join(ids, "uid").select("doc_id", "ids"))
 
@@ -120,7 +121,8 @@ def decode(rows: DataFrame, ranks: str = RANKS) -> DataFrame:
         tokens = encoding(ranks)
         for batch in batches:
             texts = [tokens.decode_bytes(ids.values.to_pylist()) for ids in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.binary())], names=["doc_id", "decoded"])
+            columns = [batch.column(0), pa.array(texts, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "decoded"])
 
     return map_arrow(rows.select("doc_id", "ids"), decoded, "doc_id bigint, decoded binary")
 

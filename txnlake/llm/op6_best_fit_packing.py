@@ -87,7 +87,8 @@ def pieces(
             arrays = [pa.array(c, t) for c, t in zip(columns, types, strict=True)]
             names = ["doc_id", "piece", "start", "length", "ids_crc32", "part", "place"]
             if with_ids:
-                arrays, names = [*arrays, pa.array([b.astype("i4") for b in bodies], pa.list_(pa.int32()))], [*names, "ids"]
+                arrays.append(pa.array([b.astype("i4") for b in bodies], pa.list_(pa.int32())))
+                names.append("ids")
             yield pa.RecordBatch.from_arrays(arrays, names=names)
 
     return map_arrow(texts(docs), cut, PIECES + ", ids array<int>" * with_ids)

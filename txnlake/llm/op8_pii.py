@@ -141,7 +141,9 @@ def found(docs: DataFrame) -> DataFrame:
                 starts, ends = _covered(s for of_kind in own.values() for s in of_kind)
                 digests.append(hashlib.sha256(text.encode()).hexdigest())
                 spans.append([{"kind": k, "start": a, "end": b} for k, of_kind in own.items() for a, b in of_kind])
-                near = dict.fromkeys((k, *x) for k, of_kind in own.items() for s in of_kind for x in _near(text, s, starts, ends))
+                near = dict.fromkeys(
+                    (k, *x) for k, of_kind in own.items() for s in of_kind for x in _near(text, s, starts, ends)
+                )
                 nearby.append([{"kind": k, "term": t, "start": a, "end": b} for k, t, a, b in near])
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(digests, pa.string()), pa.array(spans, _SPANS), pa.array(nearby, _NEARBY)],

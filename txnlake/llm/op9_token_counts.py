@@ -73,7 +73,8 @@ def _counts(path: str):
             column = batch.column(1)
             n_bytes = pc.fill_null(pc.binary_length(column), 0).cast(pa.int64())
             n_tokens = pa.array(count_texts(column, path, known), pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column(0), n_bytes, n_tokens], names=["doc_id", "n_bytes", "n_tokens"])
+            columns = [batch.column(0), n_bytes, n_tokens]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_bytes", "n_tokens"])
 
     return count
 
@@ -95,9 +96,9 @@ def _chunk_tokens(path: str):
             ]
             starts = [[at + x for x in own] for at, own in zip(rows["start"], starts, strict=True)]
             kept = [batch.column(batch.schema.get_field_index(n)) for n in ("uid", "k", "start", "last")]
-            ints = pa.list_(pa.int32())
+            sizes, ints = pa.array([len(x) for x in rows["body"]], pa.int32()), pa.list_(pa.int32())
             yield pa.RecordBatch.from_arrays(
-                [*kept, pa.array([len(x) for x in rows["body"]], pa.int32()), pa.array(starts, ints), pa.array(stable, ints)],
+                [*kept, sizes, pa.array(starts, ints), pa.array(stable, ints)],
                 names=["uid", "k", "start", "last", "size", "starts", "stable"],
             )
 
