@@ -1,12 +1,21 @@
 """Information-theoretic sanitisation of personal data.
 
 Patterns find the protected entities. Corpus co-occurrence then tells how
-strongly a term near an entity gives it away: with p the share of documents that
-hold an entity of a kind, and q that share among the documents that hold the
-term (counting those where it stands near the entity), the disclosure is
-1 - log(q) / log(p), the pointwise mutual information in units of the entity's
-own information: 0 if the term says nothing, 1 if it says all. Near an entity,
-terms above GENERALISE are replaced by a placeholder, and above REMOVE removed.
+strongly a term gives an entity away: with p the share of documents that hold an
+entity of a kind, and q that share among the documents that hold the term, the
+disclosure is 1 - log(q) / log(p), the pointwise mutual information in units of
+the entity's own information: 0 if the term says nothing, 1 if it says all.
+
+A term is risky if its disclosure is GENERALISE or more even at the lower end of
+the Wilson interval of q, and its count is too high for chance: the Chernoff
+bound of the binomial tail under p, times the number of different terms of all
+documents, is at most CHANCE.
+Every place of a risky term, in any document, is replaced by a placeholder, or
+removed if the disclosure itself is REMOVE or more.
+
+Terms are words in lower case, of two characters or more, outside entities.
+Words joined by a hyphen, an apostrophe or an underscore are a term together,
+and each of them is a term.
 
 Defined results: a null text counts as empty and has no entities. A kind that
 every document holds carries no information and gives no terms. Equal rows get
@@ -17,13 +26,16 @@ not looked at.
 from __future__ import annotations
 
 import hashlib
+import math
 import re
+import unicodedata
+import zlib
 from bisect import bisect_left
 from collections import Counter
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from txnlake.llm.common import map_arrow, portions, stored, texts
@@ -39,17 +51,23 @@ PATTERNS = {
 NEEDS = {"email": "@", "ip": ".", "phone": "+"}
 KINDS = (*PATTERNS, "term")
 
-#: Terms to either side of an entity that are looked at, within so many characters.
-NEAR, REACH = 5, 200
-#: Documents in which a term must stand near an entity before it is judged.
-SUPPORT = 5
+#: Width of the interval around a share, in standard deviations (95 %).
+WIDTH = 1.96
+#: Terms of a kind that may pass for risky by chance alone.
+CHANCE = 0.05
 GENERALISE, REMOVE = 0.8, 0.999
-#: Counts held by a task before it passes them on.
-HELD_COUNTS = 250_000
+#: Counts held by a task before it passes them on, and characters of their terms.
+HELD_COUNTS, HELD_CHARS = 250_000, 16_000_000
+#: Bits of the filter that tells which terms may be risky, a power of two; it steers work only.
+FILTER_BITS = 1 << 22
 
 _COMPILED = {kind: re.compile(p) for kind, p in PATTERNS.items()}
 _EDGES = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum())
-_WORD = re.compile(r"\S+")
+#: What belongs to a word besides letters and digits: marks, and the joiners of some scripts.
+_MARKS = "".join(c for c in map(chr, range(0x20000)) if unicodedata.category(c)[0] == "M") + "\u200c\u200d\U000e0100-\U000e01ef"
+_WORD = rf"[^\W_]+(?:[{_MARKS}]+[^\W_]*)*"
+_TERM = re.compile(rf"{_WORD}(?:[-'_\u2019\u2010\u2011]{_WORD})*")
+_PART = re.compile(_WORD)
 Span = tuple[int, int]
 
 
@@ -81,9 +99,9 @@ def entities(text: str) -> dict[str, list[Span]]:
 
 
 def term_of(word: str) -> str | None:
-    """A word as a term: lower case without edges; None unless it is two letters or more."""
+    """A word as a term: lower case without edges; None unless it is one of two characters or more."""
     term = word.strip(_EDGES).lower()
-    return term if len(term) > 1 and term.isalpha() else None
+    return term if len(term) > 1 and _TERM.fullmatch(term) else None
 
 
 def _covered(spans: Iterable[Span]) -> tuple[list[int], list[int]]:
@@ -99,111 +117,179 @@ def _covered(spans: Iterable[Span]) -> tuple[list[int], list[int]]:
     return starts, ends
 
 
-def _near(text: str, span: Span, starts: list[int], ends: list[int]) -> list[tuple[str, int, int]]:
-    """Terms that stand near a span and overlap no entity; these go from starts to ends, in order."""
-    left, right = max(0, span[0] - REACH), min(len(text), span[1] + REACH)
-    words = [m for m in _WORD.finditer(text, left, right)]
-    # A word cut by the reach is no word.
-    if left and words and words[0].start() == left and not text[left - 1].isspace():
-        words.pop(0)
-    if right < len(text) and words and words[-1].end() == right and not text[right].isspace():
-        words.pop()
-    before = [m for m in words if m.end() <= span[0]][-NEAR:]
-    after = [m for m in words if m.start() >= span[1]][:NEAR]
-    out = []
-    for m in [*before, *after]:
-        term = term_of(m[0])
-        # The last entity that begins before the word's end is the one that could reach into it.
-        k = bisect_left(starts, m.end()) - 1
-        if term and (k < 0 or ends[k] <= m.start()):
-            start = m.start() + len(m[0]) - len(m[0].lstrip(_EDGES))
-            out.append((term, start, start + len(m[0].strip(_EDGES))))
-    return out
+def places(text: str, covered: tuple[list[int], list[int]]) -> Iterator[tuple[str, int, int]]:
+    """Terms that overlap no covered part, with their starts and ends."""
+    starts, ends = covered
+    for match in _TERM.finditer(text):
+        at, word = match.start(), match[0]
+        spans = [(0, len(word))]
+        parts = [m.span() for m in _PART.finditer(word)]
+        if len(parts) > 1:
+            spans += parts
+        for a, b in spans:
+            # The last entity that begins before the term's end is the one that could reach into it.
+            k = bisect_left(starts, at + b) - 1
+            if b - a > 1 and (k < 0 or ends[k] <= at + a):
+                yield word[a:b].lower(), at + a, at + b
+
+
+def terms_in(text: str, covered: tuple[list[int], list[int]]) -> set[str]:
+    """The different terms of `places`."""
+    if covered[0]:
+        return {term for term, _, _ in places(text, covered)}
+    words = set(_TERM.findall(text))
+    words |= {part for word in words if not word.isalnum() for part in _PART.findall(word)}
+    return {word.lower() for word in words if len(word) > 1}
 
 
 _SPANS = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
-_NEARBY = pa.list_(
-    pa.struct([("kind", pa.string()), ("term", pa.string()), ("start", pa.int32()), ("end", pa.int32())])
-)
-FOUND = """doc_id bigint, digest string, spans array<struct<kind:string,start:int,end:int>>,
-nearby array<struct<kind:string,term:string,start:int,end:int>>"""
+_PLACES = pa.list_(pa.struct([("term", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
+FOUND = "doc_id bigint, digest string, spans array<struct<kind:string,start:int,end:int>>"
+MARKED = "doc_id bigint, digest string, places array<struct<term:string,start:int,end:int>>"
+
+
+def _all(own: dict[str, list[Span]]) -> tuple[list[int], list[int]]:
+    return _covered(s for of_kind in own.values() for s in of_kind)
+
+
+def _digest(text: str) -> str:
+    return hashlib.sha256(text.encode()).hexdigest()
 
 
 def found(docs: DataFrame) -> DataFrame:
-    """Per document its digest, the entities, and the terms near them: FOUND."""
+    """Per document its digest and the entities: FOUND."""
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in portions(batches):
-            digests, spans, nearby = [], [], []
-            for text in batch.column(1).to_pylist():
-                text = text or ""
-                own = entities(text)
-                starts, ends = _covered(s for of_kind in own.values() for s in of_kind)
-                digests.append(hashlib.sha256(text.encode()).hexdigest())
-                spans.append([{"kind": k, "start": a, "end": b} for k, of_kind in own.items() for a, b in of_kind])
-                near = dict.fromkeys(
-                    (k, *x) for k, of_kind in own.items() for s in of_kind for x in _near(text, s, starts, ends)
-                )
-                nearby.append([{"kind": k, "term": t, "start": a, "end": b} for k, t, a, b in near])
+            column = [text or "" for text in batch.column(1).to_pylist()]
+            spans = [
+                [{"kind": k, "start": a, "end": b} for k, of_kind in entities(text).items() for a, b in of_kind]
+                for text in column
+            ]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(digests, pa.string()), pa.array(spans, _SPANS), pa.array(nearby, _NEARBY)],
-                names=["doc_id", "digest", "spans", "nearby"],
+                [batch.column(0), pa.array(map(_digest, column), pa.string()), pa.array(spans, _SPANS)],
+                names=["doc_id", "digest", "spans"],
             )
 
     return map_arrow(texts(docs), find, FOUND)
 
 
 def document_frequencies(docs: DataFrame) -> DataFrame:
-    """term and df: the number of documents that hold it, over all documents."""
+    """term, df: the number of documents that hold it, and n_<kind>: of those, the ones with such an entity."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: Counter[str] = Counter()
+        together: dict[str, Counter[str]] = {kind: Counter() for kind in PATTERNS}
+
         def out() -> pa.RecordBatch:
+            numbers = [held.values(), *[[of_kind[t] for t in held] for of_kind in together.values()]]
             return pa.RecordBatch.from_arrays(
-                [pa.array(list(held), pa.string()), pa.array(list(held.values()), pa.int64())], names=["term", "n"]
+                [pa.array(list(held), pa.string()), *[pa.array(list(n), pa.int64()) for n in numbers]],
+                names=["term", "df", *[f"n_{kind}" for kind in together]],
             )
 
-        held: Counter[str] = Counter()
         for batch in portions(batches):
             for text in batch.column(1).to_pylist():
-                terms = {w.strip(_EDGES) for w in (text or "").lower().split()}
-                held.update([t for t in terms if len(t) > 1 and t.isalpha()])
-            if len(held) > HELD_COUNTS:
+                own = entities(text or "")
+                terms = terms_in(text or "", _all(own))
+                held.update(terms)
+                for kind, spans in own.items():
+                    if spans:
+                        together[kind].update(terms)
+            if len(held) > HELD_COUNTS or sum(map(len, held)) > HELD_CHARS:
                 yield out()
-                held.clear()
+                for counts in (held, *together.values()):
+                    counts.clear()
         if held:
             yield out()
 
-    return map_arrow(texts(docs), count, "term string, n bigint").groupBy("term").agg(F.sum("n").alias("df"))
+    numbers = ["df", *[f"n_{kind}" for kind in PATTERNS]]
+    counts = map_arrow(texts(docs), count, f"term string, {', '.join(f'{n} bigint' for n in numbers)}")
+    return counts.groupBy("term").agg(*[F.sum(n).alias(n) for n in numbers])
 
 
 def disclosures(rows: DataFrame, frequencies: DataFrame) -> DataFrame:
-    """kind, term and disclosure of every term with SUPPORT documents near a kind."""
+    """kind, term, disclosure and its lower end `least`, where a term stands with a kind more often than by chance."""
     n_docs = rows.count()
     of_kind = rows.select(F.explode(F.array_distinct(F.col("spans.kind"))).alias("kind")).groupBy("kind")
     p = {r["kind"]: r["n"] / n_docs for r in of_kind.agg(F.count(F.lit(1)).alias("n")).collect()}  # a row per kind
-    near = F.array_distinct(F.transform("nearby", lambda x: F.struct(x["kind"].alias("kind"), x["term"].alias("term"))))
-    together = (
-        rows.select(F.inline(near))
-        .groupBy("kind", "term")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .filter(F.col("n") >= SUPPORT)
-    )
+    by_kind = F.array(*[F.struct(F.lit(k).alias("kind"), F.col(f"n_{k}").alias("n")) for k in PATTERNS])
+    seen = Observation()
+    counted = frequencies.observe(seen, F.count(F.lit(1)).alias("terms"))
+    pairs = stored(counted.select("term", "df", F.inline(by_kind)).filter("n > 0"), "pairs")
+    least_log = math.log(max(seen.get["terms"], 1) / CHANCE)
     share = F.coalesce(*[F.when(F.col("kind") == k, F.lit(x)) for k, x in p.items() if x < 1], F.lit(None))
+    df, q, base = F.col("df"), F.col("n") / F.col("df"), F.col("p")
+    square = WIDTH * WIDTH
+    spread = WIDTH * F.sqrt(q * (1 - q) / df + square / (4 * df * df))
+    low = (q + square / (2 * df) - spread) / (1 + square / df)
+    rest = F.when(q < 1, (1 - q) * F.log((1 - q) / (1 - base))).otherwise(0.0)
+    beyond_chance = (q > base) & (df * (q * F.log(q / base) + rest) >= least_log)
     return (
-        together.join(frequencies, "term")
-        .withColumn("disclosure", 1 - F.log(F.least(F.col("n") / F.col("df"), F.lit(1.0))) / F.log(share))
-        .filter(F.col("disclosure").isNotNull())
-        .select("kind", "term", "disclosure")
+        pairs.withColumn("p", share)
+        .filter(F.col("p").isNotNull() & beyond_chance)
+        .select(
+            "kind",
+            "term",
+            (1 - F.log(q) / F.log(base)).alias("disclosure"),
+            (1 - F.log(low) / F.log(base)).alias("least"),
+        )
     )
 
 
+def _filter(risky: DataFrame) -> bytes:
+    """A bit for each hash that a risky term has, packed; empty if there is none."""
+    slot = F.crc32(F.encode("term", "UTF-8")) % FILTER_BITS + 1
+    packed = (
+        risky.select(slot.alias("slot"))
+        .groupBy(F.expr("bitmap_bucket_number(slot)").alias("k"))
+        .agg(F.expr("bitmap_construct_agg(bitmap_bit_position(slot))").alias("bits"))
+        .collect()  # of 4 KB each, FILTER_BITS in all
+    )
+    bits = bytearray(FILTER_BITS // 8 if packed else 0)
+    for r in packed:
+        bits[(r["k"] - 1) * len(r["bits"]) : r["k"] * len(r["bits"])] = r["bits"]
+    return zlib.compress(bits) if packed else b""
+
+
+def marked(docs: DataFrame, maybe: bytes) -> DataFrame:
+    """Per document that holds any, all places of terms that pass the filter: MARKED."""
+
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = zlib.decompress(maybe)
+
+        def passes(term: str) -> bool:
+            slot = zlib.crc32(term.encode()) % FILTER_BITS
+            return bool(bits[slot >> 3] >> (slot & 7) & 1)
+
+        for batch in portions(batches):
+            rows = []
+            for doc_id, text in zip(batch.column(0), batch.column(1).to_pylist(), strict=True):
+                covered = _all(entities(text or ""))
+                terms = {t for t in terms_in(text or "", covered) if passes(t)}
+                if terms:
+                    at = [{"term": t, "start": a, "end": b} for t, a, b in places(text, covered) if t in terms]
+                    rows.append((doc_id.as_py(), _digest(text), at))
+            if rows:
+                ids, digests, at = zip(*rows, strict=True)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(ids, pa.int64()), pa.array(digests, pa.string()), pa.array(at, _PLACES)],
+                    names=["doc_id", "digest", "places"],
+                )
+
+    return map_arrow(texts(docs.filter(F.lit(bool(maybe)))), mark, MARKED)
+
+
 def sanitising_spans(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """What `found` gives, and per document the terms to change: start, end, disclosure."""
     rows = stored(found(docs), "entities")
-    risky = stored(disclosures(rows, document_frequencies(docs)).filter(F.col("disclosure") >= GENERALISE), "terms")
-    near = rows.select("doc_id", "digest", F.inline("nearby"))
+    judged = disclosures(rows, document_frequencies(docs)).filter(F.col("least") >= GENERALISE)
+    risky = stored(judged.groupBy("term").agg(F.max("disclosure").alias("disclosure")), "terms")
+    # The filter lets some other terms pass; the join does not.
     terms = (
-        near.join(risky, ["kind", "term"])
+        marked(docs, _filter(risky))
+        .select("doc_id", "digest", F.inline("places"))
+        .join(risky, "term")
         .groupBy("doc_id", "digest", "start", "end")
         .agg(F.max("disclosure").alias("disclosure"))
         .groupBy("doc_id", "digest")
