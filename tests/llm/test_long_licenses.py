@@ -1,0 +1,39 @@
+"""License expressions of any length, and over line ends."""
+
+from __future__ import annotations
+
+import time
+
+from tests.llm.cases import frame
+from txnlake.llm import op5_license_scan as op5
+
+TAG = "SPDX-License-Identifier:"
+
+
+def test_operands_behind_the_thousandth_character_count(spark):
+    names = [f"Name-{i}" for i in range(300)]
+    chain = " AND ".join(["MIT", *names, "GPL-3.0-only"])
+    broken = "MIT OR " + "ISC OR " * 141 + "Apache-2.0"
+    rows = [(1, f"// {TAG} {chain}"), (2, f"{TAG} ({chain.replace(' AND ', ' OR ')}) AND BSD-3-Clause\nrest"), (3, f"{TAG} {broken}")]
+    got = {r.doc_id: (set(r.labels.split(",")), r.asks) for r in op5.license_scan(frame(spark, rows)).collect()}
+    named = {"mit", "gpl", *map(str.lower, names)}
+    assert got == {1: (named, 3), 2: (named | {"bsd"}, 1), 3: ({"mit", "isc", "apache"}, 1)}
+
+
+def test_parentheses_run_over_line_ends():
+    labels = lambda text: op5.scan(text)[3]
+    assert labels(f"{TAG} (MIT OR\r\n  Apache-2.0\n) AND\tBSD") == ["apache", "bsd", "mit"]
+    assert labels(f"{TAG} MIT OR\nApache-2.0") == ["mit"]
+    assert labels(f"{TAG}\nMIT") == []
+    assert labels(f"{TAG} ISC AND (MIT OR\nApache-2.0") == ["isc"]
+    assert labels(f"{TAG} (MIT\n{TAG} ISC") == ["isc"]
+
+
+def test_long_expressions_take_linear_time():
+    n = 100_000
+    start = time.process_time()
+    assert len(op5.scan(f"{TAG} " + " OR ".join(f"n{i}" for i in range(n)))[3]) == n
+    assert op5.scan(f"{TAG} " + "(" * n + "MIT" + ")" * n)[3] == ["mit"]
+    assert len(op5.scan(f"{TAG} " + "".join(f"(n{i} OR " for i in range(n)) + "MIT" + ")" * n)[3]) == n + 1
+    assert op5.scan(f"{TAG} (MIT " * 20_000)[3] == []
+    assert time.process_time() - start < 20

@@ -3,7 +3,9 @@
 One Aho-Corasick automaton over the words of a text finds notice phrases and the
 identifier tag. Behind a tag, a shunting-yard parser reads the and / or / with
 expression and evaluates it: `or` leaves the choice of the freer side, `and`
-binds to the stricter one, `with` adds an exception to the license before it.
+binds to the stricter one, `with` adds an exception to the license before it. An
+expression of any length is read in linear time; it ends at the first token that
+does not fit, or at a line end outside parentheses.
 
 Defined results: a null text counts as empty and has no words, places or labels
 and a score of 0. A tag without a readable expression gives no label. Repeated
@@ -68,7 +70,9 @@ UNKNOWN = 3
 _NORMAL = bytes(
     (b + 32 if 0x41 <= b <= 0x5A else b if b >= 0x80 or chr(b).isalnum() else 0x20) for b in range(256)
 )
-_TOKEN = re.compile(r"[ \t]*([()]|[A-Za-z0-9][A-Za-z0-9.+-]*)")
+_TOKEN = re.compile(r"[ \t]*+([()]|[A-Za-z0-9][A-Za-z0-9.+-]*)")
+#: Between parentheses an expression goes on over line ends.
+_INNER_TOKEN = re.compile(r"[ \t\r\n]*+([()]|[A-Za-z0-9][A-Za-z0-9.+-]*)")
 _TAG = re.compile(r"SPDX-License-Identifier:", re.IGNORECASE)
 
 
@@ -81,20 +85,24 @@ def _automaton() -> ahocorasick.Automaton:
     return found
 
 
-def to_rpn(text: str) -> list[str]:
-    """The longest readable expression at the start of `text`, in reverse Polish order."""
+def to_rpn(text: str, at: int = 0) -> list[str]:
+    """The longest readable expression that starts at `at`, in reverse Polish order."""
     out: list[str] = []
     operators: list[str] = []
-    wants_operand, done, at = True, [], 0
-    while match := _TOKEN.match(text, at):
+    wants_operand, depth = True, 0
+    # How much of `out`, and which operators behind it, make the longest expression so far.
+    done: tuple[int, list[str]] = (0, [])
+    while match := (_INNER_TOKEN if depth else _TOKEN).match(text, at):
         token = match[1]
         word = token.lower()
         if token == "(" and wants_operand:
             operators.append(token)
-        elif token == ")" and not wants_operand and "(" in operators:
+            depth += 1
+        elif token == ")" and not wants_operand and depth:
             while operators[-1] != "(":
                 out.append(operators.pop())
             operators.pop()
+            depth -= 1
         elif word in PRECEDENCE and not wants_operand:
             while operators and PRECEDENCE.get(operators[-1], 0) >= PRECEDENCE[word]:
                 out.append(operators.pop())
@@ -106,9 +114,13 @@ def to_rpn(text: str) -> list[str]:
         else:
             break
         at = match.end()
-        if not wants_operand and "(" not in operators:
-            done = out + operators[::-1]
-    return done
+        if not wants_operand and not depth:
+            # Outside parentheses there is at most one operator of each precedence.
+            done = (len(out), operators[::-1])
+    return out[: done[0]] + done[1]
+
+
+_BY_LENGTH = sorted(IDENTIFIERS, key=len, reverse=True)
 
 
 def evaluate(rpn: list[str]) -> tuple[set[str], int]:
@@ -117,7 +129,7 @@ def evaluate(rpn: list[str]) -> tuple[set[str], int]:
     for token in rpn:
         if token not in PRECEDENCE:
             name = token.lower()
-            key = next((k for k in sorted(IDENTIFIERS, key=len, reverse=True) if name.startswith(k)), None)
+            key = next((k for k in _BY_LENGTH if name.startswith(k)), None)
             label, asks = IDENTIFIERS[key] if key else (name, UNKNOWN)
             stack.append(({label}, asks))
             continue
@@ -127,7 +139,9 @@ def evaluate(rpn: list[str]) -> tuple[set[str], int]:
             stack.append((left[0], max(0, left[1] - 1)))
         else:
             choose = min if token == "or" else max
-            stack.append((left[0] | right[0], choose(left[1], right[1])))
+            few, many = sorted((left[0], right[0]), key=len)
+            many |= few
+            stack.append((many, choose(left[1], right[1])))
     return stack[0] if stack else (set(), 0)
 
 
@@ -151,7 +165,7 @@ def scan(text: str) -> tuple[int, list[int], str, list[str], float, int | None]:
     asks = None
     if tagged:
         for match in _TAG.finditer(text):
-            found, much = evaluate(to_rpn(text[match.end() : match.end() + 1000].split("\n", 1)[0]))
+            found, much = evaluate(to_rpn(text, match.end()))
             if found:
                 labels |= found
                 asks = max(much, asks or 0)
