@@ -68,6 +68,9 @@ _MARKS = "".join(c for c in map(chr, range(0x20000)) if unicodedata.category(c)[
 _WORD = rf"[^\W_]+(?:[{_MARKS}]+[^\W_]*)*"
 _TERM = re.compile(rf"{_WORD}(?:[-'_\u2019\u2010\u2011]{_WORD})*")
 _PART = re.compile(_WORD)
+#: The same terms, found faster, in texts that hold none of _RARE.
+_PLAIN_TERM = re.compile(r"\w+(?:[-'\u2019\u2010\u2011]\w+)*")
+_RARE = {c for c in map(chr, [*range(0x20000), *range(0xE0100, 0xE01F0)]) if unicodedata.category(c)[0] == "M"} | {"_", "\u200c", "\u200d"}
 Span = tuple[int, int]
 
 
@@ -117,10 +120,14 @@ def _covered(spans: Iterable[Span]) -> tuple[list[int], list[int]]:
     return starts, ends
 
 
+def _term_pattern(text: str) -> re.Pattern[str]:
+    return _PLAIN_TERM if _RARE.isdisjoint(text) else _TERM
+
+
 def places(text: str, covered: tuple[list[int], list[int]]) -> Iterator[tuple[str, int, int]]:
     """Terms that overlap no covered part, with their starts and ends."""
     starts, ends = covered
-    for match in _TERM.finditer(text):
+    for match in _term_pattern(text).finditer(text):
         at, word = match.start(), match[0]
         spans = [(0, len(word))]
         parts = [m.span() for m in _PART.finditer(word)]
@@ -137,7 +144,7 @@ def terms_in(text: str, covered: tuple[list[int], list[int]]) -> set[str]:
     """The different terms of `places`."""
     if covered[0]:
         return {term for term, _, _ in places(text, covered)}
-    words = set(_TERM.findall(text))
+    words = set(_term_pattern(text).findall(text))
     words |= {part for word in words if not word.isalnum() for part in _PART.findall(word)}
     return {word.lower() for word in words if len(word) > 1}
 
