@@ -1,0 +1,205 @@
+"""The prefix trie against its definition: blocks and rounds of any size, odd rows, one common conversation."""
+
+from __future__ import annotations
+
+import hashlib
+import random
+import zlib
+from collections import defaultdict
+
+import duckdb
+import pytest
+from pyspark.sql import functions as F
+
+from txnlake.llm import op11_prefix_trie as op11
+
+SCHEMA = "conv_id long, turn long, role string, text string"
+
+
+def remainder(c: int) -> int:
+    """As in SQL: with the sign of c."""
+    return abs(c) % 5 * (1 if c >= 0 else -1)
+
+
+def plain(rows) -> list[tuple]:
+    own = defaultdict(list)
+    for conv, turn, role, text in rows:
+        if conv is not None:
+            role, text = role or "", text or ""
+            digest = hashlib.sha256(f"{len(role.encode())}:{role}{text}".encode()).hexdigest()
+            own[conv].append(((turn is not None, turn or 0), digest, role, text))
+    own = {c: [(r, t) for _, _, r, t in sorted(turns)] for c, turns in own.items()}
+    whole = {}
+    for c, turns in own.items():
+        h = zlib.crc32(str(c).encode()) % 9
+        whole[c] = tuple(own.get(c - remainder(c), [])[:h] + turns[h:])
+    members = defaultdict(list)
+    for c, turns in whole.items():
+        for d in range(len(turns) + 1):
+            members[turns[:d]].append(c)
+    children = defaultdict(list)
+    for path in members:
+        if path:
+            children[path[:-1]].append(path)
+    leaves, saved = {}, {}
+    for path in sorted(members, key=len, reverse=True):
+        below = children[path]
+        leaves[path] = sum(leaves[p] for p in below) or 1
+        cost = (len(members[path]) - 1) * len(path[-1][1].encode()) if path else 0
+        saved[path] = cost + sum(saved[p] for p in below)
+    out = []
+    for path, ids in members.items():
+        ends = ",".join(str(c) for c in sorted(ids) if len(whole[c]) == len(path))
+        out.append(
+            (
+                min(ids), len(path), min(members[path[:-1]]) if path else None, len(ids), len(children[path]),
+                leaves[path], saved[path], hashlib.sha256(ends.encode()).hexdigest(),
+            )
+        )
+    return sorted(out, key=repr)
+
+
+def got(spark, rows, clash=False):
+    df = spark.createDataFrame(rows, SCHEMA)
+    if clash:
+        for name in ("path", "base", "h", "own", "first", "turns", "kind", "slot", "block", "digest", "size"):
+            df = df.withColumn(name, F.lit("?"))
+    found = op11.prefix_trie(df)
+    assert tuple(found.columns) == op11.RESULT
+    return sorted((tuple(r) for r in found.collect()), key=repr)
+
+
+def made(seed: int, n: int, most: int = 12):
+    """Conversations over few texts, so that many begin alike; some long ones."""
+    rng = random.Random(seed)
+    rows = []
+    for c in rng.sample(range(-n, 2 * n), n):
+        for turn in range(rng.choice([1, 2, 3, most])):
+            rows.append((c, turn, rng.choice(["user", "assistant"]) if turn > 5 else "user", rng.choice(["", "a", "é", "ab", "a"])))
+    rng.shuffle(rows)
+    return rows
+
+
+ODD = [
+    (0, 0, "user", "hi"), (0, 1, None, None), (0, 1, None, None), (0, None, "", "first"),
+    (1, 5, "user", "x" * 100_000), (1, 2, "user", "hi"), (2, 0, "u", "serhi"), (3, 0, "us", "erhi"),
+    (None, 0, "user", "hi"), (None, None, None, None), (4, None, None, None), (-3, 0, "user", "hi"),
+    (-3, 1, "user", "hi"), (-5, 0, "user", "hi"), (2**40, 0, "user", "hi"), (7, 7, "user", "hi"), (7, 7, "user", "ho"),
+]
+
+
+@pytest.mark.parametrize("clash", [False, True])
+def test_odd_rows(spark, clash):
+    assert got(spark, ODD, clash) == plain(ODD)
+
+
+@pytest.mark.parametrize(("block", "fan", "seed"), [(1, 2, 1), (3, 2, 2), (50, 3, 3), (4096, 128, 4)])
+def test_any_blocks_and_rounds(spark, block, fan, seed):
+    rows = made(seed, 300)
+    conversations = op11.rebuilt(spark.createDataFrame(rows, SCHEMA)).collect()
+    local = sorted((bytes(r.path), r.conv_id, r.sizes) for r in conversations)
+    # The same merges without Spark: blocks of any size, FAN at a time.
+    tasks, rng = [], random.Random(seed)
+    while local:
+        size = rng.randint(1, 4 * block)
+        tasks.append(local[:size])
+        local = local[size:]
+    assert merged_by_rounds(tasks, block, fan) == plain(rows)
+
+
+def merged_by_rounds(tasks, block, fan) -> list[tuple]:
+    """What the tasks write, passed from round to round, and links followed, in plain Python."""
+    levels = []
+    writer_rows = []
+    for k, task in enumerate(tasks):
+        out, forest, last, rows = op11.Writer(k), None, b"", []
+        for a in range(0, len(task), block):
+            items = []
+            for path, conv, sizes in task[a : a + block]:
+                if items and items[-1][0] == path:
+                    items[-1][2].append(conv)
+                else:
+                    items.append((path, sizes, [conv]))
+            paths = [x[0] for x in items]
+            lcps = [op11._shared(x, y) for x, y in zip(paths[:-1], paths[1:], strict=True)]
+            here = op11.one_forest([op11._chain(*x) for x in items], lcps, out)
+            forest = here if forest is None else op11.merged(forest, here, op11._shared(last, paths[0]), out)
+            last = paths[-1]
+            out.relieve(forest)
+        out.leave_open(forest)
+        for b in out.batches():
+            rows += b.to_pylist()
+        writer_rows += rows
+    levels.append(writer_rows)
+    while True:
+        left = sorted((r for r in levels[-1] if r["kind"] == "open"), key=lambda r: (r["block"], r["side"], r["depth"]))
+        if not left:
+            break
+        final = max(r["block"] for r in left) < fan
+        groups = defaultdict(lambda: defaultdict(list))
+        for r in left:
+            groups[r["block"] // fan][r["block"]].append(r)
+        rows = []
+        for g, blocks in groups.items():
+            out = op11.Writer(g)
+            forests = [op11._read(x) for x in blocks.values()]
+            lcps = [op11._facing(x, y) for x, y in zip(forests[:-1], forests[1:], strict=True)]
+            forest = op11.one_forest(forests, lcps, out)
+            if final:
+                out.complete_all(forest)
+            else:
+                out.leave_open(forest)
+            for b in out.batches():
+                rows += b.to_pylist()
+        levels.append(rows)
+    slots: list[dict] = [{} for _ in levels]
+    for k in range(len(levels) - 1, -1, -1):
+        for r in levels[k]:
+            if r["kind"] == "link" and not r["old"]:
+                slots[k][r["slot"]] = r["conv_id"]
+        for r in levels[k + 1] if k + 1 < len(levels) else []:
+            if r["kind"] == "link" and r["old"]:
+                slots[k][r["slot"]] = r["conv_id"] if r["to_slot"] is None else slots[k + 1][r["to_slot"]]
+    runs = defaultdict(list)
+    for r in levels[0]:
+        if r["kind"] == "run":
+            runs[r["ends_key"]].append((r["conv_id"], r["ids"]))
+    hashed = {key: hashlib.sha256(",".join(t for _, t in sorted(x)).encode()).hexdigest() for key, x in runs.items()}
+    found = []
+    for k, rows in enumerate(levels):
+        for r in rows:
+            if r["kind"] in ("node", "wait"):
+                r["parent_conv_id"] = slots[k][r["slot"]] if r["kind"] == "wait" else r["parent_conv_id"]
+                r["ends_sha256"] = hashed[r["ends_key"]] if r["ends_key"] else r["ends_sha256"]
+                found.append(tuple(r[name] for name in op11.RESULT))
+    return sorted(found, key=repr)
+
+
+def test_many_parts(spark):
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "150")
+    try:
+        rows = made(5, 400)
+        assert got(spark, rows) == plain(rows)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_a_third_of_all_conversations_alike(spark):
+    """Equal conversations are dealt over parts, whose runs of ids make one digest."""
+    rows = [(c, t, "user", "same") for c in range(0, 20_000, 5) for t in range(9)]
+    rows += [(c, t, "user", f"{c % 7} {t}") for c in range(100_000, 108_000, 5) for t in range(9)]
+    assert got(spark, rows) == plain(rows)
+
+
+def test_empty_table(spark):
+    assert got(spark, []) == []
+
+
+def test_sql(spark):
+    rows = [*made(9, 150), *ODD]
+    con = duckdb.connect()
+    con.execute("CREATE TABLE conversations (conv_id BIGINT, turn BIGINT, role VARCHAR, text VARCHAR)")
+    con.executemany("INSERT INTO conversations VALUES (?, ?, ?, ?)", rows)
+    assert sorted(con.execute(op11.ORACLE_SQL).fetchall(), key=repr) == plain(rows)

@@ -16,6 +16,9 @@ from txnlake.llm import op7_sharding as op7
 from txnlake.llm import op8_pii as op8
 from txnlake.llm import op9_token_counts as op9
 from txnlake.llm import op10_exact_dedup as op10
+from txnlake.llm import op11_prefix_trie as op11
+from txnlake.llm import op12_fill_in_middle as op12
+from txnlake.llm import op13_document_fingerprints as op13
 from txnlake.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,6 +36,9 @@ def queries() -> dict[str, Query]:
         "op8_pii": lambda s, d: op8.pii(documents(s, d)),
         "op9_token_counts": lambda s, d: op9.token_counts(documents(s, d)),
         "op10_exact_dedup": lambda s, d: op10.exact_dedup(documents(s, d)),
+        "op11_prefix_trie": lambda s, d: op11.prefix_trie(op11.conversations(s, d)),
+        "op12_fill_in_middle": lambda s, d: op12.digests(documents(s, d)),
+        "op13_document_fingerprints": lambda s, d: op13.against_next(documents(s, d)),
     }
 
 
@@ -40,4 +46,6 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op2_quality_rules": op2.ORACLE_SQL,
         "op10_exact_dedup": op10.ORACLE_SQL,
+        "op11_prefix_trie": op11.ORACLE_SQL,
+        "op12_fill_in_middle": op12.ORACLE_SQL,
     }
