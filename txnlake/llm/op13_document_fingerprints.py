@@ -95,8 +95,19 @@ def sketches(column: pa.Array, scale: int = SCALE) -> list[np.ndarray]:
     return out
 
 
+def _packed(sketch: np.ndarray) -> bytes:
+    """Six bytes a hash."""
+    return sketch.astype(">u8").view(np.uint8).reshape(-1, 8)[:, 2:].tobytes()
+
+
+def _unpacked(data: bytes) -> np.ndarray:
+    whole = np.zeros((len(data) // 6, 8), np.uint8)
+    whole[:, 2:] = np.frombuffer(data, np.uint8).reshape(-1, 6)
+    return whole.reshape(-1).view(">u8").astype(np.uint64)
+
+
 def written(sketch: np.ndarray) -> str:
-    return b64encode(sketch.astype(">u8").view(np.uint8).reshape(-1, 8)[:, 2:].tobytes()).decode()
+    return b64encode(_packed(sketch)).decode()
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
@@ -163,15 +174,24 @@ def merged(rows: DataFrame, by: str, fingerprint: str = "fingerprint", scale: in
 # Each document against an edited version of itself and against the next one.
 
 
-def _shares(one: np.ndarray, other: np.ndarray) -> tuple[float, float | None]:
-    """Likeness, and containment of the first in the second."""
-    both = len(np.intersect1d(one, other, assume_unique=True))
-    either = len(one) + len(other) - both
-    return both / either if either else 1.0, both / len(one) if len(one) else None
+def _share(part: int, whole: int, of_nothing: float | None) -> float | None:
+    return part / whole if whole else of_nothing
 
 
 Row = tuple[int | None, str, np.ndarray]
-_COMPARED = {
+#: A document as it is stored: what its fingerprint and that of the edited text share, and what each has besides.
+_STORED = {
+    "doc_id": pa.int64(),
+    "n_chars": pa.int64(),
+    "digest": pa.binary(),
+    "shared": pa.binary(),
+    "own_only": pa.binary(),
+    "edited_only": pa.binary(),
+    "near_next": pa.float64(),
+    "held_by_next": pa.float64(),
+}
+_EDGE = {"place": pa.string(), "part": pa.int32(), "text": pa.string()}
+_RESULT = {
     "doc_id": pa.int64(),
     "n_chars": pa.int64(),
     "edited_sha256": pa.string(),
@@ -182,9 +202,8 @@ _COMPARED = {
     "kept_by_edited": pa.float64(),
     "held_by_next": pa.float64(),
 }
-RESULT = tuple(_COMPARED)
-_EDGE = {"place": pa.string(), "part": pa.int32(), "text": pa.string()}
-_TYPES = {pa.int64(): "bigint", pa.int32(): "int", pa.string(): "string", pa.float64(): "double"}
+RESULT = tuple(_RESULT)
+_TYPES = {pa.int64(): "bigint", pa.int32(): "int", pa.string(): "string", pa.float64(): "double", pa.binary(): "binary"}
 
 
 def _ddl(columns: dict[str, pa.DataType]) -> str:
@@ -197,15 +216,19 @@ def edited(text: str, following: str) -> str:
     return text[: len(text) - n] + following[:n]
 
 
-def _compared(rows: Iterable[tuple[Row, Row]]) -> list[tuple]:
-    rows = list(rows)
-    changed = [edited(one[1], other[1]) for one, other in rows]
+def _compared(pairs: Iterable[tuple[Row, Row]]) -> list[tuple]:
+    """Rows of _STORED."""
+    pairs = list(pairs)
+    changed = [edited(one[1], other[1]) for one, other in pairs]
     out = []
-    for (one, other), new, sketch in zip(rows, changed, sketches(pa.array(changed, pa.string())), strict=True):
-        (near_edited, in_edited), (near_next, in_next) = _shares(one[2], sketch), _shares(one[2], other[2])
-        digest = hashlib.sha256(new.encode()).hexdigest()
-        prints = written(one[2]), written(sketch)
-        out.append((one[0], len(one[1]), digest, *prints, near_edited, near_next, in_edited, in_next))
+    for (one, other), new, of_new in zip(pairs, changed, sketches(pa.array(changed, pa.string())), strict=True):
+        own, following = one[2], other[2]
+        shared = np.intersect1d(own, of_new, assume_unique=True)
+        parts = (shared, np.setdiff1d(own, shared, assume_unique=True), np.setdiff1d(of_new, shared, assume_unique=True))
+        with_next = len(np.intersect1d(own, following, assume_unique=True))
+        near_next = _share(with_next, len(own) + len(following) - with_next, 1.0)
+        digest = hashlib.sha256(new.encode()).digest()
+        out.append((one[0], len(one[1]), digest, *map(_packed, parts), near_next, _share(with_next, len(own), None)))
     return out
 
 
@@ -216,34 +239,46 @@ def _batch(rows: list[tuple], columns: dict[str, pa.DataType]) -> pa.RecordBatch
 
 
 def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Results of rows whose next row is in the same part; the part's first and last row with their texts."""
+    """Rows whose next row is in the same part; the part's first and last row with their texts."""
     part, last = TaskContext.get().partitionId(), None
-    columns = _COMPARED | _EDGE
-    nothing = (None,) * len(_COMPARED)
+    columns = _STORED | _EDGE
+    nothing = (None,) * (len(_STORED) - 1)
     for batch in portions(batches):
         column = pc.fill_null(batch.column(1), "")
-        ids, own = batch.column(0).to_pylist(), column.to_pylist()
-        rows: list[Row] = list(zip(ids, own, sketches(column), strict=True))
+        rows: list[Row] = list(zip(batch.column(0).to_pylist(), column.to_pylist(), sketches(column), strict=True))
         if last is None:
-            yield _batch([(rows[0][0], *nothing[1:], "first", part, rows[0][1])], columns)
+            yield _batch([(rows[0][0], *nothing, "first", part, rows[0][1])], columns)
         else:
             rows = [last, *rows]
         last = rows[-1]
         yield _batch([(*r, None, None, None) for r in _compared(zip(rows[:-1], rows[1:], strict=True))], columns)
     if last is not None:
-        yield _batch([(last[0], *nothing[1:], "last", part, last[1])], columns)
+        yield _batch([(last[0], *nothing, "last", part, last[1])], columns)
 
 
 def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Results of the last rows of the parts: doc_id, text and the following text."""
+    """The last rows of the parts: doc_id, text and the following text."""
     for batch in portions(batches):
-        own, following = batch.column(1), batch.column(2)
+        ids, own, following = batch.column(0).to_pylist(), batch.column(1), batch.column(2)
         pairs = zip(
-            zip(batch.column(0).to_pylist(), own.to_pylist(), sketches(own), strict=True),
-            zip(batch.column(0).to_pylist(), following.to_pylist(), sketches(following), strict=True),
+            zip(ids, own.to_pylist(), sketches(own), strict=True),
+            zip(ids, following.to_pylist(), sketches(following), strict=True),
             strict=True,
         )
-        yield _batch(_compared(pairs), _COMPARED)
+        yield _batch(_compared(pairs), _STORED)
+
+
+def _written_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """_RESULT from _STORED."""
+    for batch in batches:
+        rows = []
+        for doc_id, n_chars, digest, *packed, near_next, held in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            shared, own, new = map(_unpacked, packed)
+            prints = [written(np.sort(np.r_[shared, x])) for x in (own, new)]
+            near = _share(len(shared), len(shared) + len(own) + len(new), 1.0)
+            kept = _share(len(shared), len(shared) + len(own), None)
+            rows.append((doc_id, n_chars, digest.hex(), *prints, near, near_next, kept, held))
+        yield _batch(rows, _RESULT)
 
 
 def against_next(docs: DataFrame) -> DataFrame:
@@ -260,15 +295,12 @@ def against_next(docs: DataFrame) -> DataFrame:
     )
     order = [F.desc_nulls_last("doc_id"), F.desc("h"), F.asc("at")]
     sorted_rows = rows.repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "text")
-    done = stored(map_arrow(sorted_rows, _neighbours, _ddl(_COMPARED | _EDGE)), "fingerprints")
+    done = stored(map_arrow(sorted_rows, _neighbours, _ddl(_STORED | _EDGE)), "fingerprints")
 
     parts = sorted(r.part for r in done.filter("place = 'first'").select("part").collect())  # a number per task
     following = spark.createDataFrame(list(zip(parts, [*parts[1:], *parts[:1]], strict=True)), "part int, following int")
     lasts = done.filter("place = 'last'").select("part", "doc_id", "text")
     firsts = done.filter("place = 'first'").select(F.col("part").alias("following"), F.col("text").alias("following_text"))
     pairs = lasts.join(following, "part").join(firsts, "following").select("doc_id", "text", "following_text")
-    return (
-        done.filter("place is null")
-        .select(*RESULT)
-        .unionByName(map_arrow(pairs, _across, _ddl(_COMPARED)))
-    )
+    every = done.filter("place is null").select(*_STORED).unionByName(map_arrow(pairs, _across, _ddl(_STORED)))
+    return map_arrow(every, _written_out, _ddl(_RESULT))
