@@ -74,18 +74,20 @@ def test_words_are_counted_as_the_whole_text_is():
     column += ["<|endoftext|>x<|startoftext|>", "a<|endoftext|> b", "é ́e"]
     library = op9.tokenizer(op9.VOCABULARY)
     want = [len(library.encode(t, add_special_tokens=False)) for t in column]
-    known: dict[str, int] = {}
-    assert op9.count_texts(pa.array(column), op9.VOCABULARY, known).tolist() == want
-    assert op9.count_texts(pa.array(column), op9.VOCABULARY, known).tolist() == want
+    known = op9.Known(op9.VOCABULARY)
+    assert op9.count_texts(pa.array(column), known).tolist() == want
+    assert op9.count_texts(pa.array(column), known).tolist() == want
 
 
 def test_a_full_memory_of_words_starts_anew(monkeypatch):
-    monkeypatch.setattr(op9, "KNOWN_WORDS", 5)
+    monkeypatch.setattr(op9, "KNOWN_CHARS", 40)
     column = [" ".join(f"word{rng.randrange(30)}" for _ in range(9)) for _ in range(20)]
-    known: dict[str, int] = {}
+    column += ["long" * 50 + " a b", "long" * 50, "日本" * 3000]
+    known = op9.Known(op9.VOCABULARY)
     for text in column:
         want = len(op9.tokenizer(op9.VOCABULARY).encode(text, add_special_tokens=False))
-        assert op9.count_texts(pa.array([text]), op9.VOCABULARY, known).tolist() == [want]
+        assert op9.count_texts(pa.array([text]), known).tolist() == [want]
+        assert sum(map(len, known.counts)) <= 40 and not any(len(w) > op9.LONG_WORD for w in known.counts)
 
 
 def test_ids_for_packing_are_the_vocabularys():

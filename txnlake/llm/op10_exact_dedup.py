@@ -2,17 +2,20 @@
 
 A Misra-Gries sketch finds the digests that many rows may share. Their exact
 counts and winners, a bounded number of rows, are broadcast, and their losing
-rows are decided where they are read. All other digests are shuffled.
+rows are decided where they are read, also those that repeat the winner's id:
+of these the one with the largest number in the stored digests wins. All other
+digests are shuffled.
 
 Defined results: a null text counts as empty. Of equal texts the row with the
 largest id stays; a null id loses against any id. Of rows that repeat with the
-same id and text exactly one stays. An empty table gives no rows. Columns other
+same id and text exactly one stays. A text is hashed where it is read, however
+long, and never moved. An empty table gives no rows. Columns other
 than id and text are not looked at.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from txnlake.llm.common import stored, with_row
@@ -26,13 +29,13 @@ RESULT = ("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
 def digests(docs: DataFrame, carry: bool = False) -> DataFrame:
-    """doc_id and text_sha256; with `carry` also the whole row as `doc`."""
+    """doc_id, text_sha256 and a number of the row, `at`; with `carry` also the whole row as `doc`."""
     digest = F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256")
-    return with_row(docs).select("doc_id", digest, *["doc"][: int(carry)])
+    return with_row(docs).select("doc_id", digest, F.monotonically_increasing_id().alias("at"), *["doc"][: int(carry)])
 
 
 def heavy_winners(rows: DataFrame) -> DataFrame:
-    """The frequent digests with exact row count and largest id: HEAVY rows at most."""
+    """The frequent digests with exact row count, largest id and the winner's number: HEAVY rows at most."""
     found = rows.agg(
         F.expr(f"approx_top_k(text_sha256, {HEAVY}, {TRACKED})").alias("top"),
         F.count(F.lit(1)).alias("total"),
@@ -41,15 +44,23 @@ def heavy_winners(rows: DataFrame) -> DataFrame:
     return (
         rows.filter(F.col("text_sha256").isin(likely))
         .groupBy("text_sha256")
-        .agg(F.max("doc_id").alias("heavy_id"), F.count(F.lit(1)).alias("heavy_size"))
+        .agg(
+            F.max("doc_id").alias("heavy_id"),
+            F.max_by("at", F.struct(F.col("doc_id").isNotNull(), "doc_id", "at")).alias("heavy_at"),
+            F.count(F.lit(1)).alias("heavy_size"),
+        )
         .filter((F.col("heavy_size") > 1) & (F.col("heavy_size") * TRACKED >= F.lit(found["total"])))
     )
 
 
-def _loses():
-    """A row next to a winner of its digest with a larger id is lost whatever else there is."""
-    wins = F.coalesce(F.col("doc_id") == F.col("heavy_id"), F.col("heavy_id").isNull())
-    return F.col("heavy_size").isNotNull() & ~wins
+def _loses() -> Column:
+    """A row of a heavy digest that is not the one winner."""
+    return F.col("heavy_size").isNotNull() & (F.col("at") != F.col("heavy_at"))
+
+
+def _may_win() -> Column:
+    """As far as the id tells, which holds without the numbers of the stored rows."""
+    return F.col("heavy_size").isNull() | F.col("doc_id").eqNullSafe(F.col("heavy_id"))
 
 
 def exact_dedup(docs: DataFrame) -> DataFrame:
@@ -77,15 +88,15 @@ def exact_dedup(docs: DataFrame) -> DataFrame:
 def keep_one_copy(docs: DataFrame) -> DataFrame:
     """The documents that stay, with all their columns.
 
-    Losing rows of heavy digests go before the shuffle; each other digest sends
-    at most one row per map task.
+    Rows of heavy digests with a smaller id go before the shuffle; of what is left
+    each digest sends at most one row per map task.
     """
     rows = stored(digests(docs), "digests")
     winners = stored(heavy_winners(rows), "heavy-digests")
     whole = digests(docs, carry=True).join(F.broadcast(winners), "text_sha256", "left")
     by_id = F.struct(F.col("doc_id").isNotNull(), F.col("doc_id"))
     return (
-        whole.filter(~_loses())
+        whole.filter(_may_win())
         .groupBy("text_sha256")
         .agg(F.max_by("doc", by_id).alias("doc"))
         .select("doc.*")

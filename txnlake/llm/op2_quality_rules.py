@@ -5,7 +5,8 @@ one bit per failed rule; a policy is a named mask over these bits, so a new
 policy, or the effect of leaving a rule out, needs no second look at the texts.
 
 Defined results: a null text has no words, no lines and no symbols, and fails
-`few_words`, as an empty text does. Repeated rows are judged one by one. An
+`few_words`, as an empty text does. Repeated rows are judged one by one. A very
+long text takes memory for a few numbers per word, not for copies of its words. An
 empty table gives no rows. Columns other than id and text are not looked at.
 """
 
@@ -67,21 +68,19 @@ def measure(docs: DataFrame, carry: bool = False) -> DataFrame:
         window_hashes=F.expr(f"if(n_words < {WINDOW}, array(), {_windows(f'xxhash64({at})')})"),
     )
     # Equal windows have equal hashes, so a text without equal hashes repeats nothing.
-    # The others are looked at by the words themselves.
+    # In the others, windows of equal hashes are compared word by word, where they stand.
     rows = held(
         rows,
-        windows=F.expr(
-            f"""if(size(array_distinct(window_hashes)) = size(window_hashes), NULL, sort_array(
-            {_windows(f"struct(slice(words, i + 1, {WINDOW}) AS w, i AS i)")}))"""
+        places=F.expr(
+            """if(size(array_distinct(window_hashes)) = size(window_hashes), NULL,
+            sort_array(transform(window_hashes, (h, i) -> struct(h, i))))"""
         ),
     )
+    same = " AND ".join(f"words[x.i + {k}] = words[get(places, k + {{}}).i + {k}]" for k in range(WINDOW))
+    meets = [f"coalesce(get(places, k + {d}).h = x.h AND {same.format(*[d] * WINDOW)}, false)" for d in (-1, 1)]
     rows = held(
         rows,
-        starts=F.expr(
-            """sort_array(transform(filter(windows, (x, k) ->
-            coalesce(get(windows, k - 1).w = x.w, false) OR coalesce(get(windows, k + 1).w = x.w, false)),
-            x -> x.i))"""
-        ),
+        starts=F.expr(f"sort_array(transform(filter(places, (x, k) -> {' OR '.join(meets)}), x -> x.i))"),
     )
     covered = f"""coalesce(aggregate(starts, struct(0 AS n, 0 AS upto), (a, p) ->
         struct(a.n + least({WINDOW}, p + {WINDOW} - a.upto) AS n, p + {WINDOW} AS upto), a -> a.n), 0)"""

@@ -31,8 +31,8 @@ from txnlake.llm.common import map_arrow, portions, stored, texts
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 LIMIT = 2048
-#: Different words whose counts a task remembers.
-KNOWN_WORDS = 400_000
+#: A task remembers the counts of words of up to LONG_WORD characters, with KNOWN_CHARS in all.
+LONG_WORD, KNOWN_CHARS = 64, 8_000_000
 #: By how much chunks and overlaps grow where neighbours don't meet.
 WIDEN = 8
 
@@ -46,8 +46,28 @@ def tokenizer(path: str):
     return Tokenizer.from_file(path)
 
 
-def count_texts(column: pa.Array, path: str, known: dict[str, int]) -> np.ndarray:
-    """Tokens of each text, as the sum over its words; `known` keeps those of words seen before.
+class Known:
+    """Tokens by word, as far as they are remembered."""
+
+    def __init__(self, path: str):
+        self.tokenizer, self.counts, self.chars = tokenizer(path), {}, 0
+
+    def count(self, words: list[str]) -> list[int]:
+        """Tokens of different words."""
+        new = [w for w in words if w not in self.counts]
+        found = dict(zip(new, map(len, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)), strict=True))
+        out = [found[w] if w in found else self.counts[w] for w in words]
+        short = {w: n for w, n in found.items() if len(w) <= LONG_WORD}
+        self.chars += sum(map(len, short))
+        if self.chars > KNOWN_CHARS:
+            self.counts, self.chars = {}, 0
+        else:
+            self.counts.update(short)
+        return out
+
+
+def count_texts(column: pa.Array, known: Known) -> np.ndarray:
+    """Tokens of each text, as the sum over its words.
 
     An ASCII space is never part of a token or of a special string, and neither
     normalisation nor the split into words looks across one.
@@ -55,12 +75,7 @@ def count_texts(column: pa.Array, path: str, known: dict[str, int]) -> np.ndarra
     split = pc.ascii_split_whitespace(pc.fill_null(column.cast(pa.string()), ""))
     coded = split.flatten().dictionary_encode()
     words = coded.dictionary.to_pylist()
-    new = [w for w in words if w not in known]
-    if len(known) + len(new) > KNOWN_WORDS:
-        known.clear()
-        new = words
-    known.update(zip(new, map(len, tokenizer(path).encode_batch_fast(new, add_special_tokens=False)), strict=True))
-    of_word = np.array([known[w] for w in words], dtype=np.int64)
+    of_word = np.array(known.count(words), dtype=np.int64)
     upto = np.r_[0, np.cumsum(of_word[coded.indices.to_numpy()])] if words else np.zeros(1, dtype=np.int64)
     ends = np.cumsum(pc.list_value_length(split).to_numpy())
     return np.diff(np.r_[0, upto[ends]])
@@ -68,11 +83,11 @@ def count_texts(column: pa.Array, path: str, known: dict[str, int]) -> np.ndarra
 
 def _counts(path: str):
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[str, int] = {}
+        known = Known(path)
         for batch in portions(batches):
             column = batch.column(1)
             n_bytes = pc.fill_null(pc.binary_length(column), 0).cast(pa.int64())
-            n_tokens = pa.array(count_texts(column, path, known), pa.int64())
+            n_tokens = pa.array(count_texts(column, known), pa.int64())
             columns = [batch.column(0), n_bytes, n_tokens]
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_bytes", "n_tokens"])
 
