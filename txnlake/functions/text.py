@@ -30,13 +30,14 @@ def once(column: Column, body: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(column), body)[0]
 
 
-def ends_at_first_brace(text: Column) -> Column:
-    """True if nothing can follow the object: its only `}` is the last character.
+def is_flat(text: Column) -> Column:
+    """True if the object in the text holds no other object and no array, and nothing can follow it.
 
-    `from_json` ignores whatever comes after the first value, so this cheap test
-    is what lets flat records skip `object_keys`.
+    Its only `}` is the last character, and there is no `[`. `from_json` ignores
+    whatever comes after the first value and reads nested values as text, so this
+    cheap test is what lets flat records skip `object_keys` and `nested`.
     """
-    return text.rlike(_ONE_BRACE)
+    return text.rlike(_ONE_BRACE) & ~text.contains("[")
 
 
 def object_keys(text: Column) -> Column:
@@ -63,21 +64,16 @@ def nested(text: Column, schema: T.StructType) -> Column:
     """Whether the object in `text` has an object or an array where `schema` has text.
 
     Such a value is read as its JSON, which no text column may take. Text that only
-    looks like JSON is fine, so the line is read again if a field begins like it.
+    looks like JSON is fine, so the line is read once more as a variant, which knows
+    the kinds of its values.
     """
     names = [f.name for f in schema if isinstance(f.dataType, T.StringType)]
-    suspect = F.lit(False)
-    for name in names:
-        suspect = suspect | F.coalesce(F.col(name).rlike(r"^[\[{]"), F.lit(False))
-
-    def kinds(variant: Column) -> Column:
-        found = F.lit(False)
-        for name in names:
-            kind = F.schema_of_variant(F.try_variant_get(variant, f"$.{name}", "variant"))
-            found = found | F.coalesce(kind.rlike("^(OBJECT|ARRAY)"), F.lit(False))
-        return found
-
-    return F.coalesce(F.when(suspect, once(F.try_parse_json(text), kinds)), F.lit(False))
+
+    def any_nested(variant: Column) -> Column:
+        values = F.array(*[F.try_variant_get(variant, f"$.{name}", "variant") for name in names])
+        return F.exists(values, lambda v: F.coalesce(F.schema_of_variant(v).rlike("^(OBJECT|ARRAY)"), F.lit(False)))
+
+    return F.coalesce(once(F.try_parse_json(text), any_nested), F.lit(False))
 
 
 def instant(text: Column) -> Column:

@@ -43,24 +43,21 @@ def _absent(keys: Column) -> Column:
     return F.array_except(F.array(*[F.lit(name) for name in _REQUIRED]), keys)
 
 
-def classify(lines: DataFrame) -> DataFrame:
+def classify(lines: DataFrame, *keep: str) -> DataFrame:
     """Parse `value` (text or bytes) and say in `reason` what becomes of each line.
 
-    A sound flat record costs one JSON parse; its keys are looked at only if
-    something about the line is odd.
+    A sound flat record costs one JSON parse; its keys and the kinds of its values
+    are looked at only if something about the line is odd. Columns in `keep` stay.
     """
     text, amount = F.col("value").cast("string"), F.col("amount")
-    df = X.with_parsed(lines.select("value"), text, _WIRE)
+    df = X.with_parsed(lines.select("value", *keep), text, _WIRE)
     df = df.withColumn("transaction_timestamp", X.instant(F.col("transaction_timestamp")))
 
     complete = _all([F.col(name).isNotNull() for name in _REQUIRED]) & (
         F.abs(amount) < F.lit(float("inf"))
     )
     readable = F.is_valid_utf8(text)
-    looks_nested = F.lit(False)
-    for f in TEXTS:
-        looks_nested = looks_nested | F.coalesce(F.col(f.name).rlike(r"^[\[{]"), F.lit(False))
-    plain = complete & readable & X.ends_at_first_brace(text) & ~looks_nested
+    plain = complete & readable & X.is_flat(text)
 
     def odd(keys: Column) -> Column:
         return (
@@ -76,14 +73,25 @@ def classify(lines: DataFrame) -> DataFrame:
         .when(plain, NON_POSITIVE)
         .otherwise(X.once(F.when(readable, X.object_keys(text)), odd))
     )
-    return df.select("value", reason.alias("reason"), *PAYLOAD.names)
+    # In a generator, or else every later filter on the reason would judge the line again.
+    judged = df.select("*", F.inline(F.array(F.struct(reason.alias("reason")))))
+    return judged.select("value", "reason", *PAYLOAD.names, *keep)
 
 
-def enrich(classified: DataFrame, threshold: float, run_ts: datetime) -> DataFrame:
-    """Set the anomaly flag and the processing time, one instant for the whole run."""
+def flag(classified: DataFrame, threshold: float) -> DataFrame:
+    """Set the anomaly flag."""
     # Spark orders NaN above every number; a NaN amount must not count as high.
     high = (F.col("amount") > F.lit(float(threshold))) & ~F.isnan("amount")
-    return classified.withColumn("is_anomaly", high).withColumn("processed_at", at(run_ts))
+    return classified.withColumn("is_anomaly", high)
+
+
+def stamp(flagged: DataFrame, run_ts: datetime) -> DataFrame:
+    """Set the processing time, one instant for the whole run."""
+    return flagged.withColumn("processed_at", at(run_ts))
+
+
+def enrich(classified: DataFrame, threshold: float, run_ts: datetime) -> DataFrame:
+    return stamp(flag(classified, threshold), run_ts)
 
 
 def valid(enriched: DataFrame) -> DataFrame:
