@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import RUN_TS, line, micros
-from txnlake.operators import append
+from txnlake.operators import append, counters
 from txnlake.plans.batch import run_batch
 from txnlake.schemas import ANOMALIES, BATCH, DAY, TRANSACTIONS
 from txnlake.settings import Tables
@@ -22,7 +22,7 @@ from txnlake.sources.tables import (
     scan_anomalies,
     scan_transactions,
 )
-from txnlake.streaming.job import run_stream
+from txnlake.streaming.job import await_end, run_stream
 
 MESSAGES = [
     line(transaction_id="a", amount=10, transaction_timestamp="2024-01-01T00:00:00Z"),
@@ -51,12 +51,12 @@ def stream(spark, raw, tables, checkpoint, **options):
     source = stream_files(
         spark,
         str(raw / "*.json"),
-        **{k: options.pop(k) for k in ("archive_dir", "max_files_per_trigger") if k in options},
+        **{k: options.pop(k) for k in ("max_files_per_trigger",) if k in options},
     )
     query = run_stream(
         source, tables, str(checkpoint), available_now=True, clock=lambda: RUN_TS, **options
     )
-    query.awaitTermination()
+    await_end(query)
     return query
 
 
@@ -267,16 +267,62 @@ def test_a_second_query_does_not_replace_the_first_ones_batches(spark, tables, t
     assert {r[BATCH] for r in batches.collect()} == ids_in_checkpoints
 
 
-def test_read_files_are_archived_by_a_later_run(spark, tables, tmp_path):
+def test_read_files_are_archived_by_the_run_that_read_them(spark, tables, tmp_path, monkeypatch):
     raw, done = tmp_path / "raw", tmp_path / "processed"
     for i, value in enumerate(MESSAGES[:3]):
-        put(raw, f"{i}.json", [value])
-        stream(spark, raw, tables, tmp_path / "cp", archive_dir=str(done))
+        put(raw, f"a file {i}.json", [value])
+        if i != 1:
+            stream(spark, raw, tables, tmp_path / "cp", archive_dir=str(done), max_files_per_trigger=1)
+            assert not list(raw.glob("*.json"))
     assert ids(scan_transactions(spark, tables)) == list("abc")
-    left = {f.name for f in raw.glob("*.json")}
-    moved = {f.name for f in done.rglob("*.json")}
-    assert left | moved == {"0.json", "1.json", "2.json"}
-    assert "2.json" in left and "0.json" in moved
+    assert {f.name for f in done.rglob("*.json")} == {f"a file {i}.json" for i in range(3)}
+
+    # A micro-batch that fails leaves its files, and the run that repeats it archives them.
+    put(raw, "a file 3.json", [MESSAGES[3]])
+
+    def fail(*_):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as broken:
+        broken.setattr(append, "append_anomalies", fail)
+        with pytest.raises(Exception, match="lost"):
+            stream(spark, raw, tables, tmp_path / "cp", archive_dir=str(done))
+    assert len(list(raw.glob("*.json"))) == 1
+    stream(spark, raw, tables, tmp_path / "cp", archive_dir=str(done))
+    assert not list(raw.glob("*.json")) and len(list(done.rglob("*.json"))) == 4
+    assert ids(scan_transactions(spark, tables)) == list("abcd")
+
+
+def test_a_repeated_micro_batch_is_told_once(spark, tables, tmp_path, monkeypatch):
+    raw, told = tmp_path / "raw", []
+    put(raw, "1.json", MESSAGES + BROKEN)
+
+    def fail(*_):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as broken:
+        broken.setattr(append, "append_anomalies", fail)
+        with pytest.raises(Exception, match="lost"):
+            stream(spark, raw, tables, tmp_path / "cp", on_counters=lambda *x: told.append(x))
+    assert told == []
+    for _ in range(2):
+        query = stream(spark, raw, tables, tmp_path / "cp", on_counters=lambda *x: told.append(x))
+    ((name, totals),) = told
+    assert name == f"{query.id}-0"
+    assert (totals["valid"], totals["anomalies_flagged"], totals["parse_failed"]) == (4, 2, 2)
+
+
+def test_a_micro_batch_has_no_job_for_its_counters(spark, tables, tmp_path):
+    """One job reads the source; the sinks read what it staged."""
+    raw, jobs = tmp_path / "raw", []
+    put(raw, "1.json", MESSAGES)
+    plain = counters.count
+    counters.count, before = (lambda *_: jobs.append(1)), plain
+    try:
+        stream(spark, raw, tables, tmp_path / "cp", on_counters=lambda *_: None)
+    finally:
+        counters.count = before
+    assert jobs == []
 
 
 def test_files_of_any_age_are_read(spark, tables, tmp_path):

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # Spark leaves out files that are older than the newest one seen by more than this;
 # a backfill or a copy that keeps times must not be lost that way.
 MAX_FILE_AGE = "36500d"
+SOURCE_FILE = "source_file"
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame | None:
@@ -24,26 +26,19 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame | None:
 
 
 def stream_files(
-    spark: SparkSession,
-    path: str,
-    *,
-    archive_dir: str | None = None,
-    max_files_per_trigger: int | None = 1000,
+    spark: SparkSession, path: str, *, max_files_per_trigger: int | None = 1000
 ) -> DataFrame:
-    """New files matching `path`, each read once per checkpoint.
+    """Lines of new files matching `path`, each file read once per checkpoint, and the file they come from.
 
-    With `archive_dir`, Spark moves a file there once a later micro-batch starts;
-    the checkpoint, not the move, is what keeps a file from being read twice. Files
-    of any age are read; the driver remembers each file seen, so move old ones away.
+    Files of any age are read. The driver remembers each file seen, so let the job
+    archive them (`run_stream(archive_dir=...)`).
     """
     reader = (
         spark.readStream.format("text").option("lineSep", "\n").option("maxFileAge", MAX_FILE_AGE)
     )
-    if archive_dir:
-        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return reader.load(path).select("value")
+    return reader.load(path).select("value", F.col("_metadata.file_path").alias(SOURCE_FILE))
 
 
 def stream_kafka(
