@@ -11,8 +11,8 @@ from pyspark.sql import types as T
 
 from txnlake.operators import append, compact, counters, ingest
 from txnlake.operators import requests as R
-from txnlake.plans import batch, reports, serving
-from txnlake.schemas import PAYLOAD
+from txnlake.plans import batch, reports, serving, sql_functions, summaries
+from txnlake.schemas import PAYLOAD, TRANSACTIONS
 from txnlake.session import apply_settings, delete_at_exit, hadoop_path, work_dir
 from txnlake.settings import Tables
 from txnlake.sources import events
@@ -22,8 +22,9 @@ from txnlake.sources.tables import (
     register_views,
     scan_anomalies,
     scan_transactions,
+    transactions_layout,
 )
-from txnlake.streaming.job import run_stream
+from txnlake.streaming.job import await_end, run_stream
 
 try:
     import corpus_pipeline
@@ -38,7 +39,7 @@ except ModuleNotFoundError as missing:
 AS_OF = datetime(2024, 1, 30, 23, 59, 59, tzinfo=timezone.utc)
 RUN_TS = datetime(2024, 1, 31, 12, 0, 0, tzinfo=timezone.utc)
 WEEK_HOURS = 7 * 24
-OLDEST = date(2024, 1, 1)
+OLDEST = (AS_OF - timedelta(days=reports.HISTORY_DAYS)).date()
 SECOND_THRESHOLD = 300.0
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -150,14 +151,16 @@ def _old_files_job(spark: SparkSession, sf_dir: str) -> Tables:
             if n:
                 fs.setTimes(source, n * 86_400_000, -1)
             fs.rename(source, hadoop_path(spark, f"{home}/inbox/{n}.txt")[0])
-            run_stream(
-                stream_files(spark, f"{home}/inbox/*.txt"),
-                tables,
-                f"{home}/checkpoint",
-                threshold=events.THRESHOLD,
-                available_now=True,
-                clock=lambda: RUN_TS,
-            ).awaitTermination()
+            await_end(
+                run_stream(
+                    stream_files(spark, f"{home}/inbox/*.txt"),
+                    tables,
+                    f"{home}/checkpoint",
+                    threshold=events.THRESHOLD,
+                    available_now=True,
+                    clock=lambda: RUN_TS,
+                )
+            )
 
     return _through_tables(spark, sf_dir, job)
 
@@ -167,14 +170,16 @@ def _replayed_job(spark: SparkSession, sf_dir: str) -> Tables:
 
     def job(home: str, files: str, tables: Tables) -> None:
         for _ in range(2):
-            run_stream(
-                stream_files(spark, files, max_files_per_trigger=1),
-                tables,
-                f"{home}/checkpoint",
-                threshold=events.THRESHOLD,
-                available_now=True,
-                clock=lambda: RUN_TS,
-            ).awaitTermination()
+            await_end(
+                run_stream(
+                    stream_files(spark, files, max_files_per_trigger=1),
+                    tables,
+                    f"{home}/checkpoint",
+                    threshold=events.THRESHOLD,
+                    available_now=True,
+                    clock=lambda: RUN_TS,
+                )
+            )
             commits, fs = hadoop_path(spark, f"{home}/checkpoint/commits")
             names = [x.getPath().getName() for x in fs.listStatus(commits)]
             last = max(int(n) for n in names if n.isdigit())
@@ -184,17 +189,20 @@ def _replayed_job(spark: SparkSession, sf_dir: str) -> Tables:
 
 
 def _merged_job(spark: SparkSession, sf_dir: str) -> Tables:
-    """Three batches over the same days, merged by day; the folders they had are removed."""
+    """Three batches over the same days, merged by day; one of them is run again after that."""
 
     def job(home: str, files: str, tables: Tables) -> None:
+        def run(k: int) -> None:
+            batch.run_batch(
+                spark, f"{home}/part{k}", tables, threshold=events.THRESHOLD, run_ts=RUN_TS, batch=f"part{k}"
+            )
+
         for k in range(3):
             part = F.pmod(F.crc32(F.col("value").cast("binary")), F.lit(3)) == k
             spark.read.text(files).filter(part).write.text(f"{home}/part{k}")
-            batch.run_batch(
-                spark, f"{home}/part{k}", tables, threshold=events.THRESHOLD, run_ts=RUN_TS
-            )
+            run(k)
         compact.compact(spark, tables, date(2025, 1, 1))
-        compact.vacuum_tables(spark, tables)
+        run(1)
 
     return _through_tables(spark, sf_dir, job)
 
@@ -225,14 +233,16 @@ def _published_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _stream_job(spark: SparkSession, sf_dir: str) -> Tables:
     def job(home: str, files: str, tables: Tables) -> None:
-        run_stream(
-            stream_files(spark, files),
-            tables,
-            f"{home}/checkpoint",
-            threshold=events.THRESHOLD,
-            available_now=True,
-            clock=lambda: RUN_TS,
-        ).awaitTermination()
+        await_end(
+            run_stream(
+                stream_files(spark, files),
+                tables,
+                f"{home}/checkpoint",
+                threshold=events.THRESHOLD,
+                available_now=True,
+                clock=lambda: RUN_TS,
+            )
+        )
 
     return _through_tables(spark, sf_dir, job)
 
@@ -250,6 +260,22 @@ def _table_report(report: Callable[[DataFrame], DataFrame]) -> Query:
     return lambda spark, sf: report(scan_transactions(spark, _table(spark, sf), OLDEST))
 
 
+def _written_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A batch written, and run again with fewer days, read back by the table's name in the catalog."""
+    name = transactions_layout(_rerun_job(spark, sf_dir)).name
+    return spark.table(name).select(*TRANSACTIONS.names, "transaction_date", "source_batch")
+
+
+def _sql_report(name: str) -> Query:
+    """A report called from SQL, with the time as a bound parameter."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        sql_functions.register_functions(spark, _table(spark, sf_dir))
+        return spark.sql(f"SELECT * FROM {name}(:as_of)", args={"as_of": F.lit(AS_OF)})
+
+    return run
+
+
 def _by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SQL text over both tables by their names."""
     register_views(spark, _table(spark, sf_dir))
@@ -313,6 +339,7 @@ def queries() -> dict[str, Query]:
         "stream_replayed": lambda s, d: scan_transactions(s, _replayed_job(s, d)),
         "merged_days": lambda s, d: scan_transactions(s, _merged_job(s, d)),
         "merged_days_anomalies": lambda s, d: scan_anomalies(s, _merged_job(s, d)),
+        "catalog_rerun": _written_by_name,
         "publish_requests": _published_ids,
         "stream_ingest": lambda s, d: scan_transactions(s, _stream_job(s, d)),
         "stream_ingest_anomalies": lambda s, d: scan_anomalies(s, _stream_job(s, d)),
@@ -333,6 +360,19 @@ def queries() -> dict[str, Query]:
         "table_zscore_outliers": _table_report(
             lambda t: reports.zscore_outliers(t, AS_OF, scored_hours=WEEK_HOURS, limit=None)
         ),
+        **{f"sql_{name}": _sql_report(name) for name in (*_REPORTS, "zscore_outliers")},
+        # From the summaries, which each batch writes next to its rows
+        "summary_stats": lambda s, d: summaries.stats(s, _table(s, d)),
+        "summary_stats_rerun": lambda s, d: summaries.stats(s, _rerun_job(s, d)),
+        "summary_hourly_volume": lambda s, d: summaries.hourly_volume(s, _table(s, d), AS_OF),
+        "summary_top_users": lambda s, d: summaries.top_users(s, _table(s, d), AS_OF),
+        "summary_type_status_breakdown": lambda s, d: summaries.type_status_breakdown(
+            s, _table(s, d), AS_OF
+        ),
+        "summary_geo_distribution": lambda s, d: summaries.geo_distribution(s, _table(s, d), AS_OF),
+        "summary_zscore_outliers": lambda s, d: summaries.zscore_outliers(
+            s, _table(s, d), AS_OF, scored_hours=WEEK_HOURS, limit=None
+        ),
     }
     if llm:
         built |= llm.queries() | {"pipeline": corpus_pipeline.run}
@@ -470,6 +510,11 @@ WHERE history >= 5 AND abs(z_score) > 3
 
 
 _TABLE = "WITH tx AS (" + _INGESTED + ") "
+_STATS = """
+SELECT count(*) AS total_transactions, round(sum(amount), 2) AS total_amount,
+  count(*) FILTER (WHERE is_anomaly) AS anomaly_count,
+  round(count(*) FILTER (WHERE is_anomaly) / nullif(count(*), 0) * 100, 2) AS anomaly_rate_pct
+FROM tx"""
 
 
 def _json(fields: list[str]) -> str:
@@ -528,12 +573,9 @@ ORDER BY transaction_timestamp DESC, transaction_id LIMIT 500""",
 SELECT transaction_id, user_id, amount, 'Amount exceeds threshold of 200.0' AS anomaly_reason,
   transaction_timestamp, {_RUN} AS detected_at
 FROM tx WHERE is_anomaly ORDER BY transaction_id LIMIT 50""",
-        "stats": _TX
-        + """
-SELECT count(*) AS total_transactions, round(sum(amount), 2) AS total_amount,
-  count(*) FILTER (WHERE is_anomaly) AS anomaly_count,
-  round(count(*) FILTER (WHERE is_anomaly) / nullif(count(*), 0) * 100, 2) AS anomaly_rate_pct
-FROM tx""",
+        "stats": _TX + _STATS,
+        "summary_stats": _TABLE + _STATS,
+        "summary_stats_rerun": _TABLE + _STATS + " WHERE transaction_timestamp >= '2024-01-15'",
         "json_rows": _TX + f"SELECT {_json(_ROW_JSON)} AS json FROM tx",
         "ingest_valid": _INGESTED,
         "ingest_valid_bytes": _INGESTED,
@@ -614,4 +656,13 @@ SELECT 'ok' AS reason, true AS told, {_REQUEST_COLUMNS}, transaction_timestamp
 FROM req WHERE currency IS NOT NULL AND amount > 0
   AND CAST(transaction_id AS BIGINT) % 50 NOT IN (0, 3)""",
         **{f"table_{name}": _TABLE + sql for name, sql in _REPORTS.items()},
+        **{f"summary_{name}": _TABLE + sql for name, sql in _REPORTS.items() if name != "processing_lag"},
+        "summary_zscore_outliers": _zscore(_TABLE, "7 DAY", ""),
+        **{f"sql_{name}": _TABLE + sql for name, sql in _REPORTS.items()},
+        "sql_zscore_outliers": _zscore(
+            _TABLE, "24 HOUR", "ORDER BY abs(z_score) DESC, transaction_id LIMIT 50"
+        ),
+        "catalog_rerun": f"""
+SELECT *, CAST(transaction_timestamp AS DATE) AS transaction_date, 'monday' AS source_batch
+FROM ({_INGESTED}) WHERE transaction_timestamp >= '2024-01-15'""",
     }

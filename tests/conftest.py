@@ -22,6 +22,7 @@ def spark():
         "local[8]",
         **{
             "spark.sql.shuffle.partitions": "8",
+            "spark.driver.memory": "3g",
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
             "spark.sql.maxMetadataStringLength": "10000",

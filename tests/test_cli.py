@@ -26,8 +26,11 @@ def test_a_whole_day_from_the_command_line(spark, tmp_path, capsys):
     assert [a["transaction_id"] for a in run("anomalies")] == ["t1"]
     assert run("stats")[0]["total_transactions"] == 4
     assert run("sql", "SELECT count(*) AS n FROM anomalies JOIN transactions USING (transaction_id)")[0]["n"] == 2
-    assert run("compact", "--before", "2030-01-01") == [{"merges": 1}]
-    assert run("vacuum") == [] and run("stats")[0]["total_transactions"] == 4
+    found = run("sql", "SELECT * FROM top_users(:as_of) WHERE user_id = :u", "--arg", "as_of=TIMESTAMP '2024-01-31'", "--arg", "u='u1'")
+    assert [(r["user_id"], r["transaction_count"]) for r in found] == [("u1", 4)]
+    # One day of transactions and of both summaries has two batches.
+    assert run("compact", "--before", "2030-01-01") == [{"merges": 3}]
+    assert run("stats")[0]["total_transactions"] == 4
     requests = tmp_path / "requests.json"
     requests.write_text('{"user_id":"u","amount":1,"currency":"USD","transaction_type":"t","status":"s"}\n{bad\n')
     sent = run("publish", "--input_path", str(requests), "--sink", "text", "--output", str(tmp_path / "sent"))

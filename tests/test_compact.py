@@ -1,4 +1,4 @@
-"""Merging closed days: what readers see before, during and after, and repeats of merged batches."""
+"""Merging closed days: what readers see after it, repeats of merged batches, and runs that overlap."""
 
 from __future__ import annotations
 
@@ -11,12 +11,18 @@ from tests.conftest import RUN_TS, line
 from tests.test_jobs import ids, put, rows_of, stream
 from txnlake.operators import append
 from txnlake.operators import compact as C
-from txnlake.plans import reports, serving
+from txnlake.plans import reports, serving, summaries
 from txnlake.plans.batch import run_batch
-from txnlake.sources import merged as M
-from txnlake.sources.tables import scan_anomalies, scan_transactions, transactions_layout
+from txnlake.sources.tables import (
+    MERGED,
+    partitions,
+    scan_anomalies,
+    scan_transactions,
+    transactions_layout,
+)
 
 CLOSED = date(2024, 1, 4)
+LATER = date(2025, 1, 1)
 
 
 def message(name, day, amount=10, **more):
@@ -45,19 +51,26 @@ def files(tables):
     return sorted(str(f) for f in Path(tables.transactions_path).rglob("*.parquet"))
 
 
+def totals(spark, tables):
+    """From the summaries, and from the rows."""
+    return summaries.stats(spark, tables).first(), serving.stats(scan_transactions(spark, tables)).first()
+
+
 def test_merging_changes_no_row(spark, loaded):
     before = both(spark, loaded)
-    assert C.compact(spark, loaded, CLOSED) == 2  # days 1 and 3; nothing to merge elsewhere
+    assert C.merge_days(spark, transactions_layout(loaded), CLOSED) == 2  # days 1 and 3; nothing to merge elsewhere
+    assert C.compact(spark, loaded, CLOSED) == 4  # the same days of both summaries
     assert C.compact(spark, loaded, CLOSED) == 0
     assert both(spark, loaded) == before
     read = scan_transactions(spark, loaded, date(2024, 1, 1), date(2024, 1, 1))
     assert len(read.inputFiles()) == 1 and ids(read) == ["x1", "y1", "z1"]
-    C.vacuum_tables(spark, loaded)
-    assert both(spark, loaded) == before
     assert len(files(loaded)) == 4
     newest = serving.newest_transactions(spark, loaded, 2)
     assert [r.transaction_id for r in newest.collect()] == ["z5", "y3"]
     assert reports.top_users(scan_transactions(spark, loaded), RUN_TS.replace(day=5)).count() == 1
+    assert len(set(totals(spark, loaded))) == 1
+    # Any reader of the folder sees the same.
+    assert ids(spark.read.parquet(loaded.transactions_path)) == ["x1", "x2", "y1", "y3", "z1", "z3", "z5"]
 
 
 def test_later_batches_join_a_merged_day(spark, loaded, tmp_path):
@@ -65,66 +78,106 @@ def test_later_batches_join_a_merged_day(spark, loaded, tmp_path):
     run(spark, loaded, tmp_path, "late", message("l1", 1, 6000))
     assert ids(scan_transactions(spark, loaded)) == ["l1", "x1", "x2", "y1", "y3", "z1", "z3", "z5"]
     C.compact(spark, loaded, CLOSED)
-    C.vacuum_tables(spark, loaded)
     assert ids(scan_transactions(spark, loaded)) == ["l1", "x1", "x2", "y1", "y3", "z1", "z3", "z5"]
+    assert len(set(totals(spark, loaded))) == 1
 
 
-@pytest.mark.parametrize("vacuumed", [False, True])
-def test_a_merged_batch_that_runs_again_is_there_once(spark, loaded, tmp_path, vacuumed):
+def test_a_merged_batch_that_runs_again_is_there_once(spark, loaded, tmp_path):
     before = both(spark, loaded)
-    C.compact(spark, loaded, date(2025, 1, 1))
-    if vacuumed:
-        C.vacuum_tables(spark, loaded)
+    C.compact(spark, loaded, LATER)
     run(spark, loaded, tmp_path, "y", message("y1", 1, 7000), message("y3", 3))
     assert both(spark, loaded) == before
     # Corrected: another amount on day 1, no row on day 3 any more, one on day 2.
     run(spark, loaded, tmp_path, "y", message("y1", 1, 20), message("y2", 2))
-    assert ids(scan_transactions(spark, loaded)) == ["x1", "x2", "y1", "y2", "z1", "z3", "z5"]
-    assert ids(scan_anomalies(spark, loaded)) == ["x2"]
-    C.compact(spark, loaded, date(2025, 1, 1))
-    C.vacuum_tables(spark, loaded)
-    assert ids(scan_transactions(spark, loaded)) == ["x1", "x2", "y1", "y2", "z1", "z3", "z5"]
-    assert ids(scan_anomalies(spark, loaded)) == ["x2"]
+    expected = ["x1", "x2", "y1", "y2", "z1", "z3", "z5"]
+    for _ in range(2):
+        assert ids(scan_transactions(spark, loaded)) == expected
+        assert ids(scan_anomalies(spark, loaded)) == ["x2"]
+        assert len(set(totals(spark, loaded))) == 1
+        C.compact(spark, loaded, LATER)
+
+
+def test_a_merged_day_that_loses_its_only_batch_is_gone(spark, tables, tmp_path):
+    run(spark, tables, tmp_path, "x", message("x1", 1))
+    run(spark, tables, tmp_path, "y", message("y1", 1))
+    C.compact(spark, tables, CLOSED)
+    for batch in ("x", "y"):
+        run(spark, tables, tmp_path, batch, message(f"{batch}2", 2))
+    assert ids(scan_transactions(spark, tables)) == ["x2", "y2"]
+    assert {day for day, _ in partitions(spark, transactions_layout(tables))} == {date(2024, 1, 2)}
 
 
-@pytest.mark.parametrize("where", ["_write_merged", "put_manifest"])
-def test_a_merge_that_stops_half_way_changes_nothing(spark, loaded, monkeypatch, where):
+@pytest.mark.parametrize("where", ["insert", "drop"])
+@pytest.mark.parametrize("then", ["merge", "repeat"])
+def test_a_merge_that_stops_half_way_loses_nothing(spark, loaded, tmp_path, monkeypatch, where, then):
     before = both(spark, loaded)
-    plain = C._write_merged
 
-    def stop(*args):
-        if where == "_write_merged":
-            plain(*args)
+    def stop(*_):
         raise RuntimeError("stopped")
 
     with monkeypatch.context() as broken:
-        broken.setattr(C if where == "_write_merged" else M, where, stop)
+        broken.setattr(C, where, stop)
         with pytest.raises(RuntimeError):
             C.compact(spark, loaded, CLOSED)
-    assert both(spark, loaded) == before
-    C.vacuum_tables(spark, loaded)
-    assert both(spark, loaded) == before
+    assert set(both(spark, loaded)[0]) == set(before[0])
+    if where == "insert":
+        assert both(spark, loaded) == before
+    if then == "repeat":
+        run(spark, loaded, tmp_path, "y", message("y1", 1, 7000), message("y3", 3))
     C.compact(spark, loaded, CLOSED)
     assert both(spark, loaded) == before
 
 
-def test_two_merges_of_a_day_do_not_both_count(spark, loaded, monkeypatch):
-    before = both(spark, loaded)
-    plain = C._write_merged
-    table = transactions_layout(loaded)
+@pytest.mark.parametrize("corrected", [("y1", 1, 20), ("y2", 2, 20)])
+def test_a_batch_that_runs_again_during_a_merge_is_not_lost(spark, loaded, tmp_path, monkeypatch, corrected):
+    """Between the merge's write and its removal of what was merged."""
+    table, plain, done = transactions_layout(loaded), append.insert, []
+
+    def then_repeat(rows, of):
+        plain(rows, of)
+        if of == table and not done:
+            done.append(1)
+            run(spark, loaded, tmp_path, "y", message(*corrected))
+
+    with monkeypatch.context() as slow:
+        slow.setattr(C, "insert", then_repeat)
+        # The repeat finds merged days in the making and stops after it has written nothing, or comes through.
+        try:
+            C.merge_days(spark, table, CLOSED)
+        except RuntimeError as e:
+            assert "another run rewrites merged days" in str(e)
+    run(spark, loaded, tmp_path, "y", message(*corrected))
+    C.compact(spark, loaded, CLOSED)
+    assert ids(scan_transactions(spark, loaded)) == sorted(["x1", "x2", corrected[0], "z1", "z3", "z5"])
+
 
-    def other_first(*args):
-        name = plain(*args)
-        with monkeypatch.context() as again:
-            again.setattr(C, "_write_merged", plain)
-            C.merge_day(spark, table, date(2024, 1, 1))
-        return name
+def test_a_batch_written_anew_while_it_is_merged_keeps_its_rows(spark, loaded, tmp_path, monkeypatch):
+    """Between the merge's read and its write, when nothing is merged yet."""
+    table, plain, done = transactions_layout(loaded), append.insert, []
+
+    def repeat_before(rows, of):
+        if not done:
+            done.append(1)
+            rows.cache().count()
+            run(spark, loaded, tmp_path, "y", message("y1", 1, 20))
+        plain(rows, of)
 
     with monkeypatch.context() as slow:
-        slow.setattr(C, "_write_merged", other_first)
+        slow.setattr(C, "insert", repeat_before)
+        C.merge_days(spark, table, CLOSED)
+    assert ids(scan_transactions(spark, loaded)) == ["x1", "x2", "y1", "z1", "z3", "z5"]
+    amounts = {r.transaction_id: r.amount for r in scan_transactions(spark, loaded).collect()}
+    assert amounts["y1"] == 20
+
+
+def test_only_one_run_rewrites_merged_days(spark, loaded, tmp_path):
+    before = both(spark, loaded)
+    with append.exclusive(spark, transactions_layout(loaded)):
         with pytest.raises(RuntimeError, match="another run"):
-            C.merge_day(spark, table, date(2024, 1, 1))
-    assert both(spark, loaded) == before
+            C.compact(spark, loaded, CLOSED)
+        run(spark, loaded, tmp_path, "new", message("n1", 1))
+        assert len(both(spark, loaded)[0]) == len(before[0]) + 1
+    assert C.compact(spark, loaded, CLOSED) > 0
 
 
 def test_a_stream_goes_on_next_to_a_merge(spark, tables, tmp_path, monkeypatch):
@@ -132,16 +185,18 @@ def test_a_stream_goes_on_next_to_a_merge(spark, tables, tmp_path, monkeypatch):
     for n in range(2):
         put(raw, f"{n}.json", [message(f"s{n}", 1)])
         stream(spark, raw, tables, checkpoint)
-    plain = C._write_merged
+    plain, done = append.insert, []
 
-    def meanwhile(*args):
-        put(raw, "2.json", [message("s2", 1)])
-        stream(spark, raw, tables, checkpoint)
-        return plain(*args)
+    def meanwhile(rows, table):
+        if not done:
+            done.append(1)
+            put(raw, "2.json", [message("s2", 1)])
+            stream(spark, raw, tables, checkpoint)
+        plain(rows, table)
 
     with monkeypatch.context() as busy:
-        busy.setattr(C, "_write_merged", meanwhile)
-        assert C.compact(spark, tables, CLOSED) == 1
+        busy.setattr(C, "insert", meanwhile)
+        assert C.merge_days(spark, transactions_layout(tables), CLOSED) == 1
     assert ids(scan_transactions(spark, tables)) == ["s0", "s1", "s2"]
 
     # A micro-batch that fails between the sinks, is merged, and runs again.
@@ -155,6 +210,8 @@ def test_a_stream_goes_on_next_to_a_merge(spark, tables, tmp_path, monkeypatch):
         with pytest.raises(Exception, match="lost"):
             stream(spark, raw, tables, checkpoint)
     C.compact(spark, tables, CLOSED)
+    assert [b for _, b in partitions(spark, transactions_layout(tables))] == [MERGED]
     stream(spark, raw, tables, checkpoint)
     assert ids(scan_transactions(spark, tables)) == ["s0", "s1", "s2", "s3"]
     assert ids(scan_anomalies(spark, tables)) == ["s3"]
+    assert len(set(totals(spark, tables))) == 1

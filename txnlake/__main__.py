@@ -8,16 +8,19 @@ import logging
 
 from datetime import date, timedelta
 
+from pyspark.sql import functions as F
+
 from txnlake import settings
 from txnlake.functions.clock import utc_now
 from txnlake.operators import compact as merging
 from txnlake.operators.requests import publish_requests
-from txnlake.plans import reports, serving
+from txnlake.plans import reports, serving, summaries
 from txnlake.plans.batch import run_batch
+from txnlake.plans.sql_functions import register_functions
 from txnlake.session import build_session
 from txnlake.sources.lines import read_lines, stream_files, stream_kafka
 from txnlake.sources.tables import create_tables, register_views, scan_transactions
-from txnlake.streaming.job import run_stream
+from txnlake.streaming.job import await_end, run_stream
 
 REPORTS = {
     name: getattr(reports, name)
@@ -48,6 +51,7 @@ def parser() -> argparse.ArgumentParser:
     top.add_argument("--dataset", default=env.dataset, help="folder that holds both tables")
     top.add_argument("--transactions_table", default=env.transactions)
     top.add_argument("--anomalies_table", default=env.anomalies)
+    top.add_argument("--database", default=env.database, help="the tables' database in the catalog")
     commands = top.add_subparsers(dest="command", required=True)
 
     commands.add_parser("create-tables", help="make both tables, empty")
@@ -78,7 +82,6 @@ def parser() -> argparse.ArgumentParser:
 
     compact = commands.add_parser("compact", help="merge the batches of closed days")
     compact.add_argument("--before", type=date.fromisoformat, help="first day left alone (today)")
-    commands.add_parser("vacuum", help="remove what merges have replaced")
 
     publish = commands.add_parser("publish", help="turn request lines into messages, print ids")
     publish.add_argument("--input_path", required=True)
@@ -99,8 +102,11 @@ def parser() -> argparse.ArgumentParser:
 
     commands.add_parser("stats", help="print the overall figures")
 
-    sql = commands.add_parser("sql", help="print the result of a query over both tables by name")
+    sql = commands.add_parser("sql", help="print the result of a query over both tables and the reports by name")
     sql.add_argument("query")
+    sql.add_argument(
+        "--arg", action="append", default=[], metavar="NAME=LITERAL", help="a parameter, as in as_of=\"TIMESTAMP '2024-01-30'\""
+    )
     return top
 
 
@@ -117,14 +123,12 @@ def main(argv: list[str] | None = None) -> None:
     logging.basicConfig(level=logging.INFO)
     logging.getLogger("py4j").setLevel(logging.WARNING)
     spark = build_session(f"txnlake-{args.command}")
-    tables = settings.Tables(args.dataset, args.transactions_table, args.anomalies_table)
+    tables = settings.Tables(args.dataset, args.transactions_table, args.anomalies_table, args.database)
 
     if args.command == "create-tables":
         create_tables(spark, tables)
     elif args.command == "compact":
         print(json.dumps({"merges": merging.compact(spark, tables, args.before)}))
-    elif args.command == "vacuum":
-        merging.vacuum_tables(spark, tables)
     elif args.command == "batch":
         counts = run_batch(
             spark,
@@ -141,12 +145,9 @@ def main(argv: list[str] | None = None) -> None:
             options = {"max_offsets_per_trigger": args.max_per_trigger}
             lines = stream_kafka(spark, args.servers, args.input, **_given(options))
         else:
-            options = {
-                "max_files_per_trigger": args.max_per_trigger,
-                "archive_dir": args.archive_dir,
-            }
+            options = {"max_files_per_trigger": args.max_per_trigger}
             lines = stream_files(spark, args.input, **_given(options))
-        run_stream(
+        query = run_stream(
             lines,
             tables,
             args.checkpoint,
@@ -154,7 +155,9 @@ def main(argv: list[str] | None = None) -> None:
             rejects_path=args.rejects_path,
             available_now=args.available_now,
             interval=args.interval,
-        ).awaitTermination()
+            archive_dir=args.archive_dir,
+        )
+        await_end(query)
     else:
         if args.command == "report":
             first_day = utc_now().date() - timedelta(days=REPORT_DAYS[args.name])
@@ -173,9 +176,11 @@ def main(argv: list[str] | None = None) -> None:
             result = publish_requests(lines, args.sink, args.output, **servers)
         elif args.command == "sql":
             register_views(spark, tables)
-            result = spark.sql(args.query)
+            register_functions(spark, tables)
+            given = (x.partition("=") for x in args.arg)
+            result = spark.sql(args.query, args={name: F.expr(literal) for name, _, literal in given})
         else:
-            result = serving.stats(scan_transactions(spark, tables))
+            result = summaries.stats(spark, tables)
         # Reports are a handful of rows, reads are limited, other results come part by part.
         for row in serving.as_json(result).toLocalIterator():
             print(row.json)

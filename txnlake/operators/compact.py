@@ -1,112 +1,74 @@
-"""Merging the batches of closed days into few large files."""
+"""Merging the batches of closed days into few large files, by plain partition overwrite.
+
+A day's batches are read and inserted as the day's one merged partition; then
+their own partitions are dropped. Each row keeps the name of its batch, so a
+batch that runs again is taken out of the merged rows (`append`). Between the two
+steps, readers see the rows of these days twice, and so they do if a merge stops
+there, until the next one: a batch's own partition then counts, and its rows among
+the merged ones are replaced.
+
+New batches may arrive while days are merged. A batch that runs again meanwhile
+is noticed by its files: its partition stays, and its rows are taken out again.
+"""
 
 from __future__ import annotations
 
-import uuid
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from txnlake.functions.clock import utc_now
-from txnlake.schemas import BATCH, MERGED_FROM
-from txnlake.session import remove_dir, stored_micros
+from txnlake.operators.append import Partition, days_in, drop, exclusive, insert, merged_without
+from txnlake.schemas import BATCH, SOURCE
+from txnlake.session import hadoop_path
 from txnlake.settings import Tables
-from txnlake.sources import merged as M
-from txnlake.sources.tables import Layout, days_of, layouts
-
-
-def _write_merged(rows: DataFrame, table: Layout, day: date) -> str:
-    name = f"merged-{uuid.uuid4()}"
-    laid_out = rows.drop(table.day, BATCH).hint("rebalance", *table.cluster_by)
-    laid_out = laid_out.sortWithinPartitions(*table.cluster_by, "transaction_timestamp")
-    with stored_micros(rows.sparkSession):
-        laid_out.write.parquet(M.merged_folder(table.path, table.day, day, name))
-    return name
+from txnlake.sources.tables import MERGED, Layout, layouts, partition_path, partitions, scan
 
 
 def compact(spark: SparkSession, tables: Tables, before: date | None = None) -> int:
-    """Merge each day before `before` (default: today) that has several batches; number of merges."""
+    """Merge each day before `before` (default: today) that has several partitions; number of merges."""
     before = before or utc_now().date()
-    merges = 0
-    for table in layouts(tables):
-        found = M.manifests(spark, table.path)
-        for day in days_of(spark, table.path, table.day):
-            old = found.get(day, M.Manifest())
-            new = set(M.batches(spark, table.path, table.day, day)) - set(old.replaces)
-            if day < before and len(new) + bool(old.merged) > 1:
-                merges += merge_day(spark, table, day)
-    return merges
-
-
-def vacuum_tables(spark: SparkSession, tables: Tables) -> None:
-    for table in layouts(tables):
-        vacuum(spark, table)
-
-
-def merge_day(spark: SparkSession, table: Layout, day: date) -> bool:
-    """Merge the day's batches, and what was merged before, into one folder.
-
-    Nothing changes for readers until the new manifest is there; a merge that
-    stops before that leaves files which nobody reads and `vacuum` removes.
-    Batches that arrive meanwhile stay as they are. False if there was nothing
-    to merge.
-    """
-    path, day_column = table.path, table.day
-    before = M.manifests(spark, path).get(day, M.Manifest())
-    new = sorted(set(M.batches(spark, path, day_column, day)) - set(before.replaces))
-    if not new:
-        return False
-    folders = [f"{path}/{day_column}={day.isoformat()}/{BATCH}={b}" for b in new]
-    rows = spark.read.schema(table.schema).option("basePath", path).parquet(*folders)
-    rows = rows.withColumn(MERGED_FROM, F.col(BATCH))
-    if before.merged:
-        rows = rows.unionByName(_merged_rows(spark, table, day, before.merged))
-    name = _write_merged(rows, table, day)
-    M.put_manifest(spark, path, day, M.Manifest(before.number + 1, name, [*before.replaces, *new]))
-    return True
-
-
-def _merged_rows(spark: SparkSession, table: Layout, day: date, name: str) -> DataFrame:
-    full = T.StructType([*table.schema, T.StructField(MERGED_FROM, T.StringType())])
-    folder = M.merged_folder(table.path, table.day, day, name)
-    return spark.read.schema(full).option("basePath", M.data_home(table.path)).parquet(folder)
-
-
-def detach(spark: SparkSession, table: Layout, batch: str) -> None:
-    """Take a batch out of all merged days, so that its own folders count again.
-
-    For a batch that was written once more: its new folders are complete by now,
-    and each day switches from the merged rows to them at one moment.
-    """
-    for day, before in M.manifests(spark, table.path).items():
-        if batch not in before.replaces:
-            continue
-        rows = _merged_rows(spark, table, day, before.merged).filter(F.col(MERGED_FROM) != batch)
-        name = _write_merged(rows, table, day)
-        rest = [b for b in before.replaces if b != batch]
-        M.put_manifest(spark, table.path, day, M.Manifest(before.number + 1, name, rest))
-
-
-def vacuum(spark: SparkSession, table: Layout) -> None:
-    """Remove what no manifest that counts needs any more.
-
-    Run it when no merge is running and no reader is left that began before the
-    last one.
-    """
-    path, day_column = table.path, table.day
-    found = M.manifests(spark, path)
-    for day, manifest in found.items():
-        for batch in set(M.batches(spark, path, day_column, day)) & set(manifest.replaces):
-            remove_dir(spark, f"{path}/{day_column}={day.isoformat()}/{BATCH}={batch}")
-    for folder in M._names(spark, M.data_home(path)):
-        day = date.fromisoformat(folder.partition("=")[2])
-        current = found[day].merged if day in found else None
-        for name in M._names(spark, f"{M.data_home(path)}/{folder}"):
-            if name != f"{BATCH}={current}":
-                remove_dir(spark, f"{M.data_home(path)}/{folder}/{name}")
-    for name in M._names(spark, f"{path}/{M.HOME}/manifests"):
-        day, number, kind = (name.rsplit(".", 2) + ["", ""])[:3]
-        if kind != "json" or int(number) < found[date.fromisoformat(day)].number:
-            remove_dir(spark, f"{path}/{M.HOME}/manifests/{name}")
+    return sum(merge_days(spark, table, before) for table in layouts(tables))
+
+
+def _files(spark: SparkSession, table: Layout, which: list[Partition]) -> dict[Partition, set[str]]:
+    found = {}
+    for day, batch in which:
+        target, fs = hadoop_path(spark, partition_path(table, day, batch))
+        found[day, batch] = {x.getPath().getName() for x in fs.listStatus(target)} if fs.exists(target) else set()
+    return found
+
+
+def merge_days(spark: SparkSession, table: Layout, before: date) -> int:
+    """Merge the table's days before `before` in one job; the number of days merged."""
+    of_day: dict[date, list[str]] = {}
+    for day, batch in partitions(spark, table):
+        if day < before:
+            of_day.setdefault(day, []).append(batch)
+    of_day = {day: batches for day, batches in of_day.items() if len(batches) > 1}
+    if not of_day:
+        return 0
+    own = [(day, b) for day, batches in of_day.items() for b in batches if b != MERGED]
+    with exclusive(spark, table):
+        seen = _files(spark, table, own)
+        pairs = [f"{day.isoformat()}/{b}" for day, b in own]
+        days = [f"{day.isoformat()}/{MERGED}" for day, batches in of_day.items() if MERGED in batches]
+        rows = scan(spark, table).filter(F.concat_ws("/", table.day, BATCH).isin(pairs + days))
+        # A batch's own rows are newer than its merged ones.
+        rows = rows.filter((F.col(BATCH) != MERGED) | ~F.concat_ws("/", table.day, SOURCE).isin(pairs))
+        insert(rows.withColumn(BATCH, F.lit(MERGED)), table)
+        now = _files(spark, table, own)
+        changed = [p for p in own if now[p] != seen[p]]
+        drop(spark, table, [p for p in own if p not in changed])
+        if changed:
+            _take_out(spark, table, changed)
+    return len(of_day)
+
+
+def _take_out(spark: SparkSession, table: Layout, which: list[Partition]) -> None:
+    """Remove from merged days the rows of batches that have been written anew."""
+    rest = merged_without(spark, table, which)
+    left = days_in(rest, table)
+    insert(rest, table)
+    drop(spark, table, [(day, MERGED) for day in sorted({d for d, _ in which}) if day not in left])

@@ -37,6 +37,7 @@ def append_outputs(
     found = ingest.extract_anomalies(transactions, threshold, run_ts)
     append.append_transactions(transactions, tables, batch, may_repeat)
     append.append_anomalies(found, tables, batch, may_repeat)
+    append.append_summaries(transactions, tables, batch, may_repeat)
     if rejects_path:
         append.append_rejects(ingest.rejects(enriched), rejects_path, batch, may_repeat)
 

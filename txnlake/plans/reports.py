@@ -112,41 +112,25 @@ def _z_score(amount: Column) -> Column:
     return F.round((amount - F.col("avg_amount")) / spread, 2)
 
 
-def zscore_outliers(
-    transactions: DataFrame,
-    as_of: datetime | None = None,
-    scored_hours: int = 24,
-    limit: int | None = 50,
-) -> DataFrame:
-    """Recent transactions far from their user's 30-day mean, by rounded z-score.
-
-    One aggregation gives each user's figures and the extremes of the recent
-    amounts. The extremes tell which users have an outlier at all, and only those
-    take part in the join. With a `limit`, only users whose own extreme is among
-    the `limit` largest of all users do: each of these has a row at least that far
-    out, so a row of any other user cannot be among the first. Recent rows are
-    joined on user and salt, so that one user's rows spread over many tasks; the
-    few users left are repeated per salt. Both sides then arrive by a shuffle of
-    their own, which also lets adaptive execution split what is still too large,
-    or broadcast the users if their measured size allows.
+def extremes(recent: Column) -> list[Column]:
+    """Each user's highest and lowest amount, of the rows to be scored."""
+    amount = F.when(recent, F.col("amount"))
+    return [F.max(amount).alias("highest"), F.min(amount).alias("lowest")]
+
+
+def score(recent: DataFrame, users: DataFrame, limit: int | None) -> DataFrame:
+    """Recent rows far from their user's mean, by rounded z-score.
+
+    `users` has each user's tx_count, avg_amount and stddev_amount, and highest and
+    lowest of the recent amounts. The extremes tell which users have an outlier at
+    all, and only those take part in the join. With a `limit`, only users whose own
+    extreme is among the `limit` largest of all users do: each of these has a row at
+    least that far out, so a row of any other user cannot be among the first. Recent
+    rows are joined on user and salt, so that one user's rows spread over many tasks;
+    the few users left are repeated per salt. Both sides then arrive by a shuffle of
+    their own, which also lets adaptive execution split what is still too large, or
+    broadcast the users if their measured size allows.
     """
-    if not 0 < scored_hours <= 24 * HISTORY_DAYS:
-        raise ValueError("the scored span must lie within the history")
-    now = at(as_of)
-    amount = F.col("amount")
-    span_start = hours_before(now, scored_hours)
-    recent_amount = F.when(F.col("transaction_timestamp") >= span_start, amount)
-    users = (
-        since(transactions, days_before(now, HISTORY_DAYS))
-        .groupBy("user_id")
-        .agg(
-            F.avg(amount).alias("avg_amount"),
-            F.stddev_samp(amount).alias("stddev_amount"),
-            F.count("*").alias("tx_count"),
-            F.max(recent_amount).alias("highest"),
-            F.min(recent_amount).alias("lowest"),
-        )
-    )
     # Rounding keeps order, so the extremes decide. Spark orders NaN above all numbers.
     has_outlier = (
         (F.col("tx_count") >= MIN_HISTORY)
@@ -167,10 +151,9 @@ def zscore_outliers(
         F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"),
     )
     scored = (
-        since(transactions, span_start)
-        .withColumn("salt", F.pmod(F.xxhash64("transaction_id"), F.lit(SALTS)).cast("int"))
+        recent.withColumn("salt", F.pmod(F.xxhash64("transaction_id"), F.lit(SALTS)).cast("int"))
         .join(suspects, ["user_id", "salt"])
-        .withColumn("z_score", _z_score(amount))
+        .withColumn("z_score", _z_score(F.col("amount")))
         .filter(F.abs("z_score") > Z_LIMIT)
         .select(
             "transaction_id", "user_id", "amount", "transaction_timestamp", "country", "z_score"
@@ -178,3 +161,31 @@ def zscore_outliers(
         .orderBy(F.abs("z_score").desc(), "transaction_id")
     )
     return scored if limit is None else scored.limit(limit)
+
+
+def checked_span(scored_hours: int) -> int:
+    if not 0 < scored_hours <= 24 * HISTORY_DAYS:
+        raise ValueError("the scored span must lie within the history")
+    return scored_hours
+
+
+def zscore_outliers(
+    transactions: DataFrame,
+    as_of: datetime | None = None,
+    scored_hours: int = 24,
+    limit: int | None = 50,
+) -> DataFrame:
+    """Recent transactions far from their user's 30-day mean: one aggregation over the history, then `score`."""
+    now = at(as_of)
+    span_start = hours_before(now, checked_span(scored_hours))
+    users = (
+        since(transactions, days_before(now, HISTORY_DAYS))
+        .groupBy("user_id")
+        .agg(
+            F.avg("amount").alias("avg_amount"),
+            F.stddev_samp("amount").alias("stddev_amount"),
+            F.count("*").alias("tx_count"),
+            *extremes(F.col("transaction_timestamp") >= span_start),
+        )
+    )
+    return score(since(transactions, span_start), users, limit)

@@ -9,9 +9,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txnlake.functions.text import json_row
-from txnlake.schemas import ANOMALIES, DAY, DETECTED_DAY, TRANSACTIONS
+from txnlake.schemas import ANOMALIES, TRANSACTIONS
 from txnlake.settings import Tables
-from txnlake.sources.tables import days_of, scan_anomalies, scan_transactions
+from txnlake.sources.tables import (
+    anomalies_layout,
+    days_of,
+    scan_anomalies,
+    scan_transactions,
+    transactions_layout,
+)
 
 # The limits of the reads, and the result columns below.
 DEFAULT_LIMIT = 50
@@ -79,20 +85,24 @@ def newest_transactions(
     user_id: str | None = None,
     transaction_type: str | None = None,
 ) -> DataFrame:
-    """`recent_transactions` of the table, from as few of its days as hold enough rows."""
+    """`recent_transactions` of the table, from as few of its days as hold enough rows.
+
+    Looking for a user's rows, row groups without the user are skipped by their
+    Bloom filters, so days on which there are none cost their files' footers.
+    """
     _checked(limit)
 
     def scan(first: date | None, last: date | None) -> DataFrame:
         return _matching(scan_transactions(spark, tables, first, last), user_id, transaction_type)
 
-    days = days_of(spark, tables.transactions_path, DAY)
+    days = days_of(spark, transactions_layout(tables))
     return recent_transactions(_from_newest_days(days, scan, limit), limit)
 
 
 def newest_anomalies(spark: SparkSession, tables: Tables, limit: int = DEFAULT_LIMIT) -> DataFrame:
     """`recent_anomalies` of the table, from as few of its days as hold enough rows."""
     _checked(limit)
-    days = days_of(spark, tables.anomalies_path, DETECTED_DAY)
+    days = days_of(spark, anomalies_layout(tables))
     rows = _from_newest_days(days, lambda a, b: scan_anomalies(spark, tables, a, b), limit)
     return recent_anomalies(rows, limit)
 

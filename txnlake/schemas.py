@@ -62,7 +62,31 @@ PAYLOAD = T.StructType([f for f in TRANSACTIONS if f.name not in STAMPED])
 DAY = "transaction_date"
 DETECTED_DAY = "detected_date"
 BATCH = "ingest_batch"
-MERGED_FROM = "merged_from"
+SOURCE = "source_batch"  # the batch that wrote a row, also where batches are merged
+
+# Summaries of transactions: what adds up by hour and group, and by user and day.
+BY_HOUR = T.StructType(
+    [
+        T.StructField("hour", T.TimestampType()),
+        T.StructField("country", T.StringType()),
+        T.StructField("transaction_type", T.StringType()),
+        T.StructField("status", T.StringType()),
+        T.StructField("n", T.LongType()),
+        T.StructField("total", T.DoubleType()),
+        T.StructField("n_anomalies", T.LongType()),
+    ]
+)
+BY_USER = T.StructType(
+    [
+        T.StructField("user_id", T.StringType()),
+        T.StructField("n", T.LongType()),
+        T.StructField("mean", T.DoubleType()),
+        T.StructField("m2", T.DoubleType()),  # sum of squared distances from the mean
+        T.StructField("total", T.DoubleType()),
+        T.StructField("highest", T.DoubleType()),
+        T.StructField("n_anomalies", T.LongType()),
+    ]
+)
 
 REJECTS = T.StructType(
     [

@@ -61,15 +61,24 @@ def work_dir(spark: SparkSession, purpose: str) -> str:
 
 
 @contextmanager
-def stored_micros(spark: SparkSession) -> Iterator[None]:
-    """Store timestamps as the type that Parquet can skip by, whoever made the session."""
-    key = "spark.sql.parquet.outputTimestampType"
-    before = spark.conf.get(key)
-    spark.conf.set(key, SETTINGS[key])
+def table_writes(spark: SparkSession) -> Iterator[None]:
+    """What a write into the tables relies on, whoever made the session.
+
+    Timestamps are of the type that Parquet can skip by, and an overwrite replaces
+    the partitions that it has rows for, and no others.
+    """
+    wanted = {
+        "spark.sql.parquet.outputTimestampType": SETTINGS["spark.sql.parquet.outputTimestampType"],
+        "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    }
+    before = {key: spark.conf.get(key) for key in wanted}
+    for key, value in wanted.items():
+        spark.conf.set(key, value)
     try:
         yield
     finally:
-        spark.conf.set(key, before)
+        for key, value in before.items():
+            spark.conf.set(key, value)
 
 
 def hadoop_path(spark: SparkSession, path: str):

@@ -1,99 +1,168 @@
-"""Creating and scanning the two tables."""
+"""The tables in Spark's catalog: declaring, finding and scanning them.
+
+Each table is a Parquet table of the session catalog, partitioned by day and
+batch, in a folder of the dataset. A catalog that is kept (a metastore) knows it
+from then on, also for other programs. In a session whose catalog is not kept, the
+first use declares the table again from its folder and recovers its partitions.
+"""
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from datetime import date
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from txnlake.schemas import ANOMALIES, BATCH, DAY, DETECTED_DAY, TRANSACTIONS
+from txnlake.schemas import ANOMALIES, BATCH, BY_HOUR, BY_USER, DAY, DETECTED_DAY, SOURCE, TRANSACTIONS
 from txnlake.session import hadoop_path, require_utc
 from txnlake.settings import Tables
-from txnlake.sources import merged
-
-_BATCH = T.StructField(BATCH, T.StringType())
-_STORED_TRANSACTIONS = T.StructType([*TRANSACTIONS, T.StructField(DAY, T.DateType()), _BATCH])
-_STORED_ANOMALIES = T.StructType([*ANOMALIES, T.StructField(DETECTED_DAY, T.DateType()), _BATCH])
-
 
 # What files are clustered by besides time.
 CLUSTER_BY = ("transaction_type", "status")
+#: The partition of a day that holds its merged batches. No batch can have this name.
+MERGED = "~merged"
+
+# A Bloom filter per row group says which users are not in it. It has a place for so many users.
+USERS_PER_ROW_GROUP = 100_000
+USER_FILTER = {
+    "parquet.bloom.filter.enabled#user_id": "true",
+    "parquet.bloom.filter.expected.ndv#user_id": str(USERS_PER_ROW_GROUP),
+}
 
 
 @dataclass(frozen=True)
 class Layout:
-    """How a table lies in its folder: by day and batch."""
+    """A table: its name in the catalog, its folder, its own columns, its day column, what it is sorted by."""
 
+    name: str
     path: str
-    schema: T.StructType
+    columns: T.StructType
     day: str
     cluster_by: tuple[str, ...] = ()
+    options: dict[str, str] = field(default_factory=dict)
+
+    @property
+    def stored(self) -> list[str]:
+        """All columns in the order of the table."""
+        return [*self.columns.names, SOURCE, self.day, BATCH]
 
 
 def transactions_layout(tables: Tables) -> Layout:
-    return Layout(tables.transactions_path, _STORED_TRANSACTIONS, DAY, CLUSTER_BY)
+    name = tables.transactions
+    sort = (*CLUSTER_BY, "transaction_timestamp")
+    return Layout(tables.name(name), tables.path(name), TRANSACTIONS, DAY, sort, USER_FILTER)
 
 
 def anomalies_layout(tables: Tables) -> Layout:
-    return Layout(tables.anomalies_path, _STORED_ANOMALIES, DETECTED_DAY)
+    name = tables.anomalies
+    sort = ("transaction_timestamp",)
+    return Layout(tables.name(name), tables.path(name), ANOMALIES, DETECTED_DAY, sort, USER_FILTER)
+
+
+def by_hour_layout(tables: Tables) -> Layout:
+    name = tables.by_hour
+    return Layout(tables.name(name), tables.path(name), BY_HOUR, DAY, ("hour",))
+
+
+def by_user_layout(tables: Tables) -> Layout:
+    name = tables.by_user
+    return Layout(tables.name(name), tables.path(name), BY_USER, DAY, ("user_id",))
 
 
 def layouts(tables: Tables) -> list[Layout]:
-    return [transactions_layout(tables), anomalies_layout(tables)]
+    return [make(tables) for make in (transactions_layout, anomalies_layout, by_hour_layout, by_user_layout)]
 
 
 class TableNotFound(LookupError):
     pass
 
 
+def _text(value: str) -> str:
+    """A string in SQL."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _declare(spark: SparkSession, table: Layout) -> None:
+    columns = [*table.columns, *[T.StructField(n, T.StringType()) for n in (SOURCE, BATCH)], T.StructField(table.day, T.DateType())]
+    types = {f.name: f.dataType.simpleString() for f in columns}
+    options = ", ".join(f"{_text(k)}={_text(v)}" for k, v in table.options.items())
+    target, fs = hadoop_path(spark, table.path)
+    database = table.name.partition(".")[0]
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    spark.sql(
+        f"""CREATE TABLE {table.name} ({", ".join(f"{n} {types[n]}" for n in table.stored)}) USING parquet
+        {f"OPTIONS ({options})" if options else ""} PARTITIONED BY ({table.day}, {BATCH})
+        LOCATION {_text(fs.makeQualified(target).toString())}"""
+    )
+
+
+def attach(spark: SparkSession, table: Layout) -> None:
+    """Make sure that the session's catalog knows a table that was created earlier."""
+    if spark.catalog.tableExists(table.name):
+        return
+    target, fs = hadoop_path(spark, table.path)
+    if not fs.exists(target):
+        raise TableNotFound(f"no table at {table.path}; create it first")
+    _declare(spark, table)
+    spark.sql(f"ALTER TABLE {table.name} RECOVER PARTITIONS")
+
+
 def create_tables(spark: SparkSession, tables: Tables) -> None:
-    """Make both tables, empty. Fails, and makes none, if one is there already."""
+    """Make the tables, empty. Fails, and makes none, if one is there already."""
     for table in layouts(tables):
         target, fs = hadoop_path(spark, table.path)
-        if fs.exists(target):
+        if fs.exists(target) or spark.catalog.tableExists(table.name):
             raise FileExistsError(f"{table.path} already exists")
     for table in layouts(tables):
-        empty = spark.createDataFrame([], table.schema)
-        empty.write.partitionBy(table.day, BATCH).parquet(table.path)
+        target, fs = hadoop_path(spark, table.path)
+        fs.mkdirs(target)
+        _declare(spark, table)
+
+
+def refresh_tables(spark: SparkSession, tables: Tables) -> None:
+    """Learn what other programs wrote, in a session whose catalog they do not share."""
+    for table in layouts(tables):
+        attach(spark, table)
+        spark.sql(f"MSCK REPAIR TABLE {table.name} SYNC PARTITIONS")
 
 
-def days_of(spark: SparkSession, path: str, day: str) -> list[date]:
-    """The days that a table has folders for, from one listing of its top level."""
-    target, fs = hadoop_path(spark, path)
-    if not fs.exists(target):
-        raise TableNotFound(f"no table at {path}; create it first")
-    names = [x.getPath().getName() for x in fs.listStatus(target)]
-    return sorted(date.fromisoformat(n.partition("=")[2]) for n in names if n.startswith(f"{day}="))
+def require_tables(spark: SparkSession, tables: Tables) -> None:
+    for table in layouts(tables):
+        attach(spark, table)
 
 
-def _scan(
-    spark: SparkSession, table: Layout, first_day: date | None, last_day: date | None
-) -> DataFrame:
-    """The table, or its folders of some days; other folders are not even listed."""
+def partitions(spark: SparkSession, table: Layout, batch: str | None = None) -> list[tuple[date, str]]:
+    """Day and batch of each partition, or of those of one batch, as the catalog has them."""
+    attach(spark, table)
+    of = f" PARTITION ({BATCH}={_text(batch)})" if batch else ""
+    found = []
+    for row in spark.sql(f"SHOW PARTITIONS {table.name}{of}").collect():  # a row per folder
+        day, _, name = row[0].partition("/")
+        found.append((date.fromisoformat(day.partition("=")[2]), name.partition("=")[2]))
+    return sorted(found)
+
+
+def partition_path(table: Layout, day: date, batch: str) -> str:
+    return f"{table.path}/{table.day}={day.isoformat()}/{BATCH}={batch}"
+
+
+def days_of(spark: SparkSession, table: Layout) -> list[date]:
+    return sorted({day for day, _ in partitions(spark, table)})
+
+
+def scan(spark: SparkSession, table: Layout, first_day: date | None = None, last_day: date | None = None) -> DataFrame:
+    """The table with all its stored columns, or some days of it; the folders of other days are not even listed."""
     require_utc(spark)
-    found = merged.manifests(spark, table.path)
-    if first_day is None and last_day is None and not found:
-        try:
-            return spark.read.schema(table.schema).parquet(table.path)
-        except AnalysisException as e:
-            if e.getCondition() == "PATH_NOT_FOUND":
-                raise TableNotFound(f"no table at {table.path}; create it first") from e
-            raise
-    wanted = [
-        d
-        for d in sorted({*days_of(spark, table.path, table.day), *found})
-        if (first_day is None or d >= first_day) and (last_day is None or d <= last_day)
-    ]
-    own, whole_days = merged.folders(spark, table.path, table.day, wanted, found)
-    rows = spark.createDataFrame([], table.schema) if not own and not whole_days else None
-    for base, paths in ((table.path, own), (merged.data_home(table.path), whole_days)):
-        if paths:
-            part = spark.read.schema(table.schema).option("basePath", base).parquet(*paths)
-            rows = part if rows is None else rows.unionByName(part)
+    attach(spark, table)
+    # Another session of this application, such as a stream's, may have written since.
+    spark.catalog.refreshTable(table.name)
+    rows = spark.table(table.name)
+    if first_day is not None:
+        rows = rows.filter(F.col(table.day) >= F.lit(first_day))
+    if last_day is not None:
+        rows = rows.filter(F.col(table.day) <= F.lit(last_day))
     return rows
 
 
@@ -103,11 +172,8 @@ def scan_transactions(
     first_day: date | None = None,
     last_day: date | None = None,
 ) -> DataFrame:
-    """The 12 table columns and the day partition, which `since` and `recent` prune by.
-
-    With `first_day` or `last_day` only the folders of those days are listed.
-    """
-    return _scan(spark, transactions_layout(tables), first_day, last_day).drop(BATCH)
+    """The 12 table columns and the day partition, which `since` and `recent` prune by."""
+    return scan(spark, transactions_layout(tables), first_day, last_day).drop(SOURCE, BATCH)
 
 
 def scan_anomalies(
@@ -116,23 +182,16 @@ def scan_anomalies(
     first_day: date | None = None,
     last_day: date | None = None,
 ) -> DataFrame:
-    found = _scan(spark, anomalies_layout(tables), first_day, last_day)
-    return found.drop(BATCH, DETECTED_DAY)
+    found = scan(spark, anomalies_layout(tables), first_day, last_day)
+    return found.drop(SOURCE, BATCH, DETECTED_DAY)
 
 
 def register_views(spark: SparkSession, tables: Tables) -> None:
-    """Make both tables known by name to SQL in this session, as they are now."""
+    """Make both tables known by their short names to SQL in this session, without the storage columns."""
     scan_transactions(spark, tables).createOrReplaceTempView(tables.transactions)
     scan_anomalies(spark, tables).createOrReplaceTempView(tables.anomalies)
 
 
-def require_tables(spark: SparkSession, tables: Tables) -> None:
-    for path in (tables.transactions_path, tables.anomalies_path):
-        target, fs = hadoop_path(spark, path)
-        if not fs.exists(target):
-            raise TableNotFound(f"no table at {path}; create it first")
-
-
 def since(transactions: DataFrame, start: Column) -> DataFrame:
     """Rows from `start` on. The day predicate is what prunes partitions."""
     require_utc(transactions.sparkSession)
