@@ -11,7 +11,7 @@ TAG = "SPDX-License-Identifier:"
 
 
 def test_operands_behind_the_thousandth_character_count(spark):
-    names = [f"Name-{i}" for i in range(300)]
+    names = [f"LicenseRef-{i}" for i in range(300)]
     chain = " AND ".join(["MIT", *names, "GPL-3.0-only"])
     broken = "MIT OR " + "ISC OR " * 141 + "Apache-2.0"
     rows = [(1, f"// {TAG} {chain}"), (2, f"{TAG} ({chain.replace(' AND ', ' OR ')}) AND BSD-3-Clause\nrest"), (3, f"{TAG} {broken}")]
@@ -32,8 +32,8 @@ def test_parentheses_run_over_line_ends():
 def test_long_expressions_take_linear_time():
     n = 100_000
     start = time.process_time()
-    assert len(op5.scan(f"{TAG} " + " OR ".join(f"n{i}" for i in range(n)))[3]) == n
+    assert len(op5.scan(f"{TAG} " + " OR ".join(f"LicenseRef-{i}" for i in range(n)))[3]) == n
     assert op5.scan(f"{TAG} " + "(" * n + "MIT" + ")" * n)[3] == ["mit"]
-    assert len(op5.scan(f"{TAG} " + "".join(f"(n{i} OR " for i in range(n)) + "MIT" + ")" * n)[3]) == n + 1
+    assert len(op5.scan(f"{TAG} " + "".join(f"(LicenseRef-{i} OR " for i in range(n)) + "MIT" + ")" * n)[3]) == n + 1
     assert op5.scan(f"{TAG} (MIT " * 20_000)[3] == []
     assert time.process_time() - start < 20

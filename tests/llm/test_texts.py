@@ -134,7 +134,24 @@ def test_base_phrases(spark, clash):
         ("MIT OR Apache-2.0 AND GPL-2.0", {"mit", "apache", "gpl"}, 1),
         ("(MIT OR Apache-2.0) AND GPL-2.0", {"mit", "apache", "gpl"}, 3),
         ("GPL-2.0 WITH Classpath-exception-2.0 and mit", {"gpl", "mit"}, 2),
-        ("Odd-Id", {"odd-id"}, 3),
+        ("LicenseRef-Odd-Id", {"licenseref-odd-id"}, 3),
+        ("DocumentRef-a.b:LicenseRef-c OR MIT", {"documentref-a.b:licenseref-c", "mit"}, 1),
+        ("MIT OR Odd-Id", {"mit"}, 1),
+        ("MIT AND Odd-Id", {"mit"}, 3),
+        ("GPL-2.0-only WITH unheard-of-exception", {"gpl"}, 3),
+        ("GPL-2.0+ WITH GCC-exception-2.0 OR GPL-2.0", {"gpl"}, 2),
+        ("GPL-2.0-with-classpath-exception", {"gpl"}, 2),
+        ("GPLv3 AND LGPL-2.1+ AND AGPL-3.0-or-later", {"gpl", "lgpl", "agpl"}, 3),
+        ("Apache-2.0+ OR BSD-3-Clause-LBNL OR 0BSD", {"apache", "bsd", "0bsd"}, 0),
+        ("CC-BY-NC-SA-4.0", {"cc-by-nc-sa"}, 3),
+        ("CC-BY-NC-ND-3.0-IGO AND CC-BY-SA-2.5 AND CC-BY-3.0-US", {"cc-by-nc-nd", "cc-by-sa", "cc-by"}, 3),
+        ("CC0-1.0 OR Unlicense", {"public-domain"}, 0),
+        ("MITRE", set(), 3),
+        ("iscsi", set(), 3),
+        ("mplus", set(), 3),
+        ("Unlicensed", set(), 3),
+        ("see file", set(), 3),
+        ("GPL-2.0-onlyx", set(), 3),
         ("MIT OR", {"mit"}, 1),
         ("(MIT", set(), 0),
         (") MIT", set(), 0),
@@ -152,6 +169,44 @@ def test_tags_add_labels():
     assert op5.scan("All rights reserved.")[3] == ["all-rights-reserved"]
 
 
+NAMES = ["MIT", "GPL-2.0-only", "Apache-2.0", "CC-BY-SA-4.0", "LicenseRef-x.y", "see", "MITRE", "ISC", "LGPL-2.1+"]
+LABELS = ["mit", "gpl", "apache", "cc-by-sa", "licenseref-x.y", None, None, "isc", "lgpl"]
+
+
+def expression(rng, depth=3):
+    """An expression and the labels in it."""
+    kind = rng.random()
+    if depth == 0 or kind < 0.3:
+        k = rng.randrange(len(NAMES))
+        return NAMES[k], {LABELS[k]} - {None}
+    if kind < 0.4:
+        k = rng.randrange(5)
+        return f"{NAMES[k]} WITH {rng.choice(['LLVM-exception', 'other-one'])}", {LABELS[k]}
+    (a, x), (b, y) = expression(rng, depth - 1), expression(rng, depth - 1)
+    return (f"({a} {rng.choice(['OR', 'and'])} {b})" if kind < 0.7 else f"{a} {rng.choice(['or', 'AND'])} {b}"), x | y
+
+
+def test_whole_labels(spark):
+    """The column of all labels by plain searches: phrases word by word, tags by how they were made."""
+    rng = random.Random(6)
+    phrases = [*op5.BASE.items(), *op5.NOTICES.items()]
+    filler = ["Lorem", "license", "public", "domain", "cc", "by", "nc", "the", "MIT", "gnu"]
+    rows, want = [], {}
+    for i in range(200):
+        tags, labels = [], set()
+        for _ in range(rng.randrange(3)):
+            text, found = expression(rng)
+            tags.append(f"// SPDX-License-Identifier: {text}\n")
+            labels |= found
+        notice = [rng.choice(phrases)[0].title()] if rng.random() < 0.3 else []
+        text = " ".join(rng.choices(filler, k=rng.randrange(30)) + notice) + "\n" + "".join(tags)
+        words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", text.lower())
+        joined = " " + " ".join(words) + " "
+        want[i] = ",".join(sorted(labels | {label for phrase, label in phrases if f" {phrase} " in joined}))
+        rows.append((i, text))
+    assert {r.doc_id: r.labels for r in op5.license_scan(frame(spark, rows)).collect()} == want
+
+
 # Personal data --------------------------------------------------------------
 
 PLAIN = {
