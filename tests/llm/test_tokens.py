@@ -51,6 +51,20 @@ def test_bpe_is_the_librarys_and_decodes_to_the_text(spark, sizes):
     assert sorted_rows(decoded) == sorted([(i, bytearray((t or "").encode())) for i, t in rows], key=repr)
 
 
+def test_both_sides_of_a_cut_are_encoded_alone():
+    """Also without a space between words."""
+    tokens, n = op4.encoding(op4.RANKS), 0
+    pool = ["日", "本", "語", "。", "、", "ア", "한", "a", "B", "é", "1", "２", "'", "'s", "'ll", "!", "-", " ", "\n", "\t", "\u3000", "\x85", "\u0301"]
+    for _ in range(1500):
+        text = "".join(rng.choices(pool, k=rng.randint(2, 14)))
+        for cut in op4.stable_cuts(text, 0, True, (0, len(text))):
+            n += 1
+            assert tokens.encode_ordinary(text[:cut]) + tokens.encode_ordinary(text[cut:]) == tokens.encode_ordinary(text), (text, cut)
+    assert n > 3000
+    chinese = "".join(rng.choice("日本語文章漢字") + ("。" if k % 9 == 8 else "") for k in range(5000))
+    assert len(op4.stable_cuts(chinese, 0, True, (0, len(chinese)))) > 1000
+
+
 def test_cuts_fall_between_pre_tokens():
     text = LONG[0][1][:900]
     ends = {m.end() for m in op4._pre_tokens().finditer(text)}

@@ -3,8 +3,8 @@
 A text of up to CHUNK characters is encoded where it is read. A longer one is
 cut into overlapping chunks that are pre-tokenised in parallel and stitched at
 boundaries that neighbours agree on; then the pieces between are encoded and
-joined by document. A text without a common boundary in some overlap is encoded
-in one piece. Decoding concatenates the bytes of the ids.
+joined by document. A text without a common boundary in some overlap (a run of
+one kind of characters longer than that) is encoded in one piece. Decoding concatenates the bytes of the ids.
 
 Defined results: a null text counts as empty and has no ids; special tokens are
 ordinary text. Repeated rows each give a row. An empty table gives no rows.
@@ -15,8 +15,9 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import unicodedata
 from collections.abc import Iterator
-from functools import cache
+from functools import cache, lru_cache
 
 import numpy as np
 import public_tokenizers
@@ -45,12 +46,31 @@ def _pre_tokens() -> regex.Pattern:
     return regex.compile(public_tokenizers.PATTERN)
 
 
+def _kind(c: str) -> str | None:
+    """L, N, or P for all others; S for the spaces of ASCII; None outside scripts whose kinds are settled."""
+    if c in " \t\n\r":
+        return "S"
+    if not ("!" <= c < "\u0370" or "\u3001" <= c < "\ua000" or "\uac00" <= c < "\ud7a4" or "\uff01" <= c < "\uff61"):
+        return None
+    own = unicodedata.category(c)
+    return own[0] if own[0] in "LN" else None if own in ("Cn", "Zs", "Zl", "Zp", "Cc") else "P"
+
+
+@lru_cache(maxsize=1 << 16)
+def _changes(a: str, b: str) -> bool:
+    """Whether there is a boundary between two characters wherever they meet."""
+    before, after = _kind(a), _kind(b)
+    return before not in (None, "S", after) and after is not None and (a != "'" or after == "S")
+
+
 def stable_cuts(body: str, start: int, last: bool, within: tuple[int, int]) -> list[int]:
-    """Pre-token boundaries between an ASCII non-space and an ASCII space.
+    """Pre-token boundaries that no other text around them could move.
 
-    No pre-token holds a space after another character, so what stands on either
-    side of such a boundary is encoded alike without the other. A match at the
-    end of a chunk may go on behind it and gives no boundary.
+    A pre-token is of one kind of characters (letters, numbers, others), but for a
+    space in front and for letters behind an apostrophe. So where one kind follows
+    another, or a space follows any, what stands on either side is encoded alike
+    without the other. A match at the end of a chunk may go on behind it and gives
+    no boundary.
     """
     found = []
     for match in _pre_tokens().finditer(body):
@@ -58,7 +78,7 @@ def stable_cuts(body: str, start: int, last: bool, within: tuple[int, int]) -> l
         if end == len(body) and not last:
             break
         if any(a <= end < b for a, b in (within, (0, chunks.OVERLAP))) and end < len(body):
-            if body[end] in " \n\t\r" and "!" <= body[end - 1] <= "~":
+            if _changes(body[end - 1], body[end]):
                 found.append(start + end)
     return found
 
@@ -114,13 +134,17 @@ def encode(docs: DataFrame, ranks: str = RANKS) -> DataFrame:
     return short.unionByName(long.select("uid", "doc_id").join(ids, "uid").select("doc_id", "ids"))
 
 
+def decoded_bytes(tokens: tiktoken.Encoding, ids: pa.ListScalar) -> bytes:
+    return tokens.decode_bytes(ids.values.to_pylist())
+
+
 def decode(rows: DataFrame, ranks: str = RANKS) -> DataFrame:
     """doc_id and decoded: the bytes that the ids stand for."""
 
     def decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = encoding(ranks)
         for batch in batches:
-            texts = [tokens.decode_bytes(ids.values.to_pylist()) for ids in batch.column(1)]
+            texts = [decoded_bytes(tokens, ids) for ids in batch.column(1)]
             columns = [batch.column(0), pa.array(texts, pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "decoded"])
 
@@ -135,9 +159,8 @@ def digests(encoded: DataFrame, ranks: str = RANKS) -> DataFrame:
         for batch in batches:
             out = []
             for ids in batch.column(1):
-                ids = ids.values.to_numpy()
-                of_ids = hashlib.sha256(ids.astype("<u4").tobytes()).hexdigest()
-                of_text = hashlib.sha256(tokens.decode_bytes(ids.tolist())).hexdigest()
+                of_ids = hashlib.sha256(ids.values.to_numpy().astype("<u4").tobytes()).hexdigest()
+                of_text = hashlib.sha256(decoded_bytes(tokens, ids)).hexdigest()
                 out.append((len(ids), of_ids, of_text))
             lengths, a, b = zip(*out, strict=True) if out else ((), (), ())
             yield pa.RecordBatch.from_arrays(
