@@ -2,22 +2,30 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from txnlake.llm.common import stored
 
 
+def _with_least(edges: DataFrame) -> DataFrame:
+    """Adds m, the smallest neighbour of u.
+
+    The minima are aggregated by task first and stored, so that the edges of a node
+    with very many meet them in a plain join, which adaptive execution splits.
+    """
+    least = stored(edges.groupBy("u").agg(F.min("v").alias("m")), "least-neighbours")
+    return edges.join(least, "u")
+
+
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = F.least(F.min("v").over(Window.partitionBy("u")), F.col("u"))
-    larger = both.withColumn("m", least).filter("v > u")
+    larger = _with_least(both).withColumn("m", F.least("m", "u")).filter("v > u")
     return larger.select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
-    least = F.min("v").over(Window.partitionBy("u"))
-    rows = edges.withColumn("m", least)
+    rows = _with_least(edges)
     # Each edge goes to the smallest neighbour: the node itself, and its other neighbours.
     ends = F.explode(F.array("u", "v")).alias("u")
     return rows.select(ends, F.col("m").alias("v")).filter("u <> v").distinct()
@@ -33,7 +41,7 @@ def components(links: DataFrame) -> DataFrame:
     edges = stored(ordered.filter("u <> v").distinct(), "links")
     seen = None
     while True:
-        edges = stored(_small_star(_large_star(edges)), "stars")
+        edges = stored(_small_star(stored(_large_star(edges), "large-stars")), "stars")
         now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == seen:
             return edges
