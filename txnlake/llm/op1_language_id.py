@@ -7,7 +7,9 @@ labels spans. A text's language is the one with most letters in its spans.
 
 Defined results: a null text, and one without letters, is `und` with score 0 and
 no spans, and so is every text if nothing was learned. Rows without a language
-teach nothing. Repeated rows each give a row. An empty table gives no rows.
+teach nothing. Of languages with equally many letters, and of equal paths, the
+first by name counts. A very long text is a portion of its own, and takes memory
+for its words. Repeated rows each give a row. An empty table gives no rows.
 Columns other than id, text and lang are not looked at; id and lang decide only
 what is learned from.
 """
