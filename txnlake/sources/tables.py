@@ -90,7 +90,9 @@ def _declare(spark: SparkSession, table: Layout) -> None:
     options = ", ".join(f"{_text(k)}={_text(v)}" for k, v in table.options.items())
     target, fs = hadoop_path(spark, table.path)
     database = table.name.partition(".")[0]
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    # Its own folder, which goes when the database is dropped, holds none of the tables.
+    own, _ = hadoop_path(spark, f"{target.getParent()}/_database")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION {_text(fs.makeQualified(own).toString())}")
     spark.sql(
         f"""CREATE TABLE {table.name} ({", ".join(f"{n} {types[n]}" for n in table.stored)}) USING parquet
         {f"OPTIONS ({options})" if options else ""} PARTITIONED BY ({table.day}, {BATCH})
