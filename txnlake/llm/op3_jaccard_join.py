@@ -17,7 +17,8 @@ that cannot link, and pairs inside one component change nothing.
 Defined results: documents without words, and null texts, have no shingles and
 link with nothing; fewer than five words are one shingle. A component's id is
 the smallest id in it that is not null. Repeated rows link with each other like
-any copies. An empty table gives no rows. Columns other than id and text are not
+any copies. A very long text is a portion of its own, takes a hash per word, and
+travels with the pairs that it is compared in. An empty table gives no rows. Columns other than id and text are not
 looked at.
 """
 

@@ -11,7 +11,9 @@ rank, which comes from counts by task and length, not from a global sort.
 
 Defined results: a null text counts as empty and is a piece of one token, the
 end of document. Only a document of more than CAPACITY tokens is cut; its first
-piece takes what is over. Repeated rows are packed one by one. An empty table
+piece takes what is over, however long it is. Pieces of equal length are taken in
+the order of their ranks, which makes no difference to the number of sequences.
+Repeated rows are packed one by one. An empty table
 gives no rows. Columns other than id and text are not looked at.
 """
 

@@ -8,7 +8,9 @@ each task counts its own, and counts by task and shard say where it starts, so
 no shard is sorted or gathered in one place.
 
 Defined results: a null text counts as empty. A record without an id goes where
-all of these go. Repeated rows are told apart by their slots. An empty table
+all of these go. Of shards with equal scores the one with the largest number wins.
+A text is measured where it is read, however long, and never moved. Repeated rows
+are told apart by their slots. An empty table
 gives no rows. Columns other than id and text are not looked at.
 """
 

@@ -8,7 +8,9 @@ starts with an ASCII character after an ASCII space. Normalisation, special
 strings and words all stop at such a place. Where there is none, chunk and
 overlap are widened for that text until the chunks meet or one holds it whole.
 
-Defined results: a null text counts as empty and has no tokens. Repeated rows
+Defined results: a null text counts as empty and has no tokens. Words of more than
+LONG_WORD characters are counted and not remembered, so that texts without spaces
+don't fill a task's memory. Repeated rows
 each give a row. An empty table gives no rows. Columns other than id and text
 are not looked at.
 """
