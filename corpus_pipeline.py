@@ -1,4 +1,17 @@
-"""From raw documents to packed training sequences, stage by stage."""
+"""From raw documents to packed training sequences, stage by stage.
+
+Quality rules reject documents, then one of each group of equal texts stays, then
+one of each component of near copies; entities and revealing terms are replaced in
+what is left, and it is packed.
+
+Defined results: documents with a null or empty text fail the rules and go. Of
+equal texts the largest id stays, of near copies the smallest; a null id loses
+against any other in both. Repeated rows are one document after the second stage.
+Very long texts take the ways that the operators' docstrings state. Columns other
+than id, text and n_chars pass through all stages but the last as they are,
+whatever their names; n_chars is counted anew once personal data is replaced. An
+empty table gives no rows.
+"""
 
 from __future__ import annotations
 
