@@ -105,8 +105,14 @@ def _chunk_tokens(path: str):
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in portions(batches, "body"):
             rows = batch.to_pydict()
-            found = tokenizer(path).encode_batch(rows["body"], add_special_tokens=False)
-            starts = [[a for a, _ in x.offsets] for x in found]
+            # Of a chunk that is the whole text, the number of tokens is all that is needed.
+            whole = [at == 0 and last for at, last in zip(rows["start"], rows["last"], strict=True)]
+            found = [
+                (tokenizer(path).encode_batch_fast if only else tokenizer(path).encode_batch)([body], add_special_tokens=False)[0]
+                for body, only in zip(rows["body"], whole, strict=True)
+            ]
+            n_tokens = [len(x) for x in found]
+            starts = [[] if only else [a for a, _ in x.offsets] for x, only in zip(found, whole, strict=True)]
             stable = [
                 [at + x for x in stable_starts(body, own)]
                 for at, body, own in zip(rows["start"], rows["body"], starts, strict=True)
@@ -115,8 +121,8 @@ def _chunk_tokens(path: str):
             kept = [batch.column(batch.schema.get_field_index(n)) for n in ("uid", "k", "start", "last")]
             sizes, ints = pa.array([len(x) for x in rows["body"]], pa.int32()), pa.list_(pa.int32())
             yield pa.RecordBatch.from_arrays(
-                [*kept, sizes, pa.array(starts, ints), pa.array(stable, ints)],
-                names=["uid", "k", "start", "last", "size", "starts", "stable"],
+                [*kept, sizes, pa.array(n_tokens, pa.int64()), pa.array(starts, ints), pa.array(stable, ints)],
+                names=["uid", "k", "start", "last", "size", "n_tokens", "starts", "stable"],
             )
 
     return encode
@@ -130,12 +136,12 @@ def _spliced_counts(long: DataFrame, path: str) -> DataFrame:
         encoded = map_arrow(
             chunks.overlapping(left, chunk, overlap),
             _chunk_tokens(path),
-            "uid bigint, k int, start int, last boolean, size int, starts array<int>, stable array<int>",
+            "uid bigint, k int, start int, last boolean, size int, n_tokens bigint, starts array<int>, stable array<int>",
         )
         own = F.filter("starts", lambda x: (x >= F.col("since")) & (x < F.col("upto")))
         met = stored(
             chunks.spliced(encoded)
-            .withColumn("n", F.size(own))
+            .withColumn("n", F.when((F.col("k") == 0) & F.col("last"), F.col("n_tokens")).otherwise(F.size(own)))
             .groupBy("uid")
             .agg(F.min("whole").alias("whole"), F.sum("n").alias("n_tokens")),
             "chunk-counts",
