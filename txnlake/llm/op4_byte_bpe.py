@@ -135,7 +135,7 @@ def encode(docs: DataFrame, ranks: str = RANKS) -> DataFrame:
 
 
 def decoded_bytes(tokens: tiktoken.Encoding, ids: pa.ListScalar) -> bytes:
-    return tokens.decode_bytes(ids.values.to_pylist())
+    return tokens.decode_bytes(ids.values.to_numpy().tolist())
 
 
 def decode(rows: DataFrame, ranks: str = RANKS) -> DataFrame:
