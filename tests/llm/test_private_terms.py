@@ -96,8 +96,18 @@ def test_every_place_of_a_risky_term_is_changed(spark):
         assert got == sorted((a, b) for t, a, b in plain_terms(text) if t in risky)
 
 
+def test_terms_too_many_to_send_are_joined(spark, monkeypatch):
+    rows = corpus()
+    sent = sorted_rows(op8.pii(frame(spark, rows)))
+    assert any("term:" in r[-1] for r in sent)
+    monkeypatch.setattr(op8, "SENT_TERMS", 0)
+    assert sorted_rows(op8.pii(frame(spark, rows))) == sent
+    assert dict(sorted_rows(op8.sanitise(frame(spark, rows)), "doc_id", "text")) == dict(plain_clean(rows))
+
+
 def test_filter_only_steers_the_work(spark, monkeypatch):
     rows = corpus()
+    monkeypatch.setattr(op8, "SENT_TERMS", 0)
     # So few bits that all terms pass.
     monkeypatch.setattr(op8, "FILTER_BITS", 8)
     monkeypatch.setattr(op8, "_filter", lambda risky: op8.zlib.compress(b"\xff"))

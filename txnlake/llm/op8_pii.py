@@ -61,6 +61,8 @@ CHANCE = 0.05
 GENERALISE, REMOVE = 0.8, 0.999
 #: Counts held by a task before it passes them on, and characters of their terms.
 HELD_COUNTS, HELD_CHARS = 250_000, 16_000_000
+#: As many risky terms, of so many characters in all, are sent to the tasks; more are joined. It steers work only.
+SENT_TERMS, SENT_CHARS = 100_000, 2_000_000
 #: Bits of the filter that tells which terms may be risky, a power of two; it steers work only.
 FILTER_BITS = 1 << 22
 
@@ -175,6 +177,8 @@ def terms_in(text: str, covered: tuple[list[int], list[int]]) -> set[str]:
 
 _SPANS = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
 _PLACES = pa.list_(pa.struct([("term", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
+_TERMS = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("disclosure", pa.float64())]))
+TERM = "struct<start:int,end:int,disclosure:double>"
 FOUND = "doc_id bigint, digest string, spans array<struct<kind:string,start:int,end:int>>"
 MARKED = "doc_id bigint, digest string, places array<struct<term:string,start:int,end:int>>"
 
@@ -187,22 +191,23 @@ def _digest(text: str) -> str:
     return hashlib.sha256(text.encode()).hexdigest()
 
 
-def found(docs: DataFrame) -> DataFrame:
-    """Per document its digest and the entities: FOUND."""
+def found(docs: DataFrame, risky: dict[str, float] | None = None) -> DataFrame:
+    """Per document its digest and the entities: FOUND; given terms to change, also `terms`, their places."""
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in portions(batches):
             column = [text or "" for text in batch.column(1).to_pylist()]
+            owns = [entities(text) for text in column]
             spans = [
-                [{"kind": k, "start": a, "end": b} for k, of_kind in entities(text).items() for a, b in of_kind]
-                for text in column
+                [{"kind": k, "start": a, "end": b} for k, of_kind in own.items() for a, b in of_kind] for own in owns
             ]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(map(_digest, column), pa.string()), pa.array(spans, _SPANS)],
-                names=["doc_id", "digest", "spans"],
-            )
+            columns = [batch.column(0), pa.array(map(_digest, column), pa.string()), pa.array(spans, _SPANS)]
+            if risky is not None:
+                at = [_places_of(text, own, risky) for text, own in zip(column, owns, strict=True)]
+                columns.append(pa.array(at, _TERMS))
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "digest", "spans", "terms"][: len(columns)])
 
-    return map_arrow(texts(docs), find, FOUND)
+    return map_arrow(texts(docs), find, FOUND if risky is None else f"{FOUND}, terms array<{TERM}>")
 
 
 def document_frequencies(docs: DataFrame) -> DataFrame:
@@ -311,13 +316,34 @@ def marked(docs: DataFrame, maybe: bytes) -> DataFrame:
     return map_arrow(texts(docs.filter(F.lit(bool(maybe)))), mark, MARKED)
 
 
-def sanitising_spans(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """What `found` gives, and per document the terms to change: start, end, disclosure."""
+def risky_terms(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """What `found` gives, and the terms to change with their disclosure."""
     rows = stored(found(docs), "entities")
     judged = disclosures(rows, document_frequencies(docs)).filter(F.col("least") >= GENERALISE)
-    risky = stored(judged.groupBy("term").agg(F.max("disclosure").alias("disclosure")), "terms")
+    return rows, stored(judged.groupBy("term").agg(F.max("disclosure").alias("disclosure")), "terms")
+
+
+def _sent(risky: DataFrame) -> dict[str, float] | None:
+    """The risky terms, if they are few and short enough for each task to hold them all."""
+    size = risky.agg(F.count(F.lit(1)).alias("n"), F.sum(F.char_length("term")).alias("chars")).first()
+    if size["n"] > SENT_TERMS or (size["chars"] or 0) > SENT_CHARS:
+        return None
+    return {r["term"]: r["disclosure"] for r in risky.collect()}  # SENT_TERMS at most
+
+
+def _places_of(text: str, own: dict[str, list[Span]], risky: dict[str, float]) -> list[dict]:
+    """Places of risky terms in order: start, end, disclosure."""
+    covered = _all(own)
+    if not risky or risky.keys().isdisjoint(terms_in(text, covered)):
+        return []
+    at = sorted((a, b, risky[t]) for t, a, b in places(text, covered) if t in risky)
+    return [{"start": a, "end": b, "disclosure": d} for a, b, d in at]
+
+
+def _joined_places(docs: DataFrame, risky: DataFrame) -> DataFrame:
+    """Per document that holds any, the terms to change, by a join: no task holds all terms."""
     # The filter lets some other terms pass; the join does not.
-    terms = (
+    return (
         marked(docs, _filter(risky))
         .select("doc_id", "digest", F.inline("places"))
         .join(risky, "term")
@@ -326,7 +352,6 @@ def sanitising_spans(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         .groupBy("doc_id", "digest")
         .agg(F.sort_array(F.collect_list(F.struct("start", "end", "disclosure"))).alias("terms"))
     )
-    return rows, terms
 
 
 def _with_terms(rows: DataFrame, terms: DataFrame) -> DataFrame:
@@ -340,15 +365,25 @@ def _written(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
 
 
+def all_spans(docs: DataFrame) -> DataFrame:
+    """What `found` gives, with the terms to change: start, end, disclosure; null or empty if there are none."""
+    rows, risky = risky_terms(docs)
+    sent = _sent(risky)
+    if sent is None:
+        return _with_terms(rows, _joined_places(docs, risky))
+    if not sent:
+        return rows.withColumn("terms", F.lit(None).cast(f"array<{TERM}>"))
+    return found(docs, sent)
+
+
 def pii(docs: DataFrame) -> DataFrame:
     """A row per document: entities by kind, their digest, and all spans with the terms to change."""
-    rows, terms = sanitising_spans(docs)
     term = F.transform(
         F.coalesce("terms", F.array()),
         lambda t: F.struct(F.lit("term").alias("kind"), t["start"].alias("start"), t["end"].alias("end")),
     )
     number = [F.size(F.expr(f"filter(spans, s -> s.kind = '{k}')")).cast("long").alias(f"n_{k}") for k in PATTERNS]
-    return _with_terms(rows, terms).select(
+    return all_spans(docs).select(
         "doc_id",
         *number,
         F.sha2(_written(F.col("spans")), 256).alias("base_sha256"),
@@ -371,21 +406,27 @@ def sanitise(docs: DataFrame) -> DataFrame:
 
     A null text stays null.
     """
-    _, terms = sanitising_spans(docs)
+    _, risky = risky_terms(docs)
+    sent = _sent(risky)
     rest = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"]).alias("doc")
-    digest = F.sha2(F.coalesce("text", F.lit("")), 256).alias("digest")
-    rows = _with_terms(docs.select("doc_id", "text", digest, rest), terms).select("text", "terms", "doc")
+    if sent is None:
+        digest = F.sha2(F.coalesce("text", F.lit("")), 256).alias("digest")
+        rows = docs.select("doc_id", "text", digest, rest)
+        rows = _with_terms(rows, _joined_places(docs, risky)).select("text", "doc", "terms")
+    else:
+        rows = docs.select("text", rest)
 
     def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in portions(batches):
             out = []
-            for text, of_doc in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                spans = [(a, b, f"[{k}]") for k, of_kind in entities(text or "").items() for a, b in of_kind]
-                spans += [
-                    (t["start"], t["end"], "[term]" if t["disclosure"] < REMOVE else "") for t in of_doc or []
-                ]
+            joined = batch.column(2).to_pylist() if sent is None else [None] * batch.num_rows
+            for text, of_doc in zip(batch.column(0).to_pylist(), joined, strict=True):
+                own = entities(text or "")
+                at = _places_of(text or "", own, sent) if sent is not None else of_doc or []
+                spans = [(a, b, f"[{k}]") for k, of_kind in own.items() for a, b in of_kind]
+                spans += [(t["start"], t["end"], "[term]" if t["disclosure"] < REMOVE else "") for t in at]
                 out.append(text if text is None else cleaned(text, spans))
-            yield pa.RecordBatch.from_arrays([pa.array(out, pa.string()), batch.column(2)], names=["text", "doc"])
+            yield pa.RecordBatch.from_arrays([pa.array(out, pa.string()), batch.column(1)], names=["text", "doc"])
 
     schema = f"text string, doc {rows.schema['doc'].dataType.simpleString()}"
     cleaned_rows = map_arrow(rows, clean, schema)
