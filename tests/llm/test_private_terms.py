@@ -51,15 +51,54 @@ def plain_risky(rows):
         tail = q * math.log(q / p) + ((1 - q) * math.log((1 - q) / (1 - p)) if q < 1 else 0)
         if df * tail >= math.log(len(holds) / 0.05) and 1 - math.log(low) / math.log(p) >= 0.8:
             out[term] = max(out.get(term, 0), 1 - math.log(q) / math.log(p))
+    for term, disclosure in plain_risky_by_entity(rows, holds):
+        out[term] = max(out.get(term, 0), disclosure)
     return out
 
 
+def plain_value(kind, match):
+    return kind, match.lower() if kind in ("email", "ip") else re.sub("[^0-9]", "", match)
+
+
+def plain_risky_by_entity(rows, holds):
+    """(term, disclosure) for single entities, by looking from each term place to its left and right."""
+    docs_of, texts_of, pairs = {}, {}, {}
+    for n, (_, text) in enumerate(rows):
+        marks = sorted((a, b, plain_value(k, text[a:b])) for k, own in plain_spans(text).items() for a, b in own)
+        for *_, value in marks:
+            docs_of.setdefault(value, set()).add(n)
+            texts_of.setdefault(value, set()).add(text)
+        for t, a, b in plain_terms(text):
+            for near in ([m for m in marks if m[1] <= a][-1:], [m for m in marks if m[0] >= b][:1]):
+                for *_, value in near:
+                    pairs.setdefault((value, t), set()).add(n)
+    again = {value for value, texts in texts_of.items() if len(texts) > 1}
+    hypotheses = len(again) * sum(len(d) > 1 for d in holds.values())
+    for (value, term), held in pairs.items():
+        bits = zip(*[op8.signature({t for t, _, _ in plain_terms(rows[n][1])}) for n in held], strict=True)
+        m = min(len(set(column)) for column in bits)
+        p, q = len(docs_of[value]) / len(rows), len(held) / len(holds[term])
+        if value not in again or m < 2 or q <= p or p == 1:
+            continue
+        z, trials = 1.96, m / q
+        low = (q + z * z / (2 * trials) - z * math.sqrt(q * (1 - q) / trials + z * z / (4 * trials**2))) / (1 + z * z / trials)
+        tail = q * math.log(q / p) + ((1 - q) * math.log((1 - q) / (1 - p)) if q < 1 else 0)
+        if trials * tail >= math.log(hypotheses / 0.05) and 1 - math.log(low) / math.log(p) >= 0.8:
+            yield term, 1 - math.log(q) / math.log(p)
+
+
+def plain_general(word):
+    if re.fullmatch("[0-9]+", word):
+        return f"{word[0]}{'0' * (len(word) - 1)}-{word[0]}{'9' * (len(word) - 1)}"
+    return word[0] + "." if "A" <= word[0] <= "Z" else "[term]"
+
+
 def plain_clean(rows):
     risky = plain_risky(rows)
     out = []
     for doc_id, text in rows:
         spans = [(a, b, f"[{k}]") for k, own in plain_spans(text).items() for a, b in own]
-        spans += [(a, b, "[term]" if risky[t] < 0.999 else "") for t, a, b in plain_terms(text) if t in risky]
+        spans += [(a, b, plain_general(text[a:b]) if risky[t] < 0.999 else "") for t, a, b in plain_terms(text) if t in risky]
         done, at = "", 0
         for a, b, mark in sorted(spans, key=lambda s: (s[0], -s[1])):
             if a >= at:
@@ -88,7 +127,7 @@ def test_every_place_of_a_risky_term_is_changed(spark):
     docs = frame(spark, rows)
     texts = dict(sorted_rows(op8.sanitise(docs), "doc_id", "text"))
     assert texts == dict(plain_clean(rows))
-    assert "[term]/other ([term]'s)" in texts[500]
+    assert "Z./other ([term]'s)" in texts[500]
     assert "jean" not in texts[300].lower() and "agent47" not in texts[300]
     spans = {r.doc_id: r.spans for r in op8.pii(docs).collect()}
     for doc_id, text in rows:
@@ -151,3 +190,50 @@ def test_pipeline_changes_every_place(spark, tmp_path):
     assert {"zanzibar", "jean-luc", "agent47"} <= set(plain_risky(left))
     packed = corpus_pipeline.run(spark, str(tmp_path)).cache()
     check_packing(plain_clean(left), packed, 2048)
+
+
+def people():
+    """Names that stand beside one address or number, among many addresses; a text and its near copies with others."""
+    rng = random.Random(4)
+    words = ["".join(rng.choice("abcdefghiklmnoprstu") for _ in range(rng.randint(3, 7))) for _ in range(300)]
+    filler = lambda n: " ".join(rng.choice(words) for _ in range(n))
+    rows = [(i, f"{filler(70)}.") for i in range(300)]
+    rows += [(400 + i, f"{filler(30)} you{i}@example.com {filler(30)}") for i in range(120)]
+    rows += [(600 + i, f"{filler(20)} Quentin {filler(9)} Q.Doe@example.com 7731 {filler(9)} you{i}@example.org Otherly{i} {filler(9)}") for i in range(9)]
+    rows += [(650, f"{filler(20)} 7731 {filler(9)}")]
+    base = f"{filler(40)} Rareword Seldomly {filler(20)}".split()
+    for i in range(12):
+        # Six of them copies, six with a word changed.
+        near = base if i < 6 else [*base[: 3 * i], words[i], *base[3 * i + 1 :]]
+        rows.append((700 + i, f"{' '.join(near)} solo@example.net"))
+    return rows
+
+
+def test_a_name_beside_one_address_is_found(spark):
+    rows = people()
+    risky = plain_risky(rows)
+    assert {"quentin", "7731"} <= set(risky) and risky["7731"] < 0.999 <= risky["quentin"]
+    # One text and its copies are no evidence.
+    assert not {"rareword", "seldomly"} & {t for t, _ in plain_risky_by_entity(rows, plain_holds(rows))}
+    docs = frame(spark, rows)
+    texts = dict(sorted_rows(op8.sanitise(docs), "doc_id", "text"))
+    assert texts == dict(plain_clean(rows))
+    assert "Quentin" not in texts[600] and "7000-7999" in texts[650]
+
+
+def plain_holds(rows):
+    holds = {}
+    for n, (_, text) in enumerate(rows):
+        for t, _, _ in plain_terms(text):
+            holds.setdefault(t, set()).add(n)
+    return holds
+
+
+@pytest.mark.parametrize(("word", "less"), [("7", "7-7"), ("1987", "1000-1999"), ("Zoë", "Z."), ("ZOE", "Z."), ("zoe", "[term]"), ("日本", "[term]")])
+def test_generalised(word, less):
+    assert op8.generalised(word) == less
+
+
+def test_entities_are_the_same_however_written():
+    assert op8.entity_of("card", "4111 1111 1111 1111") == op8.entity_of("card", "4111-1111-1111-1111")
+    assert op8.entity_of("email", "Me@Example.com") == op8.entity_of("email", "me@example.com") != op8.entity_of("ip", "me@example.com")

@@ -10,8 +10,18 @@ A term is risky if its disclosure is GENERALISE or more even at the lower end of
 the Wilson interval of q, and its count is too high for chance: the Chernoff
 bound of the binomial tail under p, times the number of different terms of all
 documents, is at most CHANCE.
-Every place of a risky term, in any document, is replaced by a placeholder, or
-removed if the disclosure itself is REMOVE or more.
+
+Terms are judged for the kinds and for each entity value that stands in two
+different texts or more. There a term counts where the entity is the nearest one
+before or after it, so that a document with many entities gives two pairs a place
+and not all pairs. Copies and near copies count once as evidence: a text sets a
+bit by its smallest term hash under each of ORDERS orders, and the bits that a
+pair has, under the order that gives least, stand for independent texts in the
+interval and in the bound (63 at most, which is far beyond what either needs).
+
+Every place of a risky term, in any document, is generalised (a number to its
+range, a name to its initial, another word to a placeholder), or removed if the
+disclosure itself is REMOVE or more.
 
 Terms are words in lower case, of two characters or more, outside entities.
 Words joined by a hyphen, an apostrophe or an underscore are a term together,
@@ -52,13 +62,14 @@ PATTERNS = {
 }
 #: Characters without which a kind cannot occur.
 NEEDS = {"email": "@", "ip": ".", "phone": "+"}
-KINDS = (*PATTERNS, "term")
 
 #: Width of the interval around a share, in standard deviations (95 %).
 WIDTH = 1.96
 #: Terms of a kind that may pass for risky by chance alone.
 CHANCE = 0.05
 GENERALISE, REMOVE = 0.8, 0.999
+#: Odd factors that put 32-bit hashes of terms into different orders.
+ORDERS = (1, 0x9E3779B1, 0x85EBCA6B)
 #: Counts held by a task before it passes them on, and characters of their terms.
 HELD_COUNTS, HELD_CHARS = 250_000, 16_000_000
 #: As many risky terms, of so many characters in all, are sent to the tasks; more are joined. It steers work only.
@@ -69,7 +80,6 @@ FILTER_BITS = 1 << 22
 _COMPILED = {kind: re.compile(p) for kind, p in PATTERNS.items()}
 _LOCAL = string.ascii_letters + string.digits + "._%+-"
 _DOMAIN = re.compile(PATTERNS["email"].partition("@")[2].replace("]+", "]++"))
-_EDGES = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum())
 #: What belongs to a word besides letters and digits: marks, and the joiners of some scripts.
 _MARKS = "".join(c for c in map(chr, range(0x20000)) if unicodedata.category(c)[0] == "M") + "\u200c\u200d\U000e0100-\U000e01ef"
 _WORD = rf"[^\W_]+(?:[{_MARKS}]+[^\W_]*)*"
@@ -127,10 +137,25 @@ def entities(text: str) -> dict[str, list[Span]]:
     return {kind: list(matches(kind, p)) if NEEDS.get(kind, "") in text else [] for kind, p in _COMPILED.items()}
 
 
-def term_of(word: str) -> str | None:
-    """A word as a term: lower case without edges; None unless it is one of two characters or more."""
-    term = word.strip(_EDGES).lower()
-    return term if len(term) > 1 and _TERM.fullmatch(term) else None
+def entity_of(kind: str, match: str) -> int:
+    """A 64-bit number for an entity's value, however it is written: letter case and signs between digits do not count."""
+    value = match.lower() if kind in ("email", "ip") else "".join(map(str, _digits(match)))
+    return int.from_bytes(hashlib.blake2b(f"{kind}:{value}".encode(), digest_size=8).digest(), "big", signed=True)
+
+
+def signature(terms: Iterable[str]) -> list[int]:
+    """A bit under each order for a text with these terms; near copies mostly have the same."""
+    hashes = [zlib.crc32(term.encode()) for term in terms]
+    return [1 << min((h * order) % 2**32 for h in hashes) % 63 for order in ORDERS]
+
+
+def generalised(word: str) -> str:
+    """A number becomes the range of its first digit, a word that begins with a capital its initial, others a placeholder."""
+    if word.isdecimal() and word.isascii():
+        step = 10 ** (len(word) - 1)
+        first = int(word[0]) * step
+        return f"{first}-{first + step - 1}"
+    return f"{word[0]}." if word[0].isupper() else "[term]"
 
 
 def _covered(spans: Iterable[Span]) -> tuple[list[int], list[int]]:
@@ -179,7 +204,8 @@ _SPANS = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end
 _PLACES = pa.list_(pa.struct([("term", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
 _TERMS = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("disclosure", pa.float64())]))
 TERM = "struct<start:int,end:int,disclosure:double>"
-FOUND = "doc_id bigint, digest string, spans array<struct<kind:string,start:int,end:int>>"
+FOUND = "doc_id bigint, digest string, spans array<struct<kind:string,start:int,end:int>>, entities array<bigint>"
+BESIDE = f"entity bigint, term string, n bigint, {', '.join(f'b{k} bigint' for k in range(len(ORDERS)))}"
 MARKED = "doc_id bigint, digest string, places array<struct<term:string,start:int,end:int>>"
 
 
@@ -192,7 +218,7 @@ def _digest(text: str) -> str:
 
 
 def found(docs: DataFrame, risky: dict[str, float] | None = None) -> DataFrame:
-    """Per document its digest and the entities: FOUND; given terms to change, also `terms`, their places."""
+    """Per document its digest, spans and different entities: FOUND; given terms to change, also `terms`, their places."""
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in portions(batches):
@@ -201,11 +227,20 @@ def found(docs: DataFrame, risky: dict[str, float] | None = None) -> DataFrame:
             spans = [
                 [{"kind": k, "start": a, "end": b} for k, of_kind in own.items() for a, b in of_kind] for own in owns
             ]
-            columns = [batch.column(0), pa.array(map(_digest, column), pa.string()), pa.array(spans, _SPANS)]
+            values = [
+                sorted({entity_of(k, text[a:b]) for k, of_kind in own.items() for a, b in of_kind})
+                for text, own in zip(column, owns, strict=True)
+            ]
+            columns = [
+                batch.column(0),
+                pa.array(map(_digest, column), pa.string()),
+                pa.array(spans, _SPANS),
+                pa.array(values, pa.list_(pa.int64())),
+            ]
             if risky is not None:
                 at = [_places_of(text, own, risky) for text, own in zip(column, owns, strict=True)]
                 columns.append(pa.array(at, _TERMS))
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "digest", "spans", "terms"][: len(columns)])
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "digest", "spans", "entities", "terms"][: len(columns)])
 
     return map_arrow(texts(docs), find, FOUND if risky is None else f"{FOUND}, terms array<{TERM}>")
 
@@ -244,33 +279,121 @@ def document_frequencies(docs: DataFrame) -> DataFrame:
     return counts.groupBy("term").agg(*[F.sum(n).alias(n) for n in numbers])
 
 
-def disclosures(rows: DataFrame, frequencies: DataFrame) -> DataFrame:
-    """kind, term, disclosure and its lower end `least`, where a term stands with a kind more often than by chance."""
+def counted(frequencies: DataFrame) -> tuple[DataFrame, int, int]:
+    """The terms that stand with any kind, the number of all terms, and of those in two documents or more."""
+    seen = Observation()
+    total = F.count(F.lit(1)).alias("terms"), F.count_if(F.col("df") > 1).alias("twice")
+    any_kind = " + ".join(f"n_{k}" for k in PATTERNS)
+    held = stored(frequencies.observe(seen, *total).filter(f"{any_kind} > 0"), "frequencies")
+    return held, seen.get["terms"], seen.get["twice"]
+
+
+def _judged(pairs: DataFrame, hypotheses: int) -> DataFrame:
+    """`disclosure` and its lower end `least` of the pairs that are beyond chance, from the shares p and q and the trials behind q."""
+    q, base, trials = F.col("q"), F.col("p"), F.col("trials")
+    square = WIDTH * WIDTH
+    spread = WIDTH * F.sqrt(q * (1 - q) / trials + square / (4 * trials * trials))
+    low = (q + square / (2 * trials) - spread) / (1 + square / trials)
+    rest = F.when(q < 1, (1 - q) * F.log((1 - q) / (1 - base))).otherwise(0.0)
+    bound = math.log(max(hypotheses, 1) / CHANCE)
+    beyond_chance = (base < 1) & (q > base) & (trials * (q * F.log(q / base) + rest) >= bound)
+    return pairs.filter(beyond_chance).select(
+        "*", (1 - F.log(q) / F.log(base)).alias("disclosure"), (1 - F.log(low) / F.log(base)).alias("least")
+    )
+
+
+def _by_kind(rows: DataFrame, held: DataFrame, n_terms: int) -> DataFrame:
     n_docs = rows.count()
     of_kind = rows.select(F.explode(F.array_distinct(F.col("spans.kind"))).alias("kind")).groupBy("kind")
     p = {r["kind"]: r["n"] / n_docs for r in of_kind.agg(F.count(F.lit(1)).alias("n")).collect()}  # a row per kind
     by_kind = F.array(*[F.struct(F.lit(k).alias("kind"), F.col(f"n_{k}").alias("n")) for k in PATTERNS])
-    seen = Observation()
-    counted = frequencies.observe(seen, F.count(F.lit(1)).alias("terms"))
-    pairs = stored(counted.select("term", "df", F.inline(by_kind)).filter("n > 0"), "pairs")
-    least_log = math.log(max(seen.get["terms"], 1) / CHANCE)
     share = F.coalesce(*[F.when(F.col("kind") == k, F.lit(x)) for k, x in p.items() if x < 1], F.lit(None))
-    df, q, base = F.col("df"), F.col("n") / F.col("df"), F.col("p")
-    square = WIDTH * WIDTH
-    spread = WIDTH * F.sqrt(q * (1 - q) / df + square / (4 * df * df))
-    low = (q + square / (2 * df) - spread) / (1 + square / df)
-    rest = F.when(q < 1, (1 - q) * F.log((1 - q) / (1 - base))).otherwise(0.0)
-    beyond_chance = (q > base) & (df * (q * F.log(q / base) + rest) >= least_log)
-    return (
-        pairs.withColumn("p", share)
-        .filter(F.col("p").isNotNull() & beyond_chance)
-        .select(
-            "kind",
-            "term",
-            (1 - F.log(q) / F.log(base)).alias("disclosure"),
-            (1 - F.log(low) / F.log(base)).alias("least"),
-        )
-    )
+    pairs = held.select("term", "df", F.inline(by_kind)).filter("n > 0").withColumn("p", share.cast("double"))
+    pairs = pairs.filter("p IS NOT NULL").withColumns({"q": F.col("n") / F.col("df"), "trials": F.col("df")})
+    return _judged(pairs, n_terms).select("kind", "term", "disclosure", "least")
+
+
+def disclosures(rows: DataFrame, frequencies: DataFrame) -> DataFrame:
+    """kind, term, disclosure and its lower end `least`, where a term stands with a kind more often than by chance."""
+    held, n_terms, _ = counted(frequencies)
+    return _by_kind(rows, held, n_terms)
+
+
+def repeated(rows: DataFrame) -> DataFrame:
+    """entity and n_docs, of the entities that stand in two different texts or more."""
+    of_entity = rows.select("digest", F.explode("entities").alias("entity")).groupBy("entity")
+    counts = of_entity.agg(F.count(F.lit(1)).alias("n_docs"), F.min("digest").alias("a"), F.max("digest").alias("b"))
+    return counts.filter("a < b").select("entity", "n_docs")
+
+
+def neighbours(text: str, own: dict[str, list[Span]]) -> set[tuple[int, str]]:
+    """(entity, term) where the entity is the nearest before or after a place of the term."""
+    marks = sorted((a, b, k) for k, of_kind in own.items() for a, b in of_kind)
+    starts, values = [a for a, _, _ in marks], [entity_of(k, text[a:b]) for a, b, k in marks]
+    out = set()
+    for term, _, end in places(text, _all(own)):
+        k = bisect_left(starts, end)
+        out.update((value, term) for value in values[max(k - 1, 0) : k + 1])
+    return out
+
+
+def beside(docs: DataFrame, maybe: bytes) -> DataFrame:
+    """BESIDE: per entity that passes the filter and term next to it, the documents and the bits of their texts."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = zlib.decompress(maybe)
+        held: dict[tuple[int, str], list[int]] = {}
+        chars = 0
+
+        def out() -> pa.RecordBatch:
+            entity, term = zip(*held, strict=True)
+            numbers = [pa.array(column, pa.int64()) for column in zip(*held.values(), strict=True)]
+            return pa.RecordBatch.from_arrays(
+                [pa.array(entity, pa.int64()), pa.array(term, pa.string()), *numbers],
+                names=["entity", "term", "n", *[f"b{k}" for k in range(len(ORDERS))]],
+            )
+
+        for batch in portions(batches):
+            for text in batch.column(1).to_pylist():
+                own = entities(text or "")
+                values = {entity_of(k, text[a:b]) for k, of_kind in own.items() for a, b in of_kind}
+                values = {v for v in values if _passes(bits, str(v))}
+                if not values:
+                    continue
+                pairs = {pair for pair in neighbours(text, own) if pair[0] in values}
+                marks = signature(terms_in(text, _all(own))) if pairs else []
+                for pair in pairs:
+                    if pair not in held:
+                        held[pair] = [0] * (1 + len(ORDERS))
+                        chars += len(pair[1])
+                    numbers = held[pair]
+                    numbers[0] += 1
+                    for k, mark in enumerate(marks, 1):
+                        numbers[k] |= mark
+                if len(held) > HELD_COUNTS or chars > HELD_CHARS:
+                    yield out()
+                    held, chars = {}, 0
+        if held:
+            yield out()
+
+    bits = [f"b{k}" for k in range(len(ORDERS))]
+    counts = map_arrow(texts(docs.filter(F.lit(bool(maybe)))), count, BESIDE)
+    return counts.groupBy("entity", "term").agg(F.sum("n").alias("n"), *[F.bit_or(b).alias(b) for b in bits])
+
+
+def entity_disclosures(docs: DataFrame, rows: DataFrame, held: DataFrame, n_twice: int) -> DataFrame:
+    """entity, term, disclosure and `least`, where a term stands next to one entity more often than by chance.
+
+    Chance counts the terms of two documents or more with the entities of two texts or more.
+    """
+    known = stored(repeated(rows), "repeated")
+    maybe = _filter(known.select(F.col("entity").cast("string").alias("term")))
+    independent = F.least(*[F.bit_count(f"b{k}") for k in range(len(ORDERS))])
+    pairs = beside(docs, maybe).withColumn("m", independent).filter("m > 1")
+    q = F.col("n") / F.col("df")
+    pairs = pairs.join(known, "entity").join(held.select("term", "df"), "term")
+    pairs = pairs.withColumns({"p": F.col("n_docs") / F.lit(rows.count()), "q": q, "trials": F.col("m") / q})
+    return _judged(pairs, n_twice * known.count()).select("entity", "term", "disclosure", "least")
 
 
 def _filter(risky: DataFrame) -> bytes:
@@ -288,21 +411,21 @@ def _filter(risky: DataFrame) -> bytes:
     return zlib.compress(bits) if packed else b""
 
 
+def _passes(bits: bytes, term: str) -> bool:
+    slot = zlib.crc32(term.encode()) % (8 * len(bits))
+    return bool(bits[slot >> 3] >> (slot & 7) & 1)
+
+
 def marked(docs: DataFrame, maybe: bytes) -> DataFrame:
     """Per document that holds any, all places of terms that pass the filter: MARKED."""
 
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = zlib.decompress(maybe)
-
-        def passes(term: str) -> bool:
-            slot = zlib.crc32(term.encode()) % FILTER_BITS
-            return bool(bits[slot >> 3] >> (slot & 7) & 1)
-
         for batch in portions(batches):
             rows = []
             for doc_id, text in zip(batch.column(0), batch.column(1).to_pylist(), strict=True):
                 covered = _all(entities(text or ""))
-                terms = {t for t in terms_in(text or "", covered) if passes(t)}
+                terms = {t for t in terms_in(text or "", covered) if _passes(bits, t)}
                 if terms:
                     at = [{"term": t, "start": a, "end": b} for t, a, b in places(text, covered) if t in terms]
                     rows.append((doc_id.as_py(), _digest(text), at))
@@ -319,7 +442,10 @@ def marked(docs: DataFrame, maybe: bytes) -> DataFrame:
 def risky_terms(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """What `found` gives, and the terms to change with their disclosure."""
     rows = stored(found(docs), "entities")
-    judged = disclosures(rows, document_frequencies(docs)).filter(F.col("least") >= GENERALISE)
+    held, n_terms, n_twice = counted(document_frequencies(docs))
+    of_kinds, of_entities = _by_kind(rows, held, n_terms), entity_disclosures(docs, rows, held, n_twice)
+    columns = ["term", "disclosure", "least"]
+    judged = of_kinds.select(columns).unionAll(of_entities.select(columns)).filter(F.col("least") >= GENERALISE)
     return rows, stored(judged.groupBy("term").agg(F.max("disclosure").alias("disclosure")), "terms")
 
 
@@ -424,7 +550,9 @@ def sanitise(docs: DataFrame) -> DataFrame:
                 own = entities(text or "")
                 at = _places_of(text or "", own, sent) if sent is not None else of_doc or []
                 spans = [(a, b, f"[{k}]") for k, of_kind in own.items() for a, b in of_kind]
-                spans += [(t["start"], t["end"], "[term]" if t["disclosure"] < REMOVE else "") for t in at]
+                for t in at:
+                    a, b = t["start"], t["end"]
+                    spans.append((a, b, generalised(text[a:b]) if t["disclosure"] < REMOVE else ""))
                 out.append(text if text is None else cleaned(text, spans))
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.string()), batch.column(1)], names=["text", "doc"])
 
